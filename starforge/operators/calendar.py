@@ -56,7 +56,7 @@ def dim_date(spark: SparkSession, start=cal.DEFAULT_SPINE[0], end=cal.DEFAULT_SP
     return calendar_rows(date_spine(spark, start, end))
 
 
-def dim_date_covering(*date_cols: tuple[DataFrame, str]) -> DataFrame:
+def dim_date_covering(*date_cols: tuple[DataFrame, str | list[str]]) -> DataFrame:
     """D1 over the span the data needs: every day between the smallest and largest date.
 
     Bounds come from a global min/max aggregate (partial per partition); the
@@ -64,8 +64,16 @@ def dim_date_covering(*date_cols: tuple[DataFrame, str]) -> DataFrame:
     with the calendar span, not with the row count.
     """
     bounds = None
-    for df, c in date_cols:
-        b = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi"))
+    for df, cols in date_cols:
+        cols = [cols] if isinstance(cols, str) else list(cols)
+        mins = [F.min(c) for c in cols]
+        maxs = [F.max(c) for c in cols]
+        b = df.agg(*[m.alias(f"lo{i}") for i, m in enumerate(mins)],
+                   *[m.alias(f"hi{i}") for i, m in enumerate(maxs)])
+        lo = [F.col(f"lo{i}") for i in range(len(cols))]
+        hi = [F.col(f"hi{i}") for i in range(len(cols))]
+        b = b.select((F.least(*lo) if len(lo) > 1 else lo[0]).alias("lo"),
+                     (F.greatest(*hi) if len(hi) > 1 else hi[0]).alias("hi"))
         bounds = b if bounds is None else bounds.unionByName(b)
     span = bounds.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     days = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("full_date"))

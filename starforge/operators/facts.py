@@ -62,7 +62,7 @@ def fact_payments(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFram
 
 
 def paid_before(rows: DataFrame, payments: DataFrame, date_col: str = "lottery_date",
-                out: str = "paid_before_lottery") -> DataFrame:
+                out: str = "paid_before_lottery", asks: DataFrame | None = None) -> DataFrame:
     """Per row, the number of the member's payments with a paid-like status
     and due date on or before the row's date (across all plans, raw staging rows).
 
@@ -72,13 +72,16 @@ def paid_before(rows: DataFrame, payments: DataFrame, date_col: str = "lottery_d
     ordered by (day, kind) counts payments due on the same day first. A member
     contributes at most (#distinct payment days + #distinct asked days) rows to
     the window, whatever its row count, so a hot member cannot overload a task.
-    Rows with a NULL date or member get 0.
+    Rows with a NULL date or member get 0. ``asks`` (member_id, date) may name
+    a cheaper source of the dates to answer than ``rows`` itself (e.g. the raw
+    table before its dimension joins), so ``rows`` is not computed twice.
     """
     pay = (payments.where(F.col("payment_status").isin(rules.PAID_STATUSES)
                           & F.col("due_date").isNotNull() & F.col("member_id").isNotNull())
                    .select("member_id", F.col("due_date").alias("d"),
                            F.lit(0).alias("kind"), F.lit(1).alias("n")))
-    ask = (rows.where(F.col(date_col).isNotNull() & F.col("member_id").isNotNull())
+    asks = rows if asks is None else asks
+    ask = (asks.where(F.col(date_col).isNotNull() & F.col("member_id").isNotNull())
                .select("member_id", F.col(date_col).alias("d"),
                        F.lit(1).alias("kind"), F.lit(0).alias("n")))
     per_day = pay.unionByName(ask).groupBy("member_id", "d", "kind").agg(
@@ -108,7 +111,8 @@ def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame)
 def fact_lottery(lottery: DataFrame, payments: DataFrame, dim_member: DataFrame,
                  dim_plan: DataFrame) -> DataFrame:
     """lottery fact with the cumulative paid ratio (J3 + R10 + R11 + S5)."""
-    base = paid_before(lottery_rows(lottery, dim_member, dim_plan), payments)
+    base = paid_before(lottery_rows(lottery, dim_member, dim_plan), payments,
+                       asks=lottery.select("member_id", "lottery_date"))
     months = rules.months_elapsed("signup_date", "lottery_date")
     out = (base.withColumn("months_elapsed", months)
                .withColumn("cumulative_paid_ratio",

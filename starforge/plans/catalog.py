@@ -67,7 +67,7 @@ def _holidays(spark, st):
 
 
 def _dim_date_of_data(st):
-    return calendar.dim_date_covering((st.payments, "due_date"), (st.payments, "paid_date"),
+    return calendar.dim_date_covering((st.payments, ["due_date", "paid_date"]),
                                       (st.lottery, "lottery_date"))
 
 

@@ -61,6 +61,11 @@ def _members(t: DriverTables) -> DataFrame:
               .when(F.col("c_mktsegment") == "MACHINERY", "gecikmeli")
               .when(F.col("c_mktsegment") == "HOUSEHOLD", "pasif")
               .otherwise("aktif"))
+    # k % 33 = 0 rows appear twice; the copy is 30 days newer and "pasif".
+    copy = F.explode(F.when(k % 33 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    base = base.select("*", copy.alias("_copy"))
+    dup = F.col("_copy") == 1
+    signup = F.col("first_order").cast("date")
     rows = base.select(
         member_id_of(k).alias("member_id"),
         F.col("c_name").alias("full_name"),
@@ -73,16 +78,12 @@ def _members(t: DriverTables) -> DataFrame:
         F.make_date((1940 + k % 75).cast("int"), (1 + k % 12).cast("int"),
                     (1 + k % 28).cast("int")).alias("birth_date"),
         (F.col("c_acctbal") * 25).cast("decimal(12,2)").alias("income"),
-        F.col("first_order").cast("date").alias("signup_date"),
-        status.alias("status"),
+        F.when(dup, F.date_add(signup, 30)).otherwise(signup).alias("signup_date"),
+        F.when(dup, F.lit("pasif")).otherwise(status).alias("status"),
         F.lit(None).cast("string").alias("phone"),
         F.lit(None).cast("string").alias("email"),
-        (k % 33 == 0).alias("_dup"),
     )
-    extra = (rows.where("_dup")
-                 .withColumn("signup_date", F.date_add("signup_date", 30))
-                 .withColumn("status", F.lit("pasif")))
-    return conform(rows.unionByName(extra), schemas.STAGING_MEMBERS)
+    return conform(rows, schemas.STAGING_MEMBERS)
 
 
 def _plans(t: DriverTables) -> DataFrame:
