@@ -65,10 +65,10 @@ def read_latest(spark: SparkSession, base: str, table: str, schema: T.StructType
     if not runs:
         return None
     path = f"{base.rstrip('/')}/{table}/run_id={runs[-1]}"
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
+    if schema is None:
+        return spark.read.parquet(path)
+    # partition columns come back last; restore the declared order
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def append_audit(spark: SparkSession, base: str, run_id: str, stage: str, status: str,

@@ -36,7 +36,9 @@ def scd2_batch_writer(spark: SparkSession, base: str, as_of: dt.date, prefix: st
 def run_incremental_scd2(spark: SparkSession, incoming: str, base: str, checkpoint: str,
                          as_of: dt.date, prefix: str | None = None) -> None:
     """Consume all member files that arrived in ``incoming`` and stop."""
-    stream = spark.readStream.schema(schemas.STAGING_MEMBERS).parquet(incoming)
+    stream = (spark.readStream.schema(schemas.STAGING_MEMBERS)
+                   .option("recursiveFileLookup", "true")  # any folder layout under incoming
+                   .parquet(incoming))
     q = (stream.writeStream
                .foreachBatch(scd2_batch_writer(spark, base, as_of, prefix))
                .option("checkpointLocation", checkpoint)
