@@ -8,7 +8,7 @@ new snapshot of the whole dimension (see :mod:`starforge.sources.snapshots`).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starforge import schemas
@@ -51,14 +51,22 @@ def scd2_classify(dim: DataFrame, members: DataFrame) -> DataFrame:
     return j.withColumn("action", action)
 
 
-def scd2_apply(dim: DataFrame, members: DataFrame, as_of) -> DataFrame:
+def scd2_apply(dim: DataFrame, members: DataFrame, as_of,
+               observation: Observation | None = None) -> DataFrame:
     """The new dimension snapshot after one daily batch.
 
     Every member that gets a new version has its current row(s) closed
     (valid_to = as_of, is_current = false); the new version is current with
     valid_from = signup date. Members missing from staging stay as they are.
+    With ``observation`` the D6 counters (inserted / updated / skipped) are
+    collected while the snapshot is written, without a second job.
     """
     classified = scd2_classify(dim, members)
+    if observation is not None:
+        a = F.col("action")
+        classified = classified.observe(
+            observation, F.count_if(a == INSERT).alias(INSERT),
+            F.count_if(a == UPDATE).alias(UPDATE), F.count_if(a == SKIP).alias(SKIP))
     changes = classified.where(F.col("action") != SKIP).withColumn(
         "version_no", (F.coalesce(F.col("n_versions"), F.lit(0)) + 1).cast("int"))
     new_rows = member_rows(changes, as_of, keep=["version_no"]).withColumn(

@@ -10,6 +10,7 @@ lost executor or a failed attempt is harmless.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,15 +74,28 @@ def read_latest(spark: SparkSession, base: str, table: str, schema: T.StructType
 
 def append_audit(spark: SparkSession, base: str, run_id: str, stage: str, status: str,
                  rows: int = 0, duration: float = 0.0, error: str | None = None) -> None:
-    """Append one audit row (one small file per stage and run)."""
-    row = [(run_id, stage, status, int(rows), float(duration), error,
-            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))]
-    (spark.createDataFrame(row, AUDIT_SCHEMA).coalesce(1)
-          .write.mode("append").parquet(f"{base.rstrip('/')}/stage_runs"))
+    """Append one audit row, committed on its own (one small JSON file per
+    stage and run, created through the cluster file system; no Spark job)."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rec = {"run_id": run_id, "stage": stage, "status": status, "rows_inserted": int(rows),
+           "duration_sec": float(duration), "error_msg": error,
+           "logged_at": now.isoformat(timespec="milliseconds")}
+    name = f"{run_id}__{now.strftime('%Y%m%dT%H%M%S%f')}__{stage}.json"
+    fs, _, jvm = _fs(spark, base)
+    final = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/stage_runs/{name}")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/stage_runs/_tmp/{name}")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray((json.dumps(rec) + "\n").encode("utf-8")))
+    finally:
+        out.close()
+    fs.mkdirs(final.getParent())
+    fs.rename(tmp, final)  # readers never see a half-written row
 
 
 def read_audit(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).parquet(f"{base.rstrip('/')}/stage_runs")
+    return (spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "false")
+                 .json(f"{base.rstrip('/')}/stage_runs/*.json"))
 
 
 def with_run_id(df: DataFrame, run_id: str) -> DataFrame:
