@@ -7,7 +7,7 @@ the exact value (integer arithmetic), as SQL ROUND(numeric) does.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starforge.functions.exact import round_ratio, scaled
@@ -56,7 +56,7 @@ def income_stats(members: DataFrame) -> DataFrame:
     return one.select(
         F.col("mn").cast("decimal(14,2)").alias("min_income"),
         F.col("mx").cast("decimal(14,2)").alias("max_income"),
-        (round_ratio(F.col("s"), F.col("n"), 0).cast("long") * 1).alias("_avg_cents"),
+        round_ratio(F.col("s"), F.col("n"), 0).cast("long").alias("_avg_cents"),
         F.round(F.col("sd"), 2).cast("decimal(14,2)").alias("stddev_income"),
     ).select("min_income", "max_income",
              scaled(F.col("_avg_cents"), 2).cast("decimal(14,2)").alias("avg_income"),
@@ -83,12 +83,16 @@ def plan_listing(plans: DataFrame) -> DataFrame:
 def share_of_total(df: DataFrame, col: str) -> DataFrame:
     """A6 + W1: count per value and its percentage of all rows (2 decimals).
 
-    The unframed window runs over the grouped result (one row per distinct
-    value), not over the input rows.
+    SUM(COUNT(*)) OVER () is computed as a scalar subquery over the grouped
+    rows (inlined as a constant; AQE reuses the grouping shuffle), so no
+    single-partition window gathers the groups and no join is needed.
     """
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return (g.withColumn("pct", round_ratio(F.col("n") * 100, total, 2).cast("decimal(5,2)"))
+    total = g.agg(F.sum("n")).scalar()  # over the grouped rows: its shuffle is reused
+    # bind the subquery to a column once: every later reference reads the column
+    return (g.withColumn("_total", total)
+             .withColumn("pct", round_ratio(F.col("n") * 100, F.col("_total"), 2).cast("decimal(5,2)"))
+             .drop("_total")
              .orderBy(F.col("n").desc(), F.col(col).asc_nulls_last()))
 
 
@@ -126,10 +130,17 @@ def lottery_summary(lottery: DataFrame) -> DataFrame:
 
 
 def lottery_by_plan(lottery: DataFrame, plans: DataFrame) -> DataFrame:
-    """Entries and winners per plan name (inner join on plan_id)."""
-    j = lottery.select("plan_id", "is_winner").join(plans.select("plan_id", "plan_name"), "plan_id")
-    return (j.groupBy("plan_name").agg(F.count(F.lit(1)).alias("n_lottery"),
-                                       F.count_if(F.col("is_winner")).cast("long").alias("n_winners"))
+    """Entries and winners per plan name (inner join on plan_id).
+
+    Entries are counted per plan_id before the join (partial aggregation), so
+    the join sees one row per plan instead of one per entry; a plan_id listed
+    under several names still counts under each, as the row-level join does.
+    """
+    per_plan = lottery.groupBy("plan_id").agg(
+        F.count(F.lit(1)).alias("c"), F.count_if(F.col("is_winner")).alias("w"))
+    j = per_plan.join(plans.select("plan_id", "plan_name"), "plan_id")
+    return (j.groupBy("plan_name").agg(F.sum("c").cast("long").alias("n_lottery"),
+                                       F.sum("w").cast("long").alias("n_winners"))
              .orderBy(F.col("n_lottery").desc(), F.col("plan_name").asc_nulls_last()))
 
 

@@ -123,6 +123,8 @@ def orphans(child: DataFrame, parent: DataFrame, child_keys: list[str],
     c = child.select(*child_keys)
     if skip_null:
         c = c.where(~_null_any(*child_keys))
+    # a small parent is broadcast (by measured size); otherwise a sort-merge
+    # anti-join, whose hot child keys AQE splits (left-anti skew handling)
     return c.join(p, child_keys, "left_anti").agg(F.count(F.lit(1)).alias("n"))
 
 

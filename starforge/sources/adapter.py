@@ -157,10 +157,10 @@ def _payments(t: DriverTables) -> DataFrame:
 def _lottery(t: DriverTables) -> DataFrame:
     o = F.col("o_orderkey")
     n_parts = t.part.select(F.count(F.lit(1))).scalar()  # scalar subquery, no join
-    out = t.orders.select(
+    out = t.orders.withColumn("_n_parts", n_parts).select(  # bound once, read as a column
         F.concat(F.lit("L"), o.cast("string")).alias("lottery_id"),
         member_id_of(F.col("o_custkey")).alias("member_id"),
-        plan_id_of(o % n_parts).alias("plan_id"),
+        plan_id_of(o % F.col("_n_parts")).alias("plan_id"),
         F.date_add(F.col("o_orderdate").cast("date"), (o % 700).cast("int")).alias("lottery_date"),
         (1 + o % 8).cast("int").alias("lottery_round"),
         (F.col("o_orderpriority") == "1-URGENT").alias("is_winner"),
