@@ -14,13 +14,12 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from starforge.session import build_session, work_path  # noqa: E402
+from starforge.session import build_session, work_dir, work_path  # noqa: E402
 
 
 def main() -> None:
@@ -32,8 +31,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="starforge-bench",
                           shuffle_partitions=max(8, 2 * cpus), extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="starforge-bench-"))
+    work_dir(spark)  # spark.checkpoint.dir, or a scratch folder only where it is unset
 
     from starforge.operators import calendar, dims, facts, profile, quality, scd2
     from starforge.plans.star_load import run_star_load

@@ -45,9 +45,12 @@ class DriverTables:
             raise AttributeError(name)
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name not in self.SMALL_TABLES:
-            want = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < want:
-                df = df.repartition(want)
+            try:
+                want = self.spark.sparkContext.defaultParallelism
+                if df.rdd.getNumPartitions() < want:
+                    df = df.repartition(want)
+            except Exception:  # no RDD API on this session: keep the scan as it is
+                pass
         self.__dict__[name] = df
         return df
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -18,7 +17,6 @@ def spark():
     s = build_session("local[4]", app="starforge-tests", shuffle_partitions=8,
                       extra={"spark.ui.showConsoleProgress": "false"})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # set our own only where unset
-        d = tempfile.mkdtemp(prefix="starforge-tests-")
-        s.conf.set("spark.checkpoint.dir", d)
+    from starforge.session import work_dir
+    work_dir(s)  # uses spark.checkpoint.dir; sets a scratch one only where unset
     yield s
