@@ -403,6 +403,17 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {STAGING_PAYMENT_COLS} FROM payments p WHERE NOT EXISTS (SELECT 1 FROM payments t "
         f"WHERE t.due_date < {_d(EXISTING_CUTOFF)} AND t.payment_id = p.payment_id) "
         f"QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {PAYMENT_ORDER}) = 1")
+    fact_cols = ("payment_id, member_id, plan_id, date_key, installment_no, due_amount, paid_amount, "
+                 "days_late, CASE WHEN paid_date IS NULL THEN 'odenmedi' WHEN days_late > 0 THEN 'gecikmeli' "
+                 "ELSE 'zamaninda' END AS payment_status")
+    day1 = f"due_date < {_d(EXISTING_CUTOFF)}"
+    q["incremental_fact_payments"] = BASE + (
+        f", f1 AS (SELECT * FROM pay_rows WHERE {day1} "
+        f"QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {PAYMENT_ORDER}) = 1), "
+        f"f2 AS (SELECT * FROM pay_rows r WHERE NOT coalesce({day1}, FALSE) "
+        f"AND NOT EXISTS (SELECT 1 FROM f1 WHERE f1.payment_id = r.payment_id) "
+        f"QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {PAYMENT_ORDER}) = 1) "
+        f"SELECT {fact_cols} FROM f1 UNION ALL SELECT {fact_cols} FROM f2")
     q["dim_date"] = BASE + "SELECT * FROM dim_date_data"
     ram = " OR ".join(f"(due_date BETWEEN {_d(lo)} AND {_d(hi)})" for lo, hi in cal.RAMADAN_RANGES)
     q["is_ramadan"] = BASE + f"SELECT payment_id, installment_no, due_date, ({ram}) AS is_ramadan FROM payments"

@@ -137,6 +137,27 @@ def q_incremental_scd2(spark, sf_dir):
     return snap.read_latest(spark, base, "dim_member", schemas.DIM_MEMBER).select(*DIM_MEMBER_OUT)
 
 
+@query("incremental_fact_payments")
+def q_incremental_fact_payments(spark, sf_dir):
+    """G3 + F1 + S5: payments arrive in two daily files (due before / from the cutoff);
+    an availableNow stream appends each day's new payment_ids to the fact, ignoring
+    ids the fact already holds."""
+    from starforge.streaming.incremental import fact_batches, run_incremental_payments
+    st = _st(spark, sf_dir)
+    root = work_path(spark, "incremental", uuid.uuid4().hex)
+    incoming, base, ckpt = f"{root}/incoming", f"{root}/star", f"{root}/_checkpoint"
+    dm, dp = _dims(st)
+    snap.write_snapshot(dm, base, "dim_member", "d0", partition_by=["is_current"])
+    snap.write_snapshot(dp, base, "dim_plan", "d0")
+    early = F.col("due_date") < F.lit(EXISTING_CUTOFF)
+    st.payments.where(early).write.mode("overwrite").parquet(f"{incoming}/day=1")
+    run_incremental_payments(spark, incoming, base, ckpt, prefix="p1")
+    st.payments.where(~F.coalesce(early, F.lit(False))).write.mode("overwrite").parquet(
+        f"{incoming}/day=2")
+    run_incremental_payments(spark, incoming, base, ckpt, prefix="p2")
+    return fact_batches(spark, base, "fact_payments").select(*FACT_PAYMENT_OUT)
+
+
 # ---------------- calendar ----------------
 
 @query("dim_date")

@@ -45,7 +45,7 @@ def write_snapshot(df: DataFrame, base: str, table: str, run_id: str,
     return path
 
 
-def snapshot_runs(spark: SparkSession, base: str, table: str) -> list[str]:
+def snapshot_runs(spark: SparkSession, base: str, table: str, prefix: str = "run_id=") -> list[str]:
     """Complete snapshot run ids of ``table``, oldest first (directory listing only)."""
     fs, root, jvm = _fs(spark, f"{base.rstrip('/')}/{table}")
     if not fs.exists(root):
@@ -53,9 +53,9 @@ def snapshot_runs(spark: SparkSession, base: str, table: str) -> list[str]:
     runs = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("run_id="):
+        if st.isDirectory() and name.startswith(prefix):
             if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                runs.append(name[len("run_id="):])
+                runs.append(name[len(prefix):])
     return sorted(runs)
 
 

@@ -1,4 +1,5 @@
-"""Incremental daily SCD2 load as a Structured Streaming job.
+"""Incremental daily loads as Structured Streaming jobs (SCD2 member
+dimension, and the payment fact with insert-ignore against the target).
 
 New staging member files land in a folder; ``trigger(availableNow=True)``
 processes whatever arrived since the last run and stops. Each micro-batch is
@@ -16,7 +17,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from starforge import schemas
-from starforge.operators import scd2
+from starforge.operators import facts, scd2
+from starforge.operators.dedupe import insert_ignore
 from starforge.sources import snapshots as snap
 
 
@@ -45,3 +47,53 @@ def run_incremental_scd2(spark: SparkSession, incoming: str, base: str, checkpoi
                .trigger(availableNow=True)
                .start())
     q.awaitTermination()
+
+
+def fact_batches(spark: SparkSession, base: str, table: str, before: str | None = None,
+                 schema=None) -> DataFrame | None:
+    """All complete appended batches of ``table`` (``batch=<id>`` folders), optionally
+    only those before ``before``; None when there is none."""
+    runs = [r for r in snap.snapshot_runs(spark, base, table, prefix="batch=")
+            if before is None or r < before]
+    if not runs:
+        return None
+    paths = [f"{base.rstrip('/')}/{table}/batch={r}" for r in runs]
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(*paths)
+
+
+def payments_batch_writer(spark: SparkSession, base: str, prefix: str):
+    """foreachBatch body for F1 with S5 against the target: the batch is joined to
+    the newest complete dimensions, rows whose payment_id the fact already holds
+    are dropped, the first row per new payment_id wins, and the result is written
+    to its own ``batch=<id>`` folder (overwrite: a replayed batch rewrites it)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run_id = f"{prefix}-{batch_id:09d}"
+        dm = snap.read_latest(spark, base, "dim_member", schemas.DIM_MEMBER)
+        dp = snap.read_latest(spark, base, "dim_plan")
+        if dm is None or dp is None:
+            raise RuntimeError("no complete dimension snapshot to load payments against")
+        rows = facts.payment_rows(batch, dm, dp)
+        target = fact_batches(spark, base, "fact_payments", before=run_id)
+        if target is None:
+            new = facts.first_per_key(rows, ["payment_id"], facts.payment_order())
+        else:
+            new = insert_ignore(target, rows, ["payment_id"], facts.payment_order())
+        new.write.mode("overwrite").parquet(f"{base.rstrip('/')}/fact_payments/batch={run_id}")
+
+    return write
+
+
+def run_incremental_payments(spark: SparkSession, incoming: str, base: str, checkpoint: str,
+                             prefix: str) -> None:
+    """Consume all staging payment files that arrived in ``incoming`` and stop."""
+    stream = (spark.readStream.schema(schemas.STAGING_PAYMENTS)
+                   .option("recursiveFileLookup", "true")
+                   .parquet(incoming))
+    q = (stream.writeStream
+               .foreachBatch(payments_batch_writer(spark, base, prefix))
+               .option("checkpointLocation", checkpoint)
+               .trigger(availableNow=True)
+               .start())
+    q.awaitTermination()
