@@ -73,3 +73,31 @@ def test_streaming_incremental_equals_batch(spark):
     key = lambda df: {tuple(r) for r in df.drop("member_key").collect()}
     assert key(streamed) == key(batch)
     assert len(snap.snapshot_runs(spark, base, "dim_member")) == 2
+
+
+def test_incremental_payments_insert_ignore(spark):
+    from starforge.operators import facts
+    from starforge.operators.dedupe import first_per_key
+    from starforge.streaming.incremental import fact_batches, run_incremental_payments
+    st = staging_from_driver(spark, SF)
+    root = work_path(spark, "test-stream", uuid.uuid4().hex)
+    inc, base, ck = f"{root}/in", f"{root}/star", f"{root}/ck"
+    dm, dp = dims.dim_member_full(st.members, AS_OF), dims.dim_plan(st.plans)
+    snap.write_snapshot(dm, base, "dim_member", "d0", ["is_current"])
+    snap.write_snapshot(dp, base, "dim_plan", "d0")
+    cut = F.col("due_date") < F.lit(dt.date(1999, 1, 1))
+    st.payments.where(cut).write.parquet(f"{inc}/a")
+    run_incremental_payments(spark, inc, base, ck, "p1")
+    st.payments.where(~F.coalesce(cut, F.lit(False))).write.parquet(f"{inc}/b")
+    run_incremental_payments(spark, inc, base, ck, "p2")
+    run_incremental_payments(spark, inc, base, ck, "p3")  # nothing new: no batch
+    got = fact_batches(spark, base, "fact_payments")
+    assert got.select("payment_id").distinct().count() == got.count()
+    rows = facts.payment_rows(st.payments, dm, dp)
+    day1 = first_per_key(rows.where(cut), ["payment_id"], facts.payment_order())
+    day2 = first_per_key(rows.where(~F.coalesce(cut, F.lit(False)))
+                         .join(day1.select("payment_id"), "payment_id", "left_anti"),
+                         ["payment_id"], facts.payment_order())
+    want = day1.unionByName(day2)
+    key = lambda df: {tuple(r) for r in df.select(sorted(df.columns)).collect()}
+    assert key(got.drop("member_key", "plan_key")) == key(want.drop("member_key", "plan_key"))
