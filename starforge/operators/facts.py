@@ -39,11 +39,21 @@ def current_members(dim_member: DataFrame) -> DataFrame:
     return dim_member.where(F.col("is_current")).select("member_id", "member_key", "signup_date")
 
 
-def payment_rows(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame) -> DataFrame:
-    """F1 before de-duplication: J1 + J2 + date key + R3/R4 per row."""
+def _hinted(df: DataFrame, broadcast: bool) -> DataFrame:
+    return F.broadcast(df) if broadcast else df
+
+
+def payment_rows(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame,
+                 broadcast_members: bool = False, broadcast_plans: bool = False) -> DataFrame:
+    """F1 before de-duplication: J1 + J2 + date key + R3/R4 per row.
+
+    ``broadcast_*`` force a broadcast of that dimension; callers set them only
+    after bounding its size (see :mod:`starforge.plans.star_load`). Otherwise
+    Catalyst/AQE choose by their own size estimate.
+    """
     p = payments.where(F.col("payment_id").isNotNull())
-    m = current_members(dim_member).select("member_id", "member_key")
-    pl = dim_plan.select("plan_id", "plan_key")
+    m = _hinted(current_members(dim_member).select("member_id", "member_key"), broadcast_members)
+    pl = _hinted(dim_plan.select("plan_id", "plan_key"), broadcast_plans)
     j = p.join(m, "member_id").join(pl, "plan_id")
     late = rules.days_late("due_date", "paid_date")
     return j.select(
@@ -56,9 +66,11 @@ def payment_rows(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame
     )
 
 
-def fact_payments(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame) -> DataFrame:
+def fact_payments(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame,
+                  broadcast_members: bool = False, broadcast_plans: bool = False) -> DataFrame:
     """payment fact, one row per payment_id (first wins, after the joins)."""
-    return first_per_key(payment_rows(payments, dim_member, dim_plan), ["payment_id"], payment_order())
+    rows = payment_rows(payments, dim_member, dim_plan, broadcast_members, broadcast_plans)
+    return first_per_key(rows, ["payment_id"], payment_order())
 
 
 def paid_before(rows: DataFrame, payments: DataFrame, date_col: str = "lottery_date",
@@ -96,11 +108,12 @@ def paid_before(rows: DataFrame, payments: DataFrame, date_col: str = "lottery_d
     return j.withColumn(out, F.coalesce(F.col(out), F.lit(0).cast("long")))
 
 
-def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame) -> DataFrame:
+def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame,
+                 broadcast_members: bool = False, broadcast_plans: bool = False) -> DataFrame:
     """lottery entries joined to the current member (with signup date) and plan."""
     lt = lottery.where(F.col("lottery_id").isNotNull())
-    m = current_members(dim_member)
-    pl = dim_plan.select("plan_id", "plan_key")
+    m = _hinted(current_members(dim_member), broadcast_members)
+    pl = _hinted(dim_plan.select("plan_id", "plan_key"), broadcast_plans)
     j = lt.join(m, "member_id").join(pl, "plan_id")
     return j.select("lottery_id", "member_key", "plan_key",
                     date_key("lottery_date").alias("date_key"),
@@ -109,9 +122,11 @@ def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame)
 
 
 def fact_lottery(lottery: DataFrame, payments: DataFrame, dim_member: DataFrame,
-                 dim_plan: DataFrame) -> DataFrame:
+                 dim_plan: DataFrame, broadcast_members: bool = False,
+                 broadcast_plans: bool = False) -> DataFrame:
     """lottery fact with the cumulative paid ratio (J3 + R10 + R11 + S5)."""
-    base = paid_before(lottery_rows(lottery, dim_member, dim_plan), payments,
+    rows = lottery_rows(lottery, dim_member, dim_plan, broadcast_members, broadcast_plans)
+    base = paid_before(rows, payments,
                        asks=lottery.select("member_id", "lottery_date"))
     months = rules.months_elapsed("signup_date", "lottery_date")
     out = (base.withColumn("months_elapsed", months)
