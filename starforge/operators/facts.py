@@ -123,9 +123,15 @@ def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame,
 
 def fact_lottery(lottery: DataFrame, payments: DataFrame, dim_member: DataFrame,
                  dim_plan: DataFrame, broadcast_members: bool = False,
-                 broadcast_plans: bool = False) -> DataFrame:
-    """lottery fact with the cumulative paid ratio (J3 + R10 + R11 + S5)."""
+                 broadcast_plans: bool = False, observation=None) -> DataFrame:
+    """lottery fact with the cumulative paid ratio (J3 + R10 + R11 + S5).
+
+    With ``observation`` the joined rows are counted before insert-ignore
+    (metric ``rows``), as the load reports them.
+    """
     rows = lottery_rows(lottery, dim_member, dim_plan, broadcast_members, broadcast_plans)
+    if observation is not None:
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
     base = paid_before(rows, payments,
                        asks=lottery.select("member_id", "lottery_date"))
     months = rules.months_elapsed("signup_date", "lottery_date")

@@ -457,6 +457,15 @@ def oracle_sql() -> dict[str, str]:
         f"WHERE {md5_sample_sql('member_id', 0.03, 's')}")
     q["scd2_classify"] = BASE + "SELECT member_id, action FROM scd_classified"
     q["scd2_apply"] = BASE + f"SELECT {DIM_MEMBER_COLS} FROM scd_applied"
+    # day 1 (previous members) then day 2 through the stream = the batch SCD2 apply
+    q["incremental_scd2"] = q["scd2_apply"]
+    q["stage_audit"] = BASE + (
+        f"SELECT 'dim_date' AS stage, 'success' AS status, CAST(count(*) AS BIGINT) AS rows_inserted "
+        f"FROM dim_date_spine UNION ALL "
+        f"SELECT 'dim_plan', 'success', CAST(count(*) AS BIGINT) FROM dim_plan UNION ALL "
+        f"SELECT 'dim_member', 'success', CAST(count(*) AS BIGINT) FROM clean1 UNION ALL "
+        f"SELECT 'fact_payments', 'success', CAST(count(*) AS BIGINT) FROM pay_rows UNION ALL "
+        f"SELECT 'fact_lottery', 'success', CAST(count(*) AS BIGINT) FROM lot_rows")
     q["scd2_current"] = BASE + "SELECT member_id, member_status, valid_from, version_no FROM scd_applied WHERE is_current"
     q["scd2_counts"] = BASE + "SELECT action, count(*) AS n FROM scd_classified GROUP BY action"
     q["fact_payments"] = BASE + (
