@@ -1,9 +1,12 @@
 """Slowly changing member dimension, type 2 (D4 classify, D5 apply, D6 counters).
 
-Set-based: one aggregate over the current dimension (versions held and the
-current status per member), one join with the day's clean batch, one join to
-close superseded rows. No per-row lookups, no MERGE needed: the result is a
-new snapshot of the whole dimension (see :mod:`starforge.sources.snapshots`).
+Set-based: one aggregate over the *current* rows (status and version of the
+current row per member), one join with the day's clean batch, one join to
+close superseded rows. No per-row lookups and no MERGE: a daily step reads
+only the current rows and yields the new current set plus the rows it closed.
+Closed history never changes again, so it is never re-read or rewritten; the
+cost of a day grows with the number of members, not with the history length
+(see :func:`scd2_step` and :mod:`starforge.sources.snapshots`).
 """
 
 from __future__ import annotations
@@ -23,20 +26,21 @@ def empty_dim_member(spark: SparkSession) -> DataFrame:
 
 
 def member_state(dim: DataFrame) -> DataFrame:
-    """Per member: number of versions held and the status of the current row.
+    """Per member with a current row: its status and version number.
 
-    A grouped aggregate with map-side partial aggregation: one row per member
-    leaves each map task, however many versions a member has.
+    Only current rows are read (a full dimension is filtered, a current
+    snapshot passes as is). Grouped with map-side partial aggregation, so a
+    member contributes one row per map task whatever the input.
     """
-    cur = F.col("is_current")
-    return dim.groupBy("member_id").agg(
-        F.count(F.lit(1)).alias("n_versions"),
-        F.max(F.when(cur, F.col("member_status"))).alias("current_status"),
+    cur = dim.where(F.col("is_current"))
+    return cur.groupBy("member_id").agg(
+        F.max("version_no").alias("current_version"),
+        F.max("member_status").alias("current_status"),
     )
 
 
 def scd2_classify(dim: DataFrame, members: DataFrame) -> DataFrame:
-    """Action per clean staging member against the current snapshot.
+    """Action per clean staging member against the current rows.
 
     insert: no current row, or its status is NULL (both look the same to a
     status lookup); update: the status differs (NULL-aware); skip: same status.
@@ -51,33 +55,50 @@ def scd2_classify(dim: DataFrame, members: DataFrame) -> DataFrame:
     return j.withColumn("action", action)
 
 
-def scd2_apply(dim: DataFrame, members: DataFrame, as_of,
-               observation: Observation | None = None) -> DataFrame:
-    """The new dimension snapshot after one daily batch.
+def scd2_step(current: DataFrame, members: DataFrame, as_of,
+              observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """D5 on the current rows only: returns (new current set, rows closed today).
 
-    Every member that gets a new version has its current row(s) closed
+    Every member that gets a new version has its current row closed
     (valid_to = as_of, is_current = false); the new version is current with
-    valid_from = signup date. Members missing from staging stay as they are.
-    With ``observation`` the D6 counters (inserted / updated / skipped) are
-    collected while the snapshot is written, without a second job.
+    valid_from = signup date and version_no = previous version + 1. Members
+    missing from staging keep their current row. With ``observation`` the D6
+    counters (inserted / updated / skipped) are collected during the write.
     """
-    classified = scd2_classify(dim, members)
+    classified = scd2_classify(current, members)
     if observation is not None:
         a = F.col("action")
         classified = classified.observe(
             observation, F.count_if(a == INSERT).alias(INSERT),
             F.count_if(a == UPDATE).alias(UPDATE), F.count_if(a == SKIP).alias(SKIP))
     changes = classified.where(F.col("action") != SKIP).withColumn(
-        "version_no", (F.coalesce(F.col("n_versions"), F.lit(0)) + 1).cast("int"))
+        "version_no", (F.coalesce(F.col("current_version"), F.lit(0)) + 1).cast("int"))
     new_rows = member_rows(changes, as_of, keep=["version_no"]).withColumn(
         "member_key", member_key())
     changed = changes.select("member_id", F.lit(True).alias("_changed"))
-    close = F.coalesce(F.col("_changed"), F.lit(False)) & F.col("is_current")
-    old = (dim.join(changed, "member_id", "left")
-              .withColumn("valid_to", F.when(close, F.lit(as_of).cast("date"))
-                          .otherwise(F.col("valid_to")))
-              .withColumn("is_current", F.when(close, F.lit(False)).otherwise(F.col("is_current"))))
-    return old.select(*DIM_COLUMNS).unionByName(new_rows.select(*DIM_COLUMNS))
+    j = current.where(F.col("is_current")).join(changed, "member_id", "left")
+    closed = (j.where(F.col("_changed"))
+               .withColumn("valid_to", F.lit(as_of).cast("date"))
+               .withColumn("is_current", F.lit(False)))
+    kept = j.where(F.col("_changed").isNull())
+    new_current = kept.select(*DIM_COLUMNS).unionByName(new_rows.select(*DIM_COLUMNS))
+    return new_current, closed.select(*DIM_COLUMNS)
+
+
+def scd2_delta(current: DataFrame, members: DataFrame, as_of,
+               observation: Observation | None = None) -> DataFrame:
+    """The day's step as one DataFrame: new current set (is_current = true) plus
+    the rows closed today (is_current = false), to be written in one job."""
+    new_current, closed = scd2_step(current, members, as_of, observation)
+    return new_current.unionByName(closed)
+
+
+def scd2_apply(dim: DataFrame, members: DataFrame, as_of,
+               observation: Observation | None = None) -> DataFrame:
+    """D5 on a whole dimension: unchanged history, plus today's delta."""
+    history = dim.where(~F.col("is_current"))
+    return history.select(*DIM_COLUMNS).unionByName(
+        scd2_delta(dim.where(F.col("is_current")), members, as_of, observation))
 
 
 def scd2_counts(dim: DataFrame, members: DataFrame) -> DataFrame:

@@ -275,16 +275,15 @@ prev_members AS (
                          ELSE status END AS status)
   FROM members WHERE CAST(substr(member_id, 2) AS BIGINT) % 7 <> 0),{_member_dim_ctes('prev_', 'prev_members', PREV_AS_OF)},
 scd_state AS (
-  SELECT member_id, count(*) AS n_versions,
-         max(CASE WHEN is_current THEN member_status END) AS current_status
-  FROM prev_dim_member GROUP BY member_id),
+  SELECT member_id, max(version_no) AS current_version, max(member_status) AS current_status
+  FROM prev_dim_member WHERE is_current GROUP BY member_id),
 scd_classified AS (
-  SELECT c.*, s.n_versions, s.current_status,
+  SELECT c.*, s.current_version, s.current_status,
          CASE WHEN s.current_status IS NULL THEN 'insert'
               WHEN s.current_status IS DISTINCT FROM c.status THEN 'update' ELSE 'skip' END AS action
   FROM clean1 c LEFT JOIN scd_state s ON c.member_id = s.member_id),
 scd_changes AS (
-  SELECT *, CAST(coalesce(n_versions, 0) + 1 AS INTEGER) AS new_version
+  SELECT *, CAST(coalesce(current_version, 0) + 1 AS INTEGER) AS new_version
   FROM scd_classified WHERE action <> 'skip'),
 scd_applied AS (
   SELECT d.member_id, d.full_name, d.tc_hash, d.city, d.district, d.age_group, d.income_bracket,

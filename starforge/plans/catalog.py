@@ -136,7 +136,7 @@ def q_incremental_scd2(spark, sf_dir):
     run_incremental_scd2(spark, incoming, base, ckpt, PREV_AS_OF, prefix="d1")
     st.members.write.mode("overwrite").parquet(f"{incoming}/day=2")
     run_incremental_scd2(spark, incoming, base, ckpt, AS_OF, prefix="d2")
-    return snap.read_latest(spark, base, "dim_member", schemas.DIM_MEMBER).select(*DIM_MEMBER_OUT)
+    return snap.read_scd2(spark, base, "dim_member", schemas.DIM_MEMBER).select(*DIM_MEMBER_OUT)
 
 
 @query("incremental_fact_payments")

@@ -108,18 +108,20 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
         return _rows(obs)
 
     def load_dim_member():
-        prev = snap.read_latest(spark, base, "dim_member", schemas.DIM_MEMBER, before=run_id)
+        # only the current rows are read; the run stores the new current set and
+        # the rows it closed (history is append-only, see sources.snapshots)
+        prev = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, before=run_id)
         prev = scd2.empty_dim_member(spark) if prev is None else prev
         obs = Observation("dim_member")
-        new = scd2.scd2_apply(prev, staging.members, as_of, observation=obs)
-        snap.write_snapshot(new, base, "dim_member", run_id, partition_by=["is_current"])
+        delta = scd2.scd2_delta(prev, staging.members, as_of, observation=obs)
+        snap.write_snapshot(delta, base, "dim_member", run_id, partition_by=["is_current"])
         # Inserted + updated + skipped = clean rows read
         return int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP)))
 
     limit = int(spark.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
 
     def dims_for_facts():
-        dm = snap.read_latest(spark, base, "dim_member", schemas.DIM_MEMBER)
+        dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER)
         dp = snap.read_latest(spark, base, "dim_plan")
         if dm is None or dp is None:
             raise RuntimeError("no complete dimension snapshot to load facts against")

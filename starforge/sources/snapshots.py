@@ -72,6 +72,36 @@ def read_latest(spark: SparkSession, base: str, table: str, schema: T.StructType
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def read_scd2_current(spark: SparkSession, base: str, table: str, schema: T.StructType,
+                      before: str | None = None) -> DataFrame | None:
+    """Current rows of an SCD2 table: the ``is_current=true`` part of the newest
+    complete run (each run stores its whole current set there)."""
+    runs = [r for r in snapshot_runs(spark, base, table) if before is None or r < before]
+    if not runs:
+        return None
+    path = f"{base.rstrip('/')}/{table}/run_id={runs[-1]}"
+    return (spark.read.schema(schema).parquet(path).where(F.col("is_current"))
+                 .select(*schema.fieldNames()))
+
+
+def read_scd2(spark: SparkSession, base: str, table: str, schema: T.StructType,
+              before: str | None = None) -> DataFrame | None:
+    """The whole SCD2 table: newest current set plus every run's closed rows.
+
+    A run writes only the rows it closed under ``is_current=false``; history is
+    append-only and is never rewritten.
+    """
+    runs = [r for r in snapshot_runs(spark, base, table) if before is None or r < before]
+    if not runs:
+        return None
+    root = base.rstrip("/")
+    cur = read_scd2_current(spark, base, table, schema, before)
+    closed = (spark.read.schema(schema).option("basePath", f"{root}/{table}")
+                   .parquet(*[f"{root}/{table}/run_id={r}" for r in runs])
+                   .where(~F.col("is_current")).select(*schema.fieldNames()))
+    return closed.unionByName(cur)
+
+
 def append_audit(spark: SparkSession, base: str, run_id: str, stage: str, status: str,
                  rows: int = 0, duration: float = 0.0, error: str | None = None) -> None:
     """Append one audit row, committed on its own (one small JSON file per

@@ -27,10 +27,10 @@ def scd2_batch_writer(spark: SparkSession, base: str, as_of: dt.date, prefix: st
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{prefix}-{batch_id:09d}"
-        prev = snap.read_latest(spark, base, "dim_member", schemas.DIM_MEMBER, before=run_id)
+        prev = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, before=run_id)
         prev = scd2.empty_dim_member(spark) if prev is None else prev
-        new = scd2.scd2_apply(prev, batch, as_of)
-        snap.write_snapshot(new, base, "dim_member", run_id, partition_by=["is_current"])
+        delta = scd2.scd2_delta(prev, batch, as_of)
+        snap.write_snapshot(delta, base, "dim_member", run_id, partition_by=["is_current"])
 
     return write
 
@@ -70,7 +70,7 @@ def payments_batch_writer(spark: SparkSession, base: str, prefix: str):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{prefix}-{batch_id:09d}"
-        dm = snap.read_latest(spark, base, "dim_member", schemas.DIM_MEMBER)
+        dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER)
         dp = snap.read_latest(spark, base, "dim_plan")
         if dm is None or dp is None:
             raise RuntimeError("no complete dimension snapshot to load payments against")
