@@ -99,7 +99,8 @@ def holiday_calendar(spark: SparkSession, years: DataFrame | None = None,
         [(dt.date(y, m, d), n) for y, m, d, n in cal.RELIGIOUS_HOLIDAYS], "start date, n int")
     religious = religious_starts.select(
         F.explode(F.sequence("start", F.date_add("start", F.col("n") - 1))).alias("holiday"))
-    religious = religious.join(years, F.year("holiday") == years.year, "left_semi")
+    # years: distinct calendar years, at most a few thousand rows -> broadcast is bounded
+    religious = religious.join(F.broadcast(years), F.year("holiday") == years.year, "left_semi")
     return fixed.unionByName(religious).distinct()
 
 
@@ -114,9 +115,11 @@ def flag_near_holiday(df: DataFrame, date_col: str, holidays: DataFrame, window:
     """Flag rows whose date lies within ``window`` days before a holiday (or on it).
 
     Rewritten from "scan every holiday per row" to an equi-join on the
-    expanded day set; the day set is bounded by (#holidays x (window+1)), so
-    AQE broadcasts it and the big side is never shuffled.
+    expanded day set. That set holds distinct calendar dates, so it can never
+    exceed the number of days in the calendar span (a few thousand rows for
+    decades of data): it is broadcast explicitly, and the big side is never
+    shuffled even when the holidays are derived from the data itself.
     """
     days = near_holiday_days(holidays, window).withColumn("_near", F.lit(True))
-    j = df.join(days, F.col(date_col) == F.col("near_day"), "left")
+    j = df.join(F.broadcast(days), F.col(date_col) == F.col("near_day"), "left")
     return j.withColumn(out, F.coalesce(F.col("_near"), F.lit(False))).drop("near_day", "_near")
