@@ -1,17 +1,17 @@
 """Slowly changing member dimension, type 2 (D4 classify, D5 apply, D6 counters).
 
-Set-based: one aggregate over the *current* rows (status and version of the
-current row per member), one join with the day's clean batch, one join to
-close superseded rows. No per-row lookups and no MERGE: a daily step reads
-only the current rows and yields the new current set plus the rows it closed.
-Closed history never changes again, so it is never re-read or rewritten; the
-cost of a day grows with the number of members, not with the history length
-(see :func:`scd2_step` and :mod:`starforge.sources.snapshots`).
+Set-based, in one pass: the *current* rows and the day's clean batch (already
+shaped as dimension rows) are put side by side and marked per member with a
+window partitioned by member_id (one shuffle, no join); closed rows, kept rows
+and new versions all come out of that one pass. No per-row lookups and no
+MERGE. Only current rows are read; closed history never changes again, so it
+is never re-read or rewritten and the cost of a day grows with the number of
+members, not with the history length (see :mod:`starforge.sources.snapshots`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starforge import schemas
@@ -25,72 +25,83 @@ def empty_dim_member(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.DIM_MEMBER)
 
 
-def member_state(dim: DataFrame) -> DataFrame:
-    """Per member with a current row: its status and version number.
+def _marked(current: DataFrame, members: DataFrame, as_of) -> DataFrame:
+    """Current rows and the day's transformed batch rows side by side, each row
+    marked with its member's action. One shuffle by member_id, no join.
 
-    Only current rows are read (a full dimension is filtered, a current
-    snapshot passes as is). Grouped with map-side partial aggregation, so a
-    member contributes one row per map task whatever the input.
+    The window per member holds the member's current row(s) plus at most one
+    batch row, so no group grows with the data.
     """
-    cur = dim.where(F.col("is_current"))
-    return cur.groupBy("member_id").agg(
-        F.max("version_no").alias("current_version"),
-        F.max("member_status").alias("current_status"),
+    batch = member_rows(one_row_per_member(clean_members(members)), as_of).select(
+        F.lit(None).cast("long").alias("member_key"), "*",
+        F.lit(None).cast("int").alias("version_no"), F.lit(1).alias("_src"))
+    cur = current.where(F.col("is_current")).select(*DIM_COLUMNS, F.lit(0).alias("_src"))
+    u = cur.unionByName(batch.select(*DIM_COLUMNS, "_src"))
+    w = Window.partitionBy("member_id")
+    is_b = F.col("_src") == 1
+    u = u.select(
+        "*",
+        F.max(F.when(~is_b, F.col("version_no"))).over(w).alias("_cur_version"),
+        F.max(F.when(~is_b, F.col("member_status"))).over(w).alias("_cur_status"),
+        F.max(F.when(is_b, F.col("member_status"))).over(w).alias("_new_status"),
+        F.max(is_b.cast("int")).over(w).alias("_has_batch"),
     )
+    cur_s, new_s = F.col("_cur_status"), F.col("_new_status")
+    action = (F.when(F.col("_has_batch") == 0, F.lit(None).cast("string"))
+              .when(cur_s.isNull(), INSERT)
+              .when(~cur_s.eqNullSafe(new_s), UPDATE)
+              .otherwise(SKIP))
+    return u.withColumn("action", action)
 
 
-def scd2_classify(dim: DataFrame, members: DataFrame) -> DataFrame:
+def scd2_classify(dim: DataFrame, members: DataFrame, as_of) -> DataFrame:
     """Action per clean staging member against the current rows.
 
     insert: no current row, or its status is NULL (both look the same to a
     status lookup); update: the status differs (NULL-aware); skip: same status.
     Only the status is tracked; other attribute changes do not make a version.
     """
-    batch = one_row_per_member(clean_members(members))
-    j = batch.join(member_state(dim), "member_id", "left")
-    cur, new = F.col("current_status"), F.col("status")
-    action = (F.when(cur.isNull(), INSERT)
-              .when(~cur.eqNullSafe(new), UPDATE)
-              .otherwise(SKIP))
-    return j.withColumn("action", action)
+    m = _marked(dim, members, as_of)
+    return m.where(F.col("_src") == 1).select("member_id", "action")
 
 
-def scd2_step(current: DataFrame, members: DataFrame, as_of,
-              observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
-    """D5 on the current rows only: returns (new current set, rows closed today).
+def scd2_delta(current: DataFrame, members: DataFrame, as_of,
+               observation: Observation | None = None) -> DataFrame:
+    """D5 on the current rows only: the new current set (is_current = true) plus
+    the rows closed today (is_current = false), as one DataFrame / one write.
 
-    Every member that gets a new version has its current row closed
+    Every member that gets a new version has its current row(s) closed
     (valid_to = as_of, is_current = false); the new version is current with
     valid_from = signup date and version_no = previous version + 1. Members
     missing from staging keep their current row. With ``observation`` the D6
     counters (inserted / updated / skipped) are collected during the write.
     """
-    classified = scd2_classify(current, members)
+    m = _marked(current, members, as_of)
+    a = F.col("action")
     if observation is not None:
-        a = F.col("action")
-        classified = classified.observe(
-            observation, F.count_if(a == INSERT).alias(INSERT),
-            F.count_if(a == UPDATE).alias(UPDATE), F.count_if(a == SKIP).alias(SKIP))
-    changes = classified.where(F.col("action") != SKIP).withColumn(
-        "version_no", (F.coalesce(F.col("current_version"), F.lit(0)) + 1).cast("int"))
-    new_rows = member_rows(changes, as_of, keep=["version_no"]).withColumn(
-        "member_key", member_key())
-    changed = changes.select("member_id", F.lit(True).alias("_changed"))
-    j = current.where(F.col("is_current")).join(changed, "member_id", "left")
-    closed = (j.where(F.col("_changed"))
-               .withColumn("valid_to", F.lit(as_of).cast("date"))
-               .withColumn("is_current", F.lit(False)))
-    kept = j.where(F.col("_changed").isNull())
-    new_current = kept.select(*DIM_COLUMNS).unionByName(new_rows.select(*DIM_COLUMNS))
-    return new_current, closed.select(*DIM_COLUMNS)
+        b = F.col("_src") == 1
+        m = m.observe(observation, F.count_if(b & (a == INSERT)).alias(INSERT),
+                      F.count_if(b & (a == UPDATE)).alias(UPDATE),
+                      F.count_if(b & (a == SKIP)).alias(SKIP))
+    changed = a.isin(INSERT, UPDATE)
+    is_b = F.col("_src") == 1
+    version = F.when(is_b, (F.coalesce(F.col("_cur_version"), F.lit(0)) + 1).cast("int")) \
+        .otherwise(F.col("version_no"))
+    out = (m.where(~is_b | changed)
+            .withColumn("version_no", version)
+            .withColumn("member_key", F.when(is_b, member_key()).otherwise(F.col("member_key")))
+            .withColumn("valid_to", F.when(~is_b & changed, F.lit(as_of).cast("date"))
+                        .otherwise(F.col("valid_to")))
+            .withColumn("is_current", F.when(~is_b & changed, F.lit(False))
+                        .otherwise(F.col("is_current"))))
+    return out.select(*DIM_COLUMNS)
 
 
-def scd2_delta(current: DataFrame, members: DataFrame, as_of,
-               observation: Observation | None = None) -> DataFrame:
-    """The day's step as one DataFrame: new current set (is_current = true) plus
-    the rows closed today (is_current = false), to be written in one job."""
-    new_current, closed = scd2_step(current, members, as_of, observation)
-    return new_current.unionByName(closed)
+def scd2_step(current: DataFrame, members: DataFrame, as_of,
+              observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """D5 split into (new current set, rows closed today)."""
+    d = scd2_delta(current, members, as_of, observation)
+    return d.where(F.col("is_current")), d.where(~F.col("is_current"))
 
 
 def scd2_apply(dim: DataFrame, members: DataFrame, as_of,
@@ -101,6 +112,6 @@ def scd2_apply(dim: DataFrame, members: DataFrame, as_of,
         scd2_delta(dim.where(F.col("is_current")), members, as_of, observation))
 
 
-def scd2_counts(dim: DataFrame, members: DataFrame) -> DataFrame:
+def scd2_counts(dim: DataFrame, members: DataFrame, as_of) -> DataFrame:
     """Inserted / updated / skipped; their sum is the number of clean rows read."""
-    return scd2_classify(dim, members).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+    return scd2_classify(dim, members, as_of).groupBy("action").agg(F.count(F.lit(1)).alias("n"))

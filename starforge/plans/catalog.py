@@ -301,7 +301,7 @@ def q_union_all_members(spark, sf_dir):
 @query("scd2_classify")
 def q_scd2_classify(spark, sf_dir):
     prev, members = _scd2_inputs(_st(spark, sf_dir))
-    return scd2.scd2_classify(prev, members).select("member_id", "action")
+    return scd2.scd2_classify(prev, members, AS_OF)
 
 
 @query("scd2_apply")
@@ -320,7 +320,7 @@ def q_scd2_current(spark, sf_dir):
 @query("scd2_counts")
 def q_scd2_counts(spark, sf_dir):
     prev, members = _scd2_inputs(_st(spark, sf_dir))
-    return scd2.scd2_counts(prev, members)
+    return scd2.scd2_counts(prev, members, AS_OF)
 
 
 @query("fact_payments")

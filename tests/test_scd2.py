@@ -53,10 +53,10 @@ def batch2(spark):
 
 
 def test_classify_edges(spark, day1, batch2):
-    got = {r.member_id: r.action for r in scd2.scd2_classify(day1, batch2).collect()}
+    got = {r.member_id: r.action for r in scd2.scd2_classify(day1, batch2, DAY2).collect()}
     assert got == {"M1": "update", "M2": "skip", "M3": "insert", "M5": "update",
                    "M6": "insert", "M7": "insert"}
-    counts = {r.action: r.n for r in scd2.scd2_counts(day1, batch2).collect()}
+    counts = {r.action: r.n for r in scd2.scd2_counts(day1, batch2, DAY2).collect()}
     assert counts == {"update": 2, "skip": 1, "insert": 3}
     assert sum(counts.values()) == dims.one_row_per_member(dims.clean_members(batch2)).count()
 
@@ -96,7 +96,7 @@ def test_idempotent(spark, day1, batch2):
     # "no current row": they are re-inserted on every run. Everything else is stable.
     stable = lambda df: {tuple(r) for r in df.where("member_id NOT IN ('M3', 'M5')").collect()}
     assert stable(d2) == stable(d2b)
-    counts = {r.action: r.n for r in scd2.scd2_counts(d2, batch2).collect()}
+    counts = {r.action: r.n for r in scd2.scd2_counts(d2, batch2, DAY2).collect()}
     assert counts.get("update", 0) == 0
 
 
@@ -104,9 +104,24 @@ def test_status_change_counts_like_the_log(spark, day1):
     """Unchanged batch: everything skipped; one status change: one update."""
     same = members(spark, [("M1", "h1", "aktif", dt.date(2023, 1, 1)),
                            ("M2", "h2", "aktif", dt.date(2023, 2, 1))])
-    c = {r.action: r.n for r in scd2.scd2_counts(day1, same).collect()}
+    c = {r.action: r.n for r in scd2.scd2_counts(day1, same, DAY2).collect()}
     assert c == {"skip": 2}
     one = members(spark, [("M1", "h1", "gecikmeli", dt.date(2023, 1, 1)),
                           ("M2", "h2", "aktif", dt.date(2023, 2, 1))])
-    c = {r.action: r.n for r in scd2.scd2_counts(day1, one).collect()}
+    c = {r.action: r.n for r in scd2.scd2_counts(day1, one, DAY2).collect()}
     assert c == {"skip": 1, "update": 1}
+
+
+def test_two_current_rows_are_both_closed_once(spark):
+    """A dimension that broke the one-current-row invariant still gets one new
+    version per member, and every old current row is closed."""
+    dim = scd2.scd2_apply(scd2.empty_dim_member(spark),
+                          members(spark, [("M1", "h1", "aktif", dt.date(2023, 1, 1))]), DAY1)
+    broken = dim.unionByName(dim.withColumn("version_no", F.lit(2))
+                                .withColumn("member_key", F.lit(7).cast("long")))
+    out = scd2.scd2_apply(broken, members(spark, [("M1", "h1", "pasif", dt.date(2023, 1, 1))]), DAY2)
+    rows = out.collect()
+    assert sum(r.is_current for r in rows) == 1
+    new = [r for r in rows if r.is_current][0]
+    assert (new.version_no, new.member_status) == (3, "pasif")
+    assert sorted((r.version_no, r.valid_to) for r in rows if not r.is_current) == [(1, DAY2), (2, DAY2)]
