@@ -6,7 +6,8 @@ job then reads staging through the declared-schema scan (S1). Each headline job
 runs in full with the ``noop`` sink (every row computed, nothing collected);
 ``star_load`` is the whole daily run (five stages writing Parquet snapshots plus
 the audit), the counterpart of the reference's logged "full pipeline" time.
-Prints one JSON line.
+Prints one JSON line. ``--explain`` prints the formatted physical plans of the
+headline jobs instead.
 """
 
 from __future__ import annotations
@@ -51,6 +52,20 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)
 
+    if "--explain" in sys.argv:  # print the formatted physical plans instead of timing
+        dm, dp = dims.dim_member_full(st.members, AS_OF), dims.dim_plan(st.plans)
+        prev = dims.dim_member_full(previous_members(st.members), AS_OF)
+        for name, df in {
+            "fact_payments": facts.fact_payments(st.payments, dm, dp),
+            "fact_lottery": facts.fact_lottery(st.lottery, st.payments, dm, dp),
+            "scd2_apply": scd2.scd2_apply(prev, st.members, AS_OF),
+            "dq_report": quality.dq_report(st, dm, AS_OF),
+        }.items():
+            print(f"===== {name}")
+            df.explain("formatted")
+        spark.stop()
+        return
+
     run("warmup", dims.dim_plan(st.plans))
     del times["warmup"]
     dm, dp = dims.dim_member_full(st.members, AS_OF), dims.dim_plan(st.plans)
