@@ -15,10 +15,15 @@ def installment_schedule(subs: DataFrame, key: str, start: str, duration: str, a
     after ``as_of``; installment_no = k + 1. Duration 0 or NULL gives no rows.
 
     ``explode(sequence)`` runs inside each task; a row's output is bounded by
-    its duration, so no group is gathered anywhere.
+    its duration and by the months up to ``as_of`` (months after it are never
+    generated), so no group is gathered anywhere.
     """
     d = F.col(duration).cast("int")
-    ks = F.when(d > 0, F.sequence(F.lit(0), d - 1)).otherwise(F.array().cast("array<int>"))
+    start_c, asof_c = F.col(start), F.lit(as_of)
+    # months from start to as_of: no due date beyond month m can be on or before as_of
+    m = ((F.year(asof_c) - F.year(start_c)) * 12 + (F.month(asof_c) - F.month(start_c))).cast("int")
+    last = F.when(d > 0, F.least(d - 1, m))  # NULL (no rows) for a 0 or NULL duration
+    ks = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     rows = subs.select(F.col(key), F.col(start).alias("_start"), F.explode(ks).alias("_k"))
     due = F.add_months(F.col("_start"), F.col("_k"))
     return (rows.select(F.col(key), (F.col("_k") + 1).cast("int").alias("installment_no"),
