@@ -117,7 +117,9 @@ def capped_ratio(paid_count, months) -> Column:
     """min(round(paid / months, 4), 1) as decimal(5,4), half-up on the exact ratio."""
     p = _c(paid_count).cast("long")
     m = _c(months).cast("long")
-    q = F.least(F.lit(10000).cast("long"), idiv(p * 20000 + m, m * 2))
+    # least() skips NULLs, so a missing input must stay NULL explicitly
+    q = F.when(p.isNotNull() & m.isNotNull(),
+               F.least(F.lit(10000).cast("long"), idiv(p * 20000 + m, m * 2)))
     return scaled(q, 4).cast("decimal(5,4)")
 
 

@@ -68,7 +68,8 @@ def months_elapsed_sql(s: str, e: str) -> str:
 
 
 def capped_ratio_sql(p: str, m: str) -> str:
-    q = f"least(10000, (CAST({p} AS BIGINT) * 20000 + {m}) // (2 * {m}))"
+    q = (f"CASE WHEN {p} IS NOT NULL AND {m} IS NOT NULL THEN "
+         f"least(10000, (CAST({p} AS BIGINT) * 20000 + {m}) // (2 * {m})) END")
     return f"CAST({scaled_sql(q, 4)} AS DECIMAL(5,4))"
 
 

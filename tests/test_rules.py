@@ -102,10 +102,10 @@ def test_months_elapsed_random_pairs(spark):
 
 
 def test_capped_ratio_half_up_and_cap(spark):
-    rows = [(1, 3), (2, 3), (1, 8), (5, 4), (0, 1), (1, 16)]
+    rows = [(1, 3), (2, 3), (1, 8), (5, 4), (0, 1), (1, 16), (None, 3), (3, None)]
     got = one(spark, rows, "p long, m int", rules.capped_ratio("p", "m"))
     assert got == [Decimal("0.3333"), Decimal("0.6667"), Decimal("0.1250"), Decimal("1.0000"),
-                   Decimal("0.0000"), Decimal("0.0625")]
+                   Decimal("0.0000"), Decimal("0.0625"), None, None]
 
 
 def test_age_years_leap_birthday(spark):
