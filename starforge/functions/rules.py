@@ -137,24 +137,25 @@ def pseudonymise(value) -> Column:
 
 def format_business_id(prefix: str, width: int, n) -> Column:
     """Zero-padded id such as M00042; longer numbers are not truncated."""
-    return F.format_string(f"{prefix}%0{width}d", _c(n).cast("long"))
+    v = _c(n).cast("long")
+    return F.when(v.isNotNull(), F.format_string(f"{prefix}%0{width}d", v))
 
 
 def income_tier(income) -> Column:
     """Value tier that picks the draw weights."""
     v = _c(income)
-    out = None
+    out = F.when(v.isNull(), F.lit(None).cast("string"))
     for lo, label in INCOME_TIER_BOUNDS:
-        out = F.when(v >= lo, label) if out is None else out.when(v >= lo, label)
+        out = out.when(v >= lo, label)
     return out.otherwise(INCOME_TIER_LOW)
 
 
 def late_surcharge(income) -> Column:
     """Lateness surcharge by income (15 / 8 / 0)."""
     v = _c(income)
-    out = None
+    out = F.when(v.isNull(), F.lit(None).cast("int"))
     for hi, extra in LATE_SURCHARGE:
-        out = F.when(v < hi, extra) if out is None else out.when(v < hi, extra)
+        out = out.when(v < hi, extra)
     return out.otherwise(0).cast("int")
 
 

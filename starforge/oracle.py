@@ -447,8 +447,10 @@ def oracle_sql() -> dict[str, str]:
     tier = " ".join(f"WHEN income >= {lo} THEN '{lab}'" for lo, lab in rules.INCOME_TIER_BOUNDS)
     sur = " ".join(f"WHEN income < {hi} THEN {x}" for hi, x in rules.LATE_SURCHARGE)
     q["income_tier"] = BASE + (
-        f"SELECT member_id, income, CASE {tier} ELSE '{rules.INCOME_TIER_LOW}' END AS income_tier, "
-        f"CAST(CASE {sur} ELSE 0 END AS INTEGER) AS late_surcharge FROM members")
+        f"SELECT member_id, income, CASE WHEN income IS NULL THEN NULL {tier} "
+        f"ELSE '{rules.INCOME_TIER_LOW}' END AS income_tier, "
+        f"CAST(CASE WHEN income IS NULL THEN NULL {sur} ELSE 0 END AS INTEGER) AS late_surcharge "
+        f"FROM members")
     q["latest_per_key"] = BASE + "SELECT member_id, tc_hash, signup_date, status FROM clean"
     q["dim_member_clean"] = BASE + f"SELECT {DIM_MEMBER_COLS} FROM dim_member"
     q["dim_plan"] = BASE + "SELECT * FROM dim_plan"

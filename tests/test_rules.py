@@ -118,16 +118,16 @@ def test_pseudonymise_and_format(spark):
     import hashlib
     got = one(spark, [("12345678901",)], "v string", rules.pseudonymise("v"))
     assert got == [hashlib.sha256(b"12345678901").hexdigest()]
-    got = one(spark, [(7,), (123456,)], "n long", rules.format_business_id("M", 5, "n"))
-    assert got == ["M00007", "M123456"]  # longer numbers are not truncated
+    got = one(spark, [(7,), (123456,), (None,)], "n long", rules.format_business_id("M", 5, "n"))
+    assert got == ["M00007", "M123456", None]  # longer numbers are not truncated
 
 
 def test_income_tier_and_surcharge(spark):
     rows = [(Decimal(v),) for v in ("10000", "30000", "49999.99", "50000", "99999", "100000")]
-    df = spark.createDataFrame(rows, "v decimal(12,2)")
+    df = spark.createDataFrame(rows + [(None,)], "v decimal(12,2)")
     got = df.select(rules.income_tier("v"), rules.late_surcharge("v")).collect()
     assert [tuple(r) for r in got] == [("low", 15), ("low", 8), ("low", 8), ("mid", 0),
-                                       ("mid", 0), ("high", 0)]
+                                       ("mid", 0), ("high", 0), (None, None)]
 
 
 def test_calendar_parts(spark):
