@@ -35,12 +35,24 @@ def scd2_batch_writer(spark: SparkSession, base: str, as_of: dt.date, prefix: st
     return write
 
 
+def _source(spark: SparkSession, schema, incoming: str, max_files: int | None) -> DataFrame:
+    r = spark.readStream.schema(schema).option("recursiveFileLookup", "true")  # any folder layout
+    if max_files:
+        # one day's drop per micro-batch when several days are pending
+        r = r.option("maxFilesPerTrigger", str(max_files))
+    return r.parquet(incoming)
+
+
 def run_incremental_scd2(spark: SparkSession, incoming: str, base: str, checkpoint: str,
-                         as_of: dt.date, prefix: str | None = None) -> None:
-    """Consume all member files that arrived in ``incoming`` and stop."""
-    stream = (spark.readStream.schema(schemas.STAGING_MEMBERS)
-                   .option("recursiveFileLookup", "true")  # any folder layout under incoming
-                   .parquet(incoming))
+                         as_of: dt.date, prefix: str | None = None,
+                         max_files_per_trigger: int | None = None) -> None:
+    """Consume all member files that arrived in ``incoming`` and stop.
+
+    Run once per daily drop: files that arrive together form one batch, i.e.
+    one day's staging snapshot. If several days are pending and each day is
+    one file, ``max_files_per_trigger=1`` keeps them in separate batches.
+    """
+    stream = _source(spark, schemas.STAGING_MEMBERS, incoming, max_files_per_trigger)
     q = (stream.writeStream
                .foreachBatch(scd2_batch_writer(spark, base, as_of, prefix))
                .option("checkpointLocation", checkpoint)
@@ -86,11 +98,11 @@ def payments_batch_writer(spark: SparkSession, base: str, prefix: str):
 
 
 def run_incremental_payments(spark: SparkSession, incoming: str, base: str, checkpoint: str,
-                             prefix: str) -> None:
-    """Consume all staging payment files that arrived in ``incoming`` and stop."""
-    stream = (spark.readStream.schema(schemas.STAGING_PAYMENTS)
-                   .option("recursiveFileLookup", "true")
-                   .parquet(incoming))
+                             prefix: str, max_files_per_trigger: int | None = None) -> None:
+    """Consume all staging payment files that arrived in ``incoming`` and stop.
+    Batches may be any size: insert-ignore against the held fact makes the
+    result the same however the files are grouped, up to which duplicate wins."""
+    stream = _source(spark, schemas.STAGING_PAYMENTS, incoming, max_files_per_trigger)
     q = (stream.writeStream
                .foreachBatch(payments_batch_writer(spark, base, prefix))
                .option("checkpointLocation", checkpoint)

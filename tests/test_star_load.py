@@ -126,3 +126,13 @@ class _St:
     def __init__(self, st, **over):
         for k in ("members", "plans", "subscriptions", "payments", "lottery"):
             setattr(self, k, over.get(k, getattr(st, k)))
+
+
+def test_streaming_days_pending_together_stay_separate(spark):
+    st = staging_from_driver(spark, SF)
+    root = work_path(spark, "test-stream", uuid.uuid4().hex)
+    inc, base, ck = f"{root}/in", f"{root}/star", f"{root}/ck"
+    previous_members(st.members).coalesce(1).write.parquet(f"{inc}/d1")
+    st.members.coalesce(1).write.parquet(f"{inc}/d2")
+    run_incremental_scd2(spark, inc, base, ck, AS_OF, prefix="x", max_files_per_trigger=1)
+    assert len(snap.snapshot_runs(spark, base, "dim_member")) == 2
