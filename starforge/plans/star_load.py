@@ -119,16 +119,28 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
         return int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP)))
 
     limit = int(spark.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
+    shared: dict = {}
+    dims_lock = threading.Lock()
 
     def dims_for_facts():
-        dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER)
-        dp = snap.read_latest(spark, base, "dim_plan")
-        if dm is None or dp is None:
-            raise RuntimeError("no complete dimension snapshot to load facts against")
-        hints = {"broadcast_members": bounded_broadcast(facts.current_members(dm),
-                                                        MEMBER_ROW_BYTES, limit),
-                 "broadcast_plans": bounded_broadcast(dp, PLAN_ROW_BYTES, limit)}
-        return dm, dp, hints
+        """Newest complete dimension snapshots and their broadcast decisions,
+        resolved once per run and shared by the fact stages."""
+        with dims_lock:
+            if "value" not in shared and "error" not in shared:
+                try:
+                    dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER)
+                    dp = snap.read_latest(spark, base, "dim_plan")
+                    if dm is None or dp is None:
+                        raise RuntimeError("no complete dimension snapshot to load facts against")
+                    hints = {"broadcast_members": bounded_broadcast(
+                                 facts.current_members(dm), MEMBER_ROW_BYTES, limit),
+                             "broadcast_plans": bounded_broadcast(dp, PLAN_ROW_BYTES, limit)}
+                    shared["value"] = (dm, dp, hints)
+                except Exception as e:
+                    shared["error"] = e
+            if "error" in shared:
+                raise shared["error"]
+            return shared["value"]
 
     def load_fact_payments():
         dm, dp, hints = dims_for_facts()
