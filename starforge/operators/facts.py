@@ -79,11 +79,12 @@ def paid_before(rows: DataFrame, payments: DataFrame, date_col: str = "lottery_d
     and due date on or before the row's date (across all plans, raw staging rows).
 
     Rewritten from a per-member nested scan into a running count: payments and
-    the distinct (member, date) pairs to answer are aggregated per
-    (member, day, kind) with map-side combine, then a running sum per member
-    ordered by (day, kind) counts payments due on the same day first. A member
-    contributes at most (#distinct payment days + #distinct asked days) rows to
-    the window, whatever its row count, so a hot member cannot overload a task.
+    the dates to answer are aggregated to one row per (member, day) with
+    map-side combine (payments due that day, and whether the day is asked),
+    then a running sum per member ordered by day gives, on each asked day, the
+    payments due on or before it. A member contributes at most one row per
+    distinct day to the window, whatever its row count, so a hot member cannot
+    overload a task.
     Rows with a NULL date or member get 0. ``asks`` (member_id, date) may name
     a cheaper source of the dates to answer than ``rows`` itself (e.g. the raw
     table before its dimension joins), so ``rows`` is not computed twice.
@@ -91,17 +92,18 @@ def paid_before(rows: DataFrame, payments: DataFrame, date_col: str = "lottery_d
     pay = (payments.where(F.col("payment_status").isin(rules.PAID_STATUSES)
                           & F.col("due_date").isNotNull() & F.col("member_id").isNotNull())
                    .select("member_id", F.col("due_date").alias("d"),
-                           F.lit(0).alias("kind"), F.lit(1).alias("n")))
+                           F.lit(1).alias("n"), F.lit(0).alias("asked")))
     asks = rows if asks is None else asks
     ask = (asks.where(F.col(date_col).isNotNull() & F.col("member_id").isNotNull())
                .select("member_id", F.col(date_col).alias("d"),
-                       F.lit(1).alias("kind"), F.lit(0).alias("n")))
-    per_day = pay.unionByName(ask).groupBy("member_id", "d", "kind").agg(
-        F.sum("n").cast("long").alias("n"))
-    w = Window.partitionBy("member_id").orderBy("d", "kind").rowsBetween(
+                       F.lit(0).alias("n"), F.lit(1).alias("asked")))
+    # one row per (member, day): payments due that day and whether the day is asked
+    per_day = pay.unionByName(ask).groupBy("member_id", "d").agg(
+        F.sum("n").cast("long").alias("n"), F.max("asked").alias("asked"))
+    w = Window.partitionBy("member_id").orderBy("d").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    counts = (per_day.withColumn("running", F.sum("n").over(w))
-                     .where(F.col("kind") == 1)
+    counts = (per_day.withColumn("running", F.sum("n").over(w))  # includes the day's own payments
+                     .where(F.col("asked") == 1)
                      .select("member_id", F.col("d").alias(date_col),
                              F.col("running").cast("long").alias(out)))
     j = rows.join(counts, ["member_id", date_col], "left")
