@@ -1,9 +1,11 @@
 """Fact loads: payments (F1) and lottery (F2/F3) with the paid-before-draw count.
 
-Joins to the dimensions are plain equi-joins; Catalyst/AQE broadcast a
-dimension only when its measured size is under the broadcast threshold and
-fall back to a sort-merge join otherwise, so a large member dimension is
-never forced into executor memory.
+Joins to the dimensions are plain equi-joins. By default Catalyst/AQE
+broadcast a dimension only when its measured size is under the broadcast
+threshold and use a sort-merge join otherwise; the ``broadcast_*`` flags
+force a broadcast and are set by the daily load only after bounding the
+dimension's size, so a large member dimension is never forced into executor
+memory.
 """
 
 from __future__ import annotations

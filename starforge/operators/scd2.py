@@ -2,7 +2,7 @@
 
 Set-based, in one pass: the *current* rows and the day's clean batch (already
 shaped as dimension rows) are put side by side and marked per member with a
-window partitioned by member_id (one shuffle, no join); closed rows, kept rows
+window partitioned by member_id (the current rows are shuffled once, no join); closed rows, kept rows
 and new versions all come out of that one pass. No per-row lookups and no
 MERGE. Only current rows are read; closed history never changes again, so it
 is never re-read or rewritten and the cost of a day grows with the number of

@@ -52,9 +52,10 @@ def scale_conf(shuffle_bytes: int, total_cores: int,
       small stages and splits skewed ones, so this is an upper bound, not a
       target for every stage;
     * scans split at the same size, so an input split fits in task memory;
-    * a join side is broadcast only while its measured size is under
-      ``broadcast_bytes`` (the calendar, plan and holiday-day sets are); the
-      member dimension at full scale stays a sort-merge join;
+    * Catalyst/AQE broadcast a join side only while its measured size is
+      under ``broadcast_bytes``; the library forces a broadcast only for
+      sets with a proven bound (see the README); the member dimension at full
+      scale stays a sort-merge join;
     * a partition is "skewed" when over 4x the median and over 512 MB; AQE then
       splits it (inner, left outer, left semi/anti sides).
     """
