@@ -115,3 +115,17 @@ def test_underage_uses_field_wise_age(spark):
     r = quality.RowRule("u", "t", "members", quality.ROW_RULES[3].predicate)
     got = quality.row_rule_counts(st_members, [r], dt.date(2022, 2, 28)).first().n
     assert got == 1
+
+
+def test_row_rule_null_semantics(spark):
+    from decimal import Decimal as Dec
+    from starforge import schemas
+    rows = [("M1", "n", "h", "c", "d", 1990, dt.date(1990, 1, 1), Dec("1.00"), dt.date(2020, 1, 1), "aktif", None, None),
+            ("M2", "n", None, "c", "d", 1990, dt.date(1990, 1, 1), Dec("1.00"), dt.date(2020, 1, 1), None, None, None),
+            ("M3", "n", "h", None, "d", 1990, dt.date(1990, 1, 1), Dec("0.00"), None, "bogus", None, None),
+            ("M4", "n", "h", "c", "d", 1990, dt.date(1990, 1, 1), None, dt.date(2020, 1, 1), "terk", None, None)]
+    members = spark.createDataFrame(rows, schemas.STAGING_MEMBERS)
+    counts = {r.rule: r.n for r in quality.row_rule_counts(members, quality.ROW_RULES[:4], AS_OF).collect()}
+    assert counts["NULL zorunlu alan (members)"] == 3   # M2 (hash, status), M3 (city, signup), M4 (income)
+    assert counts["Invalid member_status"] == 1         # 'bogus'; NULL is not counted by NOT IN
+    assert counts["Invalid income"] == 1                # 0.00; NULL is not counted
