@@ -127,7 +127,8 @@ def q_stage_audit(spark, sf_dir):
 
 @query("incremental_scd2")
 def q_incremental_scd2(spark, sf_dir):
-    """Two daily member files consumed by an availableNow stream; latest dim snapshot."""
+    """Two daily member files consumed by availableNow streams (SCD2 per batch);
+    returns the resulting member dimension (current rows plus closed history)."""
     from starforge.streaming.incremental import run_incremental_scd2
     st = _st(spark, sf_dir)
     root = work_path(spark, "incremental", uuid.uuid4().hex)
