@@ -17,16 +17,18 @@ def idiv(a: Column, b: Column) -> Column:
     """Floor division of non-negative integers, exact (no double round trip)."""
     a = a.cast(_D0)
     b = b.cast(_D0)
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    return ((a - F.pmod(a, b)) / b).cast(_D0)  # the division is exact: a - a mod b is a multiple of b
 
 
 def round_ratio(num: Column, den: Column, scale: int) -> Column:
     """num / den rounded half away from zero to ``scale`` digits, as decimal(38-?, scale).
 
-    NULL when ``den`` is 0 or NULL. Operands are integers (counts, cents).
+    NULL when ``den`` is 0 or NULL. Operands are integers (counts, cents) of any
+    size up to 38 digits.
     """
-    n = num.cast("long")
-    d = den.cast("long")
+    # decimal(38,0) rather than long: sums over very large tables stay exact
+    n = num.cast(_D0)
+    d = den.cast(_D0)
     q = idiv(F.abs(n) * F.lit(2 * 10 ** scale) + F.abs(d), F.lit(2) * F.abs(d))
     signed = F.when(F.signum(n) * F.signum(d) < 0, -q).otherwise(q)
     out = scaled(signed, scale)
@@ -42,7 +44,7 @@ def scaled(unscaled: Column, scale: int) -> Column:
     if scale == 0:
         return unscaled.cast(out_type(0))
     step = F.lit(f"0.{'0' * (scale - 1)}1").cast(f"decimal({scale + 1},{scale})")
-    return (unscaled.cast("decimal(18,0)") * step).cast(out_type(scale))
+    return (unscaled.cast(_D0) * step).cast(out_type(scale))
 
 
 def cents(amount: Column) -> Column:

@@ -49,14 +49,14 @@ def income_stats(members: DataFrame) -> DataFrame:
 
     AVG is rounded on the exact sum/count; STDDEV is the sample deviation.
     """
-    c = (F.col("income") * 100).cast("long")
+    c = (F.col("income") * 100).cast("decimal(38,0)")  # exact cents; no 64-bit overflow in the sum
     one = members.agg(F.min("income").alias("mn"), F.max("income").alias("mx"),
                       F.sum(c).alias("s"), F.count("income").alias("n"),
                       F.stddev_samp(F.col("income").cast("double")).alias("sd"))
     return one.select(
         F.col("mn").cast("decimal(14,2)").alias("min_income"),
         F.col("mx").cast("decimal(14,2)").alias("max_income"),
-        round_ratio(F.col("s"), F.col("n"), 0).cast("long").alias("_avg_cents"),
+        round_ratio(F.col("s"), F.col("n"), 0).cast("decimal(38,0)").alias("_avg_cents"),
         F.round(F.col("sd"), 2).cast("decimal(14,2)").alias("stddev_income"),
     ).select("min_income", "max_income",
              scaled(F.col("_avg_cents"), 2).cast("decimal(14,2)").alias("avg_income"),
