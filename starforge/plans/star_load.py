@@ -128,8 +128,11 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
         with dims_lock:
             if "value" not in shared and "error" not in shared:
                 try:
-                    dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER)
-                    dp = snap.read_latest(spark, base, "dim_plan")
+                    # newest snapshots up to this run: a replayed older day never
+                    # joins against a later day's dimensions
+                    dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER,
+                                                upto=run_id)
+                    dp = snap.read_latest(spark, base, "dim_plan", upto=run_id)
                     if dm is None or dp is None:
                         raise RuntimeError("no complete dimension snapshot to load facts against")
                     hints = {"broadcast_members": bounded_broadcast(

@@ -59,10 +59,16 @@ def snapshot_runs(spark: SparkSession, base: str, table: str, prefix: str = "run
     return sorted(runs)
 
 
+def _runs(spark, base, table, before=None, upto=None) -> list[str]:
+    return [r for r in snapshot_runs(spark, base, table)
+            if (before is None or r < before) and (upto is None or r <= upto)]
+
+
 def read_latest(spark: SparkSession, base: str, table: str, schema: T.StructType | None = None,
-                before: str | None = None) -> DataFrame | None:
-    """The greatest complete snapshot (optionally the greatest one before ``before``)."""
-    runs = [r for r in snapshot_runs(spark, base, table) if before is None or r < before]
+                before: str | None = None, upto: str | None = None) -> DataFrame | None:
+    """The greatest complete snapshot, optionally only among runs before ``before``
+    (exclusive) or up to ``upto`` (inclusive)."""
+    runs = _runs(spark, base, table, before, upto)
     if not runs:
         return None
     path = f"{base.rstrip('/')}/{table}/run_id={runs[-1]}"
@@ -73,10 +79,10 @@ def read_latest(spark: SparkSession, base: str, table: str, schema: T.StructType
 
 
 def read_scd2_current(spark: SparkSession, base: str, table: str, schema: T.StructType,
-                      before: str | None = None) -> DataFrame | None:
+                      before: str | None = None, upto: str | None = None) -> DataFrame | None:
     """Current rows of an SCD2 table: the ``is_current=true`` part of the newest
     complete run (each run stores its whole current set there)."""
-    runs = [r for r in snapshot_runs(spark, base, table) if before is None or r < before]
+    runs = _runs(spark, base, table, before, upto)
     if not runs:
         return None
     path = f"{base.rstrip('/')}/{table}/run_id={runs[-1]}"
@@ -85,17 +91,17 @@ def read_scd2_current(spark: SparkSession, base: str, table: str, schema: T.Stru
 
 
 def read_scd2(spark: SparkSession, base: str, table: str, schema: T.StructType,
-              before: str | None = None) -> DataFrame | None:
+              before: str | None = None, upto: str | None = None) -> DataFrame | None:
     """The whole SCD2 table: newest current set plus every run's closed rows.
 
     A run writes only the rows it closed under ``is_current=false``; history is
     append-only and is never rewritten.
     """
-    runs = [r for r in snapshot_runs(spark, base, table) if before is None or r < before]
+    runs = _runs(spark, base, table, before, upto)
     if not runs:
         return None
     root = base.rstrip("/")
-    cur = read_scd2_current(spark, base, table, schema, before)
+    cur = read_scd2_current(spark, base, table, schema, before, upto)
     closed = (spark.read.schema(schema).option("basePath", f"{root}/{table}")
                    .parquet(*[f"{root}/{table}/run_id={r}" for r in runs])
                    .where(~F.col("is_current")).select(*schema.fieldNames()))
