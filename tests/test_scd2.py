@@ -125,3 +125,17 @@ def test_two_current_rows_are_both_closed_once(spark):
     new = [r for r in rows if r.is_current][0]
     assert (new.version_no, new.member_status) == (3, "pasif")
     assert sorted((r.version_no, r.valid_to) for r in rows if not r.is_current) == [(1, DAY2), (2, DAY2)]
+
+
+def test_latest_per_hash_puts_null_signup_first(spark):
+    """DISTINCT ON (tc_hash) ORDER BY signup_date DESC keeps the NULL signup
+    (PostgreSQL sorts NULL first in DESC); NULL and empty hashes are not clean."""
+    m = members(spark, [("A1", "h", "aktif", dt.date(2023, 1, 1)),
+                        ("A2", "h", "pasif", None),
+                        ("A3", "h", "terk", dt.date(2023, 6, 1)),
+                        ("B1", "g", "aktif", dt.date(2023, 1, 1)),
+                        ("B2", "g", "pasif", dt.date(2023, 6, 1)),
+                        ("C1", None, "aktif", dt.date(2023, 1, 1)),
+                        ("C2", "", "aktif", dt.date(2023, 1, 1))])
+    got = {r.tc_hash: r.member_id for r in dims.clean_members(m).collect()}
+    assert got == {"h": "A2", "g": "B2"}
