@@ -169,9 +169,10 @@ def test_installment_schedule_edges(spark):
     df = spark.createDataFrame(
         [("a", D(2020, 1, 31), 3), ("b", D(2020, 1, 31), 0), ("c", D(2020, 1, 31), None),
          ("d", D(2022, 1, 1), 5), ("e", D(2021, 12, 31), 3), ("f", D(2021, 12, 15), 240),
-         ("g", D(2022, 3, 1), 12), ("h", None, 12)], "k string, s date, n int")
+         ("g", D(2022, 3, 1), 12), ("h", None, 12), ("i", D(2021, 6, 30), 1)],
+        "k string, s date, n int")
     got = sorted((r.k, r.installment_no, r.due_date)
                  for r in installment_schedule(df, "k", "s", "n", D(2022, 1, 15)).collect())
     assert got == [("a", 1, D(2020, 1, 31)), ("a", 2, D(2020, 2, 29)), ("a", 3, D(2020, 3, 31)),
                    ("d", 1, D(2022, 1, 1)), ("e", 1, D(2021, 12, 31)),
-                   ("f", 1, D(2021, 12, 15)), ("f", 2, D(2022, 1, 15))]
+                   ("f", 1, D(2021, 12, 15)), ("f", 2, D(2022, 1, 15)), ("i", 1, D(2021, 6, 30))]
