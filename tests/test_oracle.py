@@ -6,8 +6,9 @@ import __spark_entry__ as E
 from oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+CORPUS = set(E._corpus()[0])  # tested with their own package
+QUERIES = {k: v for k, v in E.queries().items() if k not in CORPUS}
+SQL = {k: v for k, v in E.oracle_sql().items() if k not in CORPUS}
 
 
 @pytest.fixture(scope="module")
