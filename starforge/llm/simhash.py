@@ -5,7 +5,7 @@ Fingerprints are the leaves of a binary trie; two sub-tries are walked together,
 the paths differ are added up, and a pair is given up as soon as they exceed the budget.
 
 As a Spark job: equal fingerprints become one row; the trie's top is split into cells of at most
-LEAF fingerprints (counts of prefixes, eight bits deeper wherever a cell is too full, so a dense
+LEAF fingerprints and TOP_BITS bits (counts of prefixes, eight bits deeper wherever a cell is too full, so a dense
 region is split as far as needed); the driver walks the cells of the top (at most a few per LEAF
 fingerprints), and each pair of cells within the budget is one group, whose sub-tries a task
 walks with whole frontiers of node pairs at a time in numpy. A task reduces its links to a
@@ -29,6 +29,8 @@ from starforge.llm.components import components
 
 #: Fingerprints in one cell of the trie's top, at most.
 LEAF = 32_768
+#: Every cell is at least so deep: tasks enough for small tables, and a fingerprint goes to about as many pairs at any size.
+TOP_BITS = 4
 #: Shingles whose bits are counted at once.
 CHUNK = 65_536
 #: Node pairs in one frontier, and leaf pairs compared at once.
@@ -83,7 +85,7 @@ def cells_of(classes: DataFrame, leaf: int = LEAF) -> list[tuple[int, int]]:
         total = sum(counts.values())
         if not total:
             return []
-        if total <= leaf:
+        if total <= leaf and depth >= TOP_BITS:
             done.append((prefix, depth))
             return []
         if depth == deepest:
