@@ -229,20 +229,21 @@ def links(classes: DataFrame, budget: int = 2, leaf: int = LEAF) -> DataFrame:
         if i != j:
             of[j].append((k, 1))
     first = np.array([p << (64 - d) for p, d in cells], np.uint64)
-    held = spark.sparkContext.broadcast((first, of, np.array([i == j for i, j in pairs], bool)))
+    start = np.cumsum([0, *map(len, of)])  # runs of (pair, side) of each cell
+    pair, side_of = (np.array([x[t] for c in of for x in c], np.int32) for t in (0, 1))
+    held = spark.sparkContext.broadcast((first, start, pair, side_of, np.array([i == j for i, j in pairs], bool)))
 
     def deal(batches):
-        first, of, _ = held.value
+        first, start, pair, side_of, _ = held.value
         for pdf in batches:
             fp = pdf["fp"].to_numpy(np.int64)
             cell = np.searchsorted(first, fp.view(np.uint64), side="right") - 1
-            for c in np.unique(cell):
-                own = fp[cell == c]
-                for k, side in of[c]:
-                    yield pd.DataFrame({"k": np.full(len(own), k, np.int32), "side": np.full(len(own), side, np.int32), "fp": own})
+            count = start[cell + 1] - start[cell]
+            at = np.repeat(start[cell] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            yield pd.DataFrame({"k": pair[at], "side": side_of[at], "fp": np.repeat(fp, count)})
 
     def walk(key, pdf):
-        same = bool(held.value[2][key[0]])
+        same = bool(held.value[-1][key[0]])
         fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
         side = pdf["side"].to_numpy()
         a = np.sort(fp[side == 0])
