@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from starforge.llm.common import ready, stored
 
 #: Rows of a block, the unit that is permuted at once, on average.
-BLOCK_ROWS = 100_000
+BLOCK_ROWS = 20_000
 
 
 def shard_sizes(n: int, shards: int) -> list[int]:
@@ -103,7 +103,7 @@ def shuffle_to_shards(rows: DataFrame, shards: int, seed: int = 7, block_rows: i
     places = stored(sizes.select("shard", "_block", before.alias("_first")), "shard-places")
     order = Window.partitionBy("shard", "_block").orderBy(F.xxhash64(F.lit(seed + 1), F.col("_id")), "_id")
     dealt = sent.withColumn("_rank", F.row_number().over(order))
-    out = dealt.join(F.broadcast(places), ["shard", "_block"])  # one row for each block
+    out = dealt.join(places, ["shard", "_block"])  # one row for each block; rows already lie by these keys
     return out.select(*[F.col(f"`{c}`") for c in rows.columns], "shard", (F.col("_first") + F.col("_rank") - 1).alias("slot"))
 
 
