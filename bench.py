@@ -43,7 +43,7 @@ def main() -> None:
     root = work_path(spark, "bench", uuid.uuid4().hex)
 
     t0 = time.time()
-    write_staging(staging_from_driver(spark, sf_dir), f"{root}/staging")
+    write_staging(staging_from_driver(spark, sf_dir, spread=cpus), f"{root}/staging")
     times["staging_write"] = round(time.time() - t0, 3)
     st = read_all_staging(spark, f"{root}/staging")
 

@@ -49,7 +49,18 @@ def cmd_profile(spark, a) -> None:
     ]
     for title, df in sections:
         print(f"== {title}")
-        df.show(a.rows, truncate=False)
+        _report(df, title, a.out, a.rows)
+
+
+def _report(df, title: str, out: str | None, rows: int | None = None) -> None:
+    """A whole section: to a JSON folder under ``out``, or printed row by row."""
+    if out:
+        folder = title.replace(",", "").replace(" ", "_")
+        df.write.mode("overwrite").json(f"{out.rstrip('/')}/{folder}")
+        return
+    print("\t".join(df.columns))
+    for row in (df if rows is None else df.limit(rows)).toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def cmd_dq(spark, a) -> None:
@@ -59,7 +70,7 @@ def cmd_dq(spark, a) -> None:
     st = read_all_staging(spark, a.staging)
     dm = snap.read_scd2(spark, a.warehouse, "dim_member", schemas.DIM_MEMBER) if a.warehouse else None
     dm = dims.dim_member_full(st.members, a.as_of) if dm is None else dm
-    quality.dq_report(st, dm, a.as_of).show(50, truncate=False)
+    _report(quality.dq_report(st, dm, a.as_of), "data quality", a.out, a.rows)
 
 
 def main(argv=None) -> None:
@@ -71,7 +82,8 @@ def main(argv=None) -> None:
         s.add_argument("--warehouse", required=(name == "load"))
         s.add_argument("--as-of", type=_date, default=None, required=(name != "profile"))
         s.add_argument("--run-id", default=None)
-        s.add_argument("--rows", type=int, default=20)
+        s.add_argument("--rows", type=int, default=None, help="print only so many rows of a section (default: all)")
+        s.add_argument("--out", default=None, help="folder for whole report sections as JSON; printed where unset")
         s.add_argument("--spine-start", type=_date, default=None)
         s.add_argument("--spine-end", type=_date, default=None)
     a = ap.parse_args(argv)

@@ -20,7 +20,7 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, keys: list[str],
                   order: list[Column]) -> DataFrame:
-    """S5 against an existing target: rows whose key is already held are dropped,
-    then the first incoming row per new key wins. Returns only the rows to append."""
-    fresh = incoming.join(target.select(*keys), keys, "left_anti")
-    return first_per_key(fresh, keys, order)
+    """S5 against an existing target: the first incoming row per key wins, then keys
+    already held are dropped (the order of the two doesn't change the result, and a hot
+    key reaches the join as one row). Returns only the rows to append."""
+    return first_per_key(incoming, keys, order).join(target.select(*keys), keys, "left_anti")

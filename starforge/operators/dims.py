@@ -54,11 +54,20 @@ def member_key(member_id="member_id", version_no="version_no"):
     return F.xxhash64(F.col(member_id), F.col(version_no).cast("int"))
 
 
+def null_safe_key(*columns: str):
+    """Hash of all columns in which a NULL keeps its place (xxhash64 alone skips NULLs)."""
+    return F.xxhash64(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
+
 def dim_member_full(members: DataFrame, as_of) -> DataFrame:
-    """D3: full-refresh member dimension (first version of every clean member)."""
-    rows = member_rows(one_row_per_member(clean_members(members)), as_of)
+    """D3: full-refresh member dimension (first version of every clean row).
+
+    A member_id under several hashes has a row for each, as in the source; the
+    key therefore covers the hash, and NULL ids.
+    """
+    rows = member_rows(clean_members(members), as_of)
     rows = rows.withColumn("version_no", F.lit(1))
-    return rows.select(member_key().alias("member_key"), *rows.columns)
+    return rows.select(null_safe_key("member_id", "version_no", "tc_hash").alias("member_key"), *rows.columns)
 
 
 def dim_plan(plans: DataFrame) -> DataFrame:
@@ -69,7 +78,7 @@ def dim_plan(plans: DataFrame) -> DataFrame:
     """
     d = plans.select(*PLAN_COLUMNS).distinct()
     return d.select(
-        F.xxhash64(*[F.col(c) for c in PLAN_COLUMNS]).alias("plan_key"),
+        null_safe_key(*PLAN_COLUMNS).alias("plan_key"),
         *PLAN_COLUMNS,
         rules.monthly_installment("target_amount", "duration_months").alias("monthly_installment"),
     )

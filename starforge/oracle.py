@@ -107,11 +107,11 @@ def md5_int_sql(key: str, salt: str) -> str:
 
 
 def member_id_sql(k: str) -> str:
-    return f"('M' || lpad(CAST({k} AS VARCHAR), 8, '0'))"
+    return f"printf('M%08d', CAST({k} AS BIGINT))"
 
 
 def plan_id_sql(k: str) -> str:
-    return f"('P' || lpad(CAST({k} AS VARCHAR), 6, '0'))"
+    return f"printf('P%06d', CAST({k} AS BIGINT))"
 
 
 PAYMENT_ORDER = ("due_date ASC NULLS LAST, paid_date ASC NULLS FIRST, plan_id ASC NULLS LAST, "
@@ -122,7 +122,7 @@ LOTTERY_ORDER = ("lottery_date ASC NULLS LAST, plan_id ASC NULLS LAST, member_id
 
 
 def _member_dim_ctes(prefix: str, members: str, as_of: dt.date) -> str:
-    """clean (W2), one row per member, full-refresh dimension (D3) from ``members``."""
+    """clean (W2), one row per member (D5), full-refresh dimension of every clean row (D3) from ``members``."""
     return f"""
 {prefix}clean AS (
   SELECT member_id, full_name, tc_hash, city, district, birth_year, income, signup_date, status
@@ -140,7 +140,7 @@ def _member_dim_ctes(prefix: str, members: str, as_of: dt.date) -> str:
          CASE WHEN status = '{rules.CHURN_STATUS}' THEN {_d(as_of)} END AS churn_date,
          coalesce(signup_date, {_d(as_of)}) AS valid_from, CAST(NULL AS DATE) AS valid_to,
          TRUE AS is_current, CAST(1 AS INTEGER) AS version_no
-  FROM {prefix}clean1)"""
+  FROM {prefix}clean)"""
 
 
 BASE = f"""

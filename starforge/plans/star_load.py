@@ -91,7 +91,7 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
             rows = fn()
             res = StageResult(name, "success", rows, round(time.time() - t0, 2))
         except Exception as e:  # isolate the stage, keep going
-            res = StageResult(name, "failed", 0, round(time.time() - t0, 2), str(e)[:2000])
+            res = StageResult(name, "failed", 0, round(time.time() - t0, 2), str(e))
         snap.append_audit(spark, base, run_id, res.stage, res.status, res.rows, res.duration,
                           res.error)
         with lock:

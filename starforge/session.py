@@ -88,8 +88,8 @@ def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the platform (HDFS / object store) so that
-    every executor sees it; only when it is unset (local tests) a scratch
-    folder is created and registered as the checkpoint directory.
+    every executor sees it; unset, it is an error there. Only on a local master
+    (tests) a scratch folder is created and registered as the checkpoint directory.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -97,6 +97,8 @@ def work_dir(spark: SparkSession) -> str:
             d = spark.sparkContext.getCheckpointDir()
         except Exception:
             d = None
+    if not d and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:  # unset: local tests only
         d = tempfile.mkdtemp(prefix="starforge-ckpt-")
         try:

@@ -29,38 +29,38 @@ class DriverTables:
     """Lazy readers for the parquet files of one scale factor.
 
     The test files hold a single row group each, which Spark cannot split: the
-    scan would be one task. A table whose scan has fewer partitions than the
-    cluster's parallelism is spread round-robin (no key, so no skew); inputs
-    that already arrive in many splits are left alone.
+    scan is one task. ``spread`` asks for that many partitions, dealt
+    round-robin; by default a scan is left as it is.
     """
 
     SMALL_TABLES = {"region", "nation"}
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: int | None = None):
         self.spark = spark
+        self.spread = spread
         self.sf_dir = sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in DRIVER_TABLES:
             raise AttributeError(name)
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        if name not in self.SMALL_TABLES:
-            try:
-                want = self.spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() < want:
-                    df = df.repartition(want)
-            except Exception:  # no RDD API on this session: keep the scan as it is
-                pass
+        if self.spread and name not in self.SMALL_TABLES:
+            df = df.repartition(self.spread)
         self.__dict__[name] = df
         return df
 
 
+def _padded_id(letter: str, key: Column, width: int) -> Column:
+    """Zero-padded to ``width`` digits; longer keys keep all their digits."""
+    return F.when(key.isNotNull(), F.format_string(f"{letter}%0{width}d", key.cast("long")))
+
+
 def member_id_of(key: Column) -> Column:
-    return F.concat(F.lit("M"), F.lpad(key.cast("string"), 8, "0"))
+    return _padded_id("M", key, 8)
 
 
 def plan_id_of(key: Column) -> Column:
-    return F.concat(F.lit("P"), F.lpad(key.cast("string"), 6, "0"))
+    return _padded_id("P", key, 6)
 
 
 def _members(t: DriverTables) -> DataFrame:
@@ -188,8 +188,8 @@ class Staging:
 class DriverStaging(Staging):
     """Staging tables derived lazily from a driver scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):  # noqa: D107
-        self.tables = DriverTables(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: int | None = None):  # noqa: D107
+        self.tables = DriverTables(spark, sf_dir, spread)
 
     members = cached_property(lambda self: _members(self.tables))
     plans = cached_property(lambda self: _plans(self.tables))
@@ -198,8 +198,8 @@ class DriverStaging(Staging):
     lottery = cached_property(lambda self: _lottery(self.tables))
 
 
-def staging_from_driver(spark: SparkSession, sf_dir: str) -> Staging:
-    return DriverStaging(spark, sf_dir)
+def staging_from_driver(spark: SparkSession, sf_dir: str, spread: int | None = None) -> Staging:
+    return DriverStaging(spark, sf_dir, spread)
 
 
 def previous_members(members: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,11 @@ def write_snapshot(df: DataFrame, base: str, table: str, run_id: str,
     return path
 
 
+def run_order(run_id: str) -> tuple:
+    """Sort key of run ids: runs of digits compare as numbers, so that d9 comes before d10."""
+    return tuple((1, int(x), "") if x.isdigit() else (0, 0, x) for x in re.split(r"(\d+)", run_id) if x)
+
+
 def snapshot_runs(spark: SparkSession, base: str, table: str, prefix: str = "run_id=") -> list[str]:
     """Complete snapshot run ids of ``table``, oldest first (directory listing only)."""
     fs, root, jvm = _fs(spark, f"{base.rstrip('/')}/{table}")
@@ -56,12 +62,12 @@ def snapshot_runs(spark: SparkSession, base: str, table: str, prefix: str = "run
         if st.isDirectory() and name.startswith(prefix):
             if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 runs.append(name[len(prefix):])
-    return sorted(runs)
+    return sorted(runs, key=run_order)
 
 
 def _runs(spark, base, table, before=None, upto=None) -> list[str]:
     return [r for r in snapshot_runs(spark, base, table)
-            if (before is None or r < before) and (upto is None or r <= upto)]
+            if (before is None or run_order(r) < run_order(before)) and (upto is None or run_order(r) <= run_order(upto))]
 
 
 def read_latest(spark: SparkSession, base: str, table: str, schema: T.StructType | None = None,

@@ -66,7 +66,7 @@ def fact_batches(spark: SparkSession, base: str, table: str, before: str | None
     """All complete appended batches of ``table`` (``batch=<id>`` folders), optionally
     only those before ``before``; None when there is none."""
     runs = [r for r in snap.snapshot_runs(spark, base, table, prefix="batch=")
-            if before is None or r < before]
+            if before is None or snap.run_order(r) < snap.run_order(before)]
     if not runs:
         return None
     paths = [f"{base.rstrip('/')}/{table}/batch={r}" for r in runs]

@@ -176,3 +176,32 @@ def test_installment_schedule_edges(spark):
     assert got == [("a", 1, D(2020, 1, 31)), ("a", 2, D(2020, 2, 29)), ("a", 3, D(2020, 3, 31)),
                    ("d", 1, D(2022, 1, 1)), ("e", 1, D(2021, 12, 31)),
                    ("f", 1, D(2021, 12, 15)), ("f", 2, D(2022, 1, 15)), ("i", 1, D(2021, 6, 30))]
+
+
+def test_long_keys_keep_their_digits(spark):
+    from starforge.sources.adapter import member_id_of, plan_id_of
+    df = spark.createDataFrame([(1234567, 123456789), (123456, 12345678), (None, None)], "p long, m long")
+    got = [tuple(r) for r in df.select(plan_id_of(df["p"]), member_id_of(df["m"])).collect()]
+    assert got == [("P1234567", "M123456789"), ("P123456", "M12345678"), (None, None)]
+
+
+def test_plan_keys_keep_the_place_of_nulls(spark):
+    from starforge.operators.dims import dim_plan
+    df = spark.createDataFrame([("P1", None, "konut", 12, None), ("P1", "konut", None, 12, None)],
+                               "plan_id string, plan_name string, plan_type string, duration_months int, target_amount decimal(15,2)")
+    assert dim_plan(df).select("plan_key").distinct().count() == 2
+
+
+def test_full_refresh_keeps_every_clean_row(spark):
+    import datetime as dt
+    from starforge.operators.dims import MEMBER_SOURCE_COLUMNS, dim_member_full
+    row = lambda member, tc: (member, "n", tc, "c", "d", 1980, None, dt.date(2020, 1, 1), "aktif")
+    types = dict(zip(MEMBER_SOURCE_COLUMNS, ["string"] * 5 + ["int", "decimal(12,2)", "date", "string"]))
+    df = spark.createDataFrame([row("M1", "a"), row("M1", "b"), row(None, "c"), row(None, "d")], ", ".join(f"{k} {v}" for k, v in types.items()))
+    out = dim_member_full(df, dt.date(2024, 1, 1))
+    assert out.count() == 4 and out.select("member_key").distinct().count() == 4
+
+
+def test_run_ids_sort_by_number():
+    from starforge.sources.snapshots import run_order
+    assert run_order("d9") < run_order("d9-000000001") < run_order("d10") and run_order("2026-09-30") < run_order("2026-12-02")
