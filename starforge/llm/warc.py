@@ -307,7 +307,9 @@ def read_records(lines: DataFrame, folder: str, payload: bool = True) -> DataFra
                 f.close()
 
     # range partitions keep neighbours of an archive together and split a large archive over tasks
-    near = lines.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # (a given count, since adaptive execution would merge these small lines into a few tasks that read large records)
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    near = lines.repartitionByRange(count, "archive", "offset").sortWithinPartitions("archive", "offset")
     return near.mapInPandas(read, schema)
 
 
