@@ -1,11 +1,9 @@
 """Fact loads: payments (F1) and lottery (F2/F3) with the paid-before-draw count.
 
-Joins to the dimensions are plain equi-joins. By default Catalyst/AQE
-broadcast a dimension only when its measured size is under the broadcast
-threshold and use a sort-merge join otherwise; the ``broadcast_*`` flags
-force a broadcast and are set by the daily load only after bounding the
-dimension's size, so a large member dimension is never forced into executor
-memory.
+Joins to the dimensions are plain equi-joins: Catalyst/AQE broadcast a
+dimension only when its measured size is under the broadcast threshold and use
+a sort-merge join otherwise, so a large member dimension is never forced into
+executor memory.
 """
 
 from __future__ import annotations
@@ -41,21 +39,11 @@ def current_members(dim_member: DataFrame) -> DataFrame:
     return dim_member.where(F.col("is_current")).select("member_id", "member_key", "signup_date")
 
 
-def _hinted(df: DataFrame, broadcast: bool) -> DataFrame:
-    return F.broadcast(df) if broadcast else df
-
-
-def payment_rows(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame,
-                 broadcast_members: bool = False, broadcast_plans: bool = False) -> DataFrame:
-    """F1 before de-duplication: J1 + J2 + date key + R3/R4 per row.
-
-    ``broadcast_*`` force a broadcast of that dimension; callers set them only
-    after bounding its size (see :mod:`starforge.plans.star_load`). Otherwise
-    Catalyst/AQE choose by their own size estimate.
-    """
+def payment_rows(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame) -> DataFrame:
+    """F1 before de-duplication: J1 + J2 + date key + R3/R4 per row."""
     p = payments.where(F.col("payment_id").isNotNull())
-    m = _hinted(current_members(dim_member).select("member_id", "member_key"), broadcast_members)
-    pl = _hinted(dim_plan.select("plan_id", "plan_key"), broadcast_plans)
+    m = current_members(dim_member).select("member_id", "member_key")
+    pl = dim_plan.select("plan_id", "plan_key")
     j = p.join(m, "member_id").join(pl, "plan_id")
     late = rules.days_late("due_date", "paid_date")
     return j.select(
@@ -68,10 +56,9 @@ def payment_rows(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame
     )
 
 
-def fact_payments(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame,
-                  broadcast_members: bool = False, broadcast_plans: bool = False) -> DataFrame:
+def fact_payments(payments: DataFrame, dim_member: DataFrame, dim_plan: DataFrame) -> DataFrame:
     """payment fact, one row per payment_id (first wins, after the joins)."""
-    rows = payment_rows(payments, dim_member, dim_plan, broadcast_members, broadcast_plans)
+    rows = payment_rows(payments, dim_member, dim_plan)
     return first_per_key(rows, ["payment_id"], payment_order())
 
 
@@ -112,12 +99,11 @@ def paid_before(rows: DataFrame, payments: DataFrame, date_col: str = "lottery_d
     return j.withColumn(out, F.coalesce(F.col(out), F.lit(0).cast("long")))
 
 
-def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame,
-                 broadcast_members: bool = False, broadcast_plans: bool = False) -> DataFrame:
+def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame) -> DataFrame:
     """lottery entries joined to the current member (with signup date) and plan."""
     lt = lottery.where(F.col("lottery_id").isNotNull())
-    m = _hinted(current_members(dim_member), broadcast_members)
-    pl = _hinted(dim_plan.select("plan_id", "plan_key"), broadcast_plans)
+    m = current_members(dim_member)
+    pl = dim_plan.select("plan_id", "plan_key")
     j = lt.join(m, "member_id").join(pl, "plan_id")
     return j.select("lottery_id", "member_key", "plan_key",
                     date_key("lottery_date").alias("date_key"),
@@ -126,14 +112,13 @@ def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame,
 
 
 def fact_lottery(lottery: DataFrame, payments: DataFrame, dim_member: DataFrame,
-                 dim_plan: DataFrame, broadcast_members: bool = False,
-                 broadcast_plans: bool = False, observation=None) -> DataFrame:
+                 dim_plan: DataFrame, observation=None) -> DataFrame:
     """lottery fact with the cumulative paid ratio (J3 + R10 + R11 + S5).
 
     With ``observation`` the joined rows are counted before insert-ignore
     (metric ``rows``), as the load reports them.
     """
-    rows = lottery_rows(lottery, dim_member, dim_plan, broadcast_members, broadcast_plans)
+    rows = lottery_rows(lottery, dim_member, dim_plan)
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
     base = paid_before(rows, payments,

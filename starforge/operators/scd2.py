@@ -97,13 +97,6 @@ def scd2_delta(current: DataFrame, members: DataFrame, as_of,
     return out.select(*DIM_COLUMNS)
 
 
-def scd2_step(current: DataFrame, members: DataFrame, as_of,
-              observation: Observation | None = None) -> tuple[DataFrame, DataFrame]:
-    """D5 split into (new current set, rows closed today)."""
-    d = scd2_delta(current, members, as_of, observation)
-    return d.where(F.col("is_current")), d.where(~F.col("is_current"))
-
-
 def scd2_apply(dim: DataFrame, members: DataFrame, as_of,
                observation: Observation | None = None) -> DataFrame:
     """D5 on a whole dimension: unchanged history, plus today's delta."""

@@ -16,7 +16,7 @@ from starforge.functions import calendar as cal
 from starforge.functions import rules
 from starforge.operators import inject as inj
 from starforge.operators import quality as dq
-from starforge.plans.catalog import EXISTING_CUTOFF, PREV_AS_OF, SEED
+from starforge.plans.catalog import CALENDAR_SHIFT_YEARS, EXISTING_CUTOFF, MANDATORY, PREV_AS_OF, SEED
 from starforge.sources.adapter import AS_OF, SPINE
 
 
@@ -159,7 +159,7 @@ m_rows AS (
          make_date(CAST(1940 + k % 75 AS BIGINT), CAST(1 + k % 12 AS BIGINT), CAST(1 + k % 28 AS BIGINT)) AS birth_date,
          CAST(c_acctbal * 25 AS DECIMAL(12,2)) AS income,
          CAST(first_order AS DATE) AS signup_date,
-         CASE WHEN c_mktsegment = 'FURNITURE' THEN 'terk' WHEN c_mktsegment = 'MACHINERY' THEN 'gecikmeli'
+         CASE WHEN k % 59 = 0 THEN 'askida' WHEN c_mktsegment = 'FURNITURE' THEN 'terk' WHEN c_mktsegment = 'MACHINERY' THEN 'gecikmeli'
               WHEN c_mktsegment = 'HOUSEHOLD' THEN 'pasif' ELSE 'aktif' END AS status,
          CAST(NULL AS VARCHAR) AS phone, CAST(NULL AS VARCHAR) AS email, k % 33 = 0 AS dup
   FROM m_base),
@@ -193,11 +193,12 @@ payments AS (
          CAST(l_linenumber AS INTEGER) AS installment_no, CAST(l_shipdate AS DATE) AS due_date,
          CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN NULL
               ELSE CAST(l_shipdate AS DATE) + CAST(CAST(l_quantity AS BIGINT) % 15 - 5 AS INTEGER) END AS paid_date,
-         CAST(l_extendedprice AS DECIMAL(12,2)) AS due_amount,
+         CASE WHEN l_orderkey % 101 = 7 THEN NULL WHEN l_orderkey % 101 = 11 THEN CAST(0 AS DECIMAL(12,2))
+              ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS due_amount,
          CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN CAST(0 AS DECIMAL(12,2))
               WHEN l_suppkey % 50 = 0 THEN CAST(-l_quantity AS DECIMAL(12,2))
               ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS paid_amount,
-         CASE WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'odenmedi'
+         CASE WHEN l_orderkey % 101 = 13 THEN 'iade' WHEN l_returnflag = 'R' AND l_linestatus = 'O' THEN 'odenmedi'
               WHEN l_returnflag = 'R' THEN 'kismi'
               WHEN CAST(l_quantity AS BIGINT) % 15 > 8 THEN 'gecikmeli' ELSE 'odendi' END AS payment_status
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
@@ -257,7 +258,9 @@ dim_date_spine AS (
   SELECT {calendar_cols_sql('d')} FROM (
     SELECT CAST({_d(SPINE[0])} + CAST(i AS INTEGER) AS DATE) AS d
     FROM range(0, {(SPINE[1] - SPINE[0]).days + 1}) t(i))),
-hol_years AS (SELECT DISTINCT CAST(year(due_date) AS INTEGER) AS year FROM payments WHERE due_date IS NOT NULL),
+pay_recent AS (
+  SELECT * REPLACE (CAST(due_date + INTERVAL {CALENDAR_SHIFT_YEARS} YEAR AS DATE) AS due_date) FROM payments),
+hol_years AS (SELECT DISTINCT CAST(year(due_date) AS INTEGER) AS year FROM pay_recent WHERE due_date IS NOT NULL),
 holidays AS (
   SELECT make_date(year, m, d) AS holiday
   FROM hol_years, (VALUES {", ".join(f"({m}, {d})" for m, d in cal.FIXED_HOLIDAYS)}) f(m, d)
@@ -269,7 +272,7 @@ holidays AS (
 pay_near AS (
   SELECT p.payment_id, p.installment_no, p.due_date,
          EXISTS (SELECT 1 FROM holidays h WHERE h.holiday - p.due_date BETWEEN 0 AND 7) AS near_holiday
-  FROM payments p),
+  FROM pay_recent p),
 prev_members AS (
   SELECT * REPLACE (CASE WHEN CAST(substr(member_id, 2) AS BIGINT) % 5 = 0
                          THEN CASE WHEN status = 'aktif' THEN 'pasif' ELSE 'aktif' END
@@ -416,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {fact_cols} FROM f1 UNION ALL SELECT {fact_cols} FROM f2")
     q["dim_date"] = BASE + "SELECT * FROM dim_date_data"
     ram = " OR ".join(f"(due_date BETWEEN {_d(lo)} AND {_d(hi)})" for lo, hi in cal.RAMADAN_RANGES)
-    q["is_ramadan"] = BASE + f"SELECT payment_id, installment_no, due_date, ({ram}) AS is_ramadan FROM payments"
+    q["is_ramadan"] = BASE + f"SELECT payment_id, installment_no, due_date, ({ram}) AS is_ramadan FROM pay_recent"
     q["holiday_calendar"] = BASE + "SELECT holiday FROM holidays"
     q["near_holiday"] = BASE + "SELECT * FROM pay_near"
     seasonal = (f"CAST(CASE WHEN month(due_date) IN ({', '.join(map(str, rules.SEASONAL_MONTHS))}) "
@@ -499,12 +502,25 @@ def oracle_sql() -> dict[str, str]:
         _key_viol("fact_lottery", "lot_rows", ["lottery_id"]),
         _key_viol("dim_date", "dim_date_data", ["date_key"]),
         _key_viol("dim_member", "dim_member", ["member_id", "version_no"]),
+        _key_viol("dim_member", "(SELECT hash(member_id, version_no, tc_hash) AS member_key FROM dim_member)",
+                  ["member_key"]),
+        _key_viol("dim_plan", "(SELECT hash(plan_id, plan_name, plan_type, duration_months, target_amount) "
+                  "AS plan_key FROM dim_plan)", ["plan_key"]),
     ])
     parts = []
     for name in ("fact_payments", "fact_lottery"):
         parts += [_fk_viol(name, name, "member_id", "dim_member", "dim_member", "member_id"),
                   _fk_viol(name, name, "plan_id", "dim_plan", "dim_plan", "plan_id"),
                   _fk_viol(name, name, "date_key", "dim_date", "dim_date_spine", "date_key")]
+    # the declared surrogate keys, by what they stand for
+    for child, col, parent, _ in schemas.FOREIGN_KEYS:
+        if col == "member_key":
+            parts += [_fk_viol(child, f"(SELECT member_id AS member_key FROM {child})", col, label,
+                               f"(SELECT member_id AS member_key FROM {src})", col)
+                      for label, src in ((parent, "dim_member"), ("dim_member, day before", "prev_dim_member"))]
+        elif col == "plan_key":
+            parts.append(_fk_viol(child, f"(SELECT plan_id AS plan_key FROM {child})", col, parent,
+                                  "(SELECT plan_id AS plan_key FROM dim_plan)", col))
     q["fk_violations"] = BASE + " UNION ALL ".join(parts)
     q["not_null_violations"] = BASE + " UNION ALL ".join([
         _null_viol("dim_date", "dim_date_data", ["date_key", "full_date"]),
@@ -512,11 +528,14 @@ def oracle_sql() -> dict[str, str]:
         _null_viol("dim_plan", "dim_plan", ["plan_id"]),
         _null_viol("fact_payments", "fact_payments", ["payment_id"]),
         _null_viol("fact_lottery", "fact_lottery", ["lottery_id"]),
+        *[_null_viol(f"staging.{t}", t, cols) for t, cols in MANDATORY.items()],
     ])
     bparts = []
     for t in ("members", "plans", "subscriptions", "payments", "lottery"):
         bparts += _bound_viol(f"staging.{t}", t, schemas.VARCHAR_BOUNDS.get(t, {}),
                               schemas.NUMERIC_BOUNDS.get(t, {}))
+    for t in ("dim_member", "dim_plan", "fact_payments", "fact_lottery"):
+        bparts += _bound_viol(t, t, schemas.VARCHAR_BOUNDS.get(t, {}), schemas.NUMERIC_BOUNDS.get(t, {}))
     q["type_bound_violations"] = BASE + " UNION ALL ".join(bparts)
     q["hash_sample"] = BASE + (
         f"SELECT {STAGING_PAYMENT_COLS} FROM payments WHERE {md5_sample_sql('payment_id', 0.10, 's')}")

@@ -28,6 +28,14 @@ PREV_AS_OF = AS_OF - dt.timedelta(days=1)
 # Boundary of "yesterday's" target for the insert-ignore-against-target query.
 EXISTING_CUTOFF = dt.date(1999, 1, 1)
 SEED = 42
+# Payments' due dates lie in the nineties; the calendar queries move them by whole years into the years
+# for which the lunar dates are known.
+CALENDAR_SHIFT_YEARS = 27
+# Fields that must be filled in staging (those of the report's NULL rules).
+MANDATORY = {
+    "members": ["member_id", "tc_hash", "city", "income", "signup_date", "status"],
+    "payments": ["payment_id", "subscription_id", "due_date", "due_amount"],
+}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ROWS_ONLY: set[str] = set()
@@ -60,8 +68,12 @@ def _fact_lottery(st):
     return facts.fact_lottery(st.lottery, st.payments, dm, dp)
 
 
+def _recent_payments(st):
+    return st.payments.withColumn("due_date", F.add_months("due_date", 12 * CALENDAR_SHIFT_YEARS))
+
+
 def _holidays(spark, st):
-    years = st.payments.where(F.col("due_date").isNotNull()).select(
+    years = _recent_payments(st).where(F.col("due_date").isNotNull()).select(
         F.year("due_date").alias("year")).distinct()
     return calendar.holiday_calendar(spark, years)
 
@@ -143,8 +155,9 @@ def q_incremental_scd2(spark, sf_dir):
 @query("incremental_fact_payments")
 def q_incremental_fact_payments(spark, sf_dir):
     """G3 + F1 + S5: payments arrive in two daily files (due before / from the cutoff);
-    an availableNow stream appends each day's new payment_ids to the fact, ignoring
-    ids the fact already holds."""
+    an availableNow stream adds each day's payments to the fact. Ids the fact already
+    holds are ignored, unless the same instalment comes paid; payments without a member
+    wait as pending."""
     from starforge.streaming.incremental import fact_batches, run_incremental_payments
     st = _st(spark, sf_dir)
     root = work_path(spark, "incremental", uuid.uuid4().hex)
@@ -158,7 +171,7 @@ def q_incremental_fact_payments(spark, sf_dir):
     st.payments.where(~F.coalesce(early, F.lit(False))).write.mode("overwrite").parquet(
         f"{incoming}/day=2")
     run_incremental_payments(spark, incoming, base, ckpt, prefix="p2")
-    return fact_batches(spark, base, "fact_payments").select(*FACT_PAYMENT_OUT)
+    return fact_batches(spark, base).select(*FACT_PAYMENT_OUT)
 
 
 # ---------------- calendar ----------------
@@ -173,8 +186,8 @@ def q_dim_date(spark, sf_dir):
 def q_is_ramadan(spark, sf_dir):
     """Range membership of every payment due date."""
     st = _st(spark, sf_dir)
-    return st.payments.select("payment_id", "installment_no", "due_date",
-                              ramadan_flag("due_date").alias("is_ramadan"))
+    return _recent_payments(st).select("payment_id", "installment_no", "due_date",
+                                       ramadan_flag("due_date").alias("is_ramadan"))
 
 
 @query("holiday_calendar")
@@ -188,7 +201,7 @@ def q_holiday_calendar(spark, sf_dir):
 def q_near_holiday(spark, sf_dir):
     """Due date within 7 days before a holiday (equi-join on expanded days)."""
     st = _st(spark, sf_dir)
-    p = st.payments.select("payment_id", "installment_no", "due_date")
+    p = _recent_payments(st).select("payment_id", "installment_no", "due_date")
     return calendar.flag_near_holiday(p, "due_date", _holidays(spark, st), 7)
 
 
@@ -196,7 +209,7 @@ def q_near_holiday(spark, sf_dir):
 def q_payment_risk_boost(spark, sf_dir):
     """Seasonal + holiday boost per payment."""
     st = _st(spark, sf_dir)
-    return schedule.payment_risk_boost(st.payments, _holidays(spark, st), 7)
+    return schedule.payment_risk_boost(_recent_payments(st), _holidays(spark, st), 7)
 
 
 # ---------------- scalar rules ----------------
@@ -397,7 +410,7 @@ def q_dq_report(spark, sf_dir):
 @query("pk_violations")
 def q_pk_violations(spark, sf_dir):
     """Q13: key violations of the staging member key, the fact keys before
-    insert-ignore, the calendar key and the member version key."""
+    insert-ignore, the calendar key, the member version key and the declared surrogate keys."""
     st = _st(spark, sf_dir)
     dm, dp = _dims(st)
     return quality.union_all([
@@ -408,12 +421,16 @@ def q_pk_violations(spark, sf_dir):
                                ["lottery_id"]),
         quality.key_violations(_dim_date_of_data(st), "dim_date", ["date_key"]),
         quality.key_violations(dm, "dim_member", ["member_id", "version_no"]),
+        quality.key_violations(dm, "dim_member", schemas.PRIMARY_KEYS["dim_member"]),
+        quality.key_violations(dp, "dim_plan", schemas.PRIMARY_KEYS["dim_plan"]),
     ])
 
 
 @query("fk_violations")
 def q_fk_violations(spark, sf_dir):
-    """Fact keys without a dimension row (calendar spine of the fixtures)."""
+    """Fact keys without a dimension row (calendar spine of the fixtures), by business
+    id and by the declared surrogate keys; also against the member dimension of the day before,
+    which lacks the members that came since."""
     st = _st(spark, sf_dir)
     dm, dp = _dims(st)
     fp = facts.fact_payments(st.payments, dm, dp)
@@ -424,12 +441,19 @@ def q_fk_violations(spark, sf_dir):
         parts += [quality.fk_violations(f, name, "member_id", dm, "dim_member", "member_id"),
                   quality.fk_violations(f, name, "plan_id", dp, "dim_plan", "plan_id"),
                   quality.fk_violations(f, name, "date_key", dd, "dim_date", "date_key")]
+    child, parent = {"fact_payments": fp, "fact_lottery": fl}, {"dim_member": dm, "dim_plan": dp}
+    for name, col, table, key in schemas.FOREIGN_KEYS:
+        if table in parent:
+            parts.append(quality.fk_violations(child[name], name, col, parent[table], table, key))
+        if table == "dim_member":
+            parts.append(quality.fk_violations(child[name], name, col, _scd2_inputs(st)[0],
+                                               "dim_member, day before", key))
     return quality.union_all(parts)
 
 
 @query("not_null_violations")
 def q_not_null_violations(spark, sf_dir):
-    """Q15: NULLs in NOT NULL columns of the loaded tables."""
+    """Q15: NULLs in NOT NULL columns of the loaded tables and in the mandatory fields of staging."""
     st = _st(spark, sf_dir)
     dm, dp = _dims(st)
     return quality.union_all([
@@ -440,17 +464,21 @@ def q_not_null_violations(spark, sf_dir):
                                 ["payment_id"]),
         quality.null_violations(facts.fact_lottery(st.lottery, st.payments, dm, dp),
                                 "fact_lottery", ["lottery_id"]),
+        *[quality.null_violations(getattr(st, t), f"staging.{t}", cols) for t, cols in MANDATORY.items()],
     ])
 
 
 @query("type_bound_violations")
 def q_type_bound_violations(spark, sf_dir):
-    """Q16: declared VARCHAR / NUMERIC bounds of the staging tables."""
+    """Q16: declared VARCHAR / NUMERIC bounds of the staging and the star schema's tables."""
     st = _st(spark, sf_dir)
+    dm, dp = _dims(st)
+    tables = {f"staging.{t}": (t, getattr(st, t)) for t in schemas.STAGING}
+    tables |= {t: (t, df) for t, df in (("dim_member", dm), ("dim_plan", dp), ("fact_payments", _fact_payments(st)),
+                                        ("fact_lottery", _fact_lottery(st)))}
     return quality.union_all([
-        quality.bound_violations(getattr(st, t), f"staging.{t}", schemas.VARCHAR_BOUNDS.get(t, {}),
-                                 schemas.NUMERIC_BOUNDS.get(t, {}))
-        for t in ("members", "plans", "subscriptions", "payments", "lottery")])
+        quality.bound_violations(df, label, schemas.VARCHAR_BOUNDS.get(t, {}), schemas.NUMERIC_BOUNDS.get(t, {}))
+        for label, (t, df) in tables.items()])
 
 
 # ---------------- fault injection ----------------

@@ -26,27 +26,11 @@ from pyspark.sql import functions as F
 from starforge import schemas
 from starforge.functions.calendar import DEFAULT_SPINE
 from starforge.operators import calendar, dims, facts, scd2
+from starforge.schemas import conform
 from starforge.sources import snapshots as snap
 
 STAGES = ["dim_date", "dim_plan", "dim_member", "fact_payments", "fact_lottery"]
 
-# Upper bound of one broadcast dimension row in memory: declared VARCHAR(20) ids,
-# 8-byte keys and dates, plus per-row hash-relation overhead.
-MEMBER_ROW_BYTES = 20 + 8 + 4 + 32
-PLAN_ROW_BYTES = 20 + 8 + 32
-BROADCAST_CONF = "starforge.broadcast.maxBytes"
-DEFAULT_BROADCAST_BYTES = 256 << 20
-
-
-def bounded_broadcast(df: DataFrame, max_row_bytes: int, limit_bytes: int) -> bool:
-    """True when ``rows x max_row_bytes`` fits under ``limit_bytes``.
-
-    The row count of a pruned snapshot scan comes from Parquet footers, so the
-    check costs a metadata read; the width bound comes from the declared types.
-    Beyond the limit the join stays a sort-merge join.
-    """
-    return df.count() * max_row_bytes <= limit_bytes
-
 
 @dataclass
 class StageResult:
@@ -69,19 +53,23 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def _rows(obs: Observation) -> int:
-    try:
-        return int(obs.get.get("rows", 0))
-    except Exception:
-        return 0
+    return int(obs.get.get("rows", 0))  # no row passed: no metric
 
 
 def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
                   run_id: str | None = None, spine=DEFAULT_SPINE,
-                  fail_stages: tuple[str, ...] = (), concurrent: bool = True) -> LoadReport:
-    """Run all stages for one day. ``fail_stages`` forces failures (for tests)."""
+                  fail_stages: tuple[str, ...] = (), concurrent: bool = True,
+                  keep_runs: int | None = None) -> LoadReport:
+    """Run all stages for one day. ``fail_stages`` forces failures (for tests).
+
+    ``keep_runs``: snapshots to keep of each table that every run writes whole (all of
+    them by default); older ones are deleted once every stage has succeeded. A failed
+    audit write does not stop the other stages; it is raised after them.
+    """
     run_id = run_id or as_of.strftime("%Y%m%d")
     report = LoadReport(run_id)
     lock = threading.Lock()
+    unaudited: list[Exception] = []
 
     def stage(name, fn):
         t0 = time.time()
@@ -92,20 +80,18 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
             res = StageResult(name, "success", rows, round(time.time() - t0, 2))
         except Exception as e:  # isolate the stage, keep going
             res = StageResult(name, "failed", 0, round(time.time() - t0, 2), str(e))
-        snap.append_audit(spark, base, run_id, res.stage, res.status, res.rows, res.duration,
-                          res.error)
+        try:
+            snap.append_audit(spark, base, run_id, res.stage, res.status, res.rows, res.duration, res.error)
+        except Exception as e:
+            unaudited.append(e)
         with lock:
             report.stages.append(res)
 
     def load_dim_date():
-        df, obs = _counted(calendar.dim_date(spark, *spine), "dim_date")
-        snap.write_snapshot(df, base, "dim_date", run_id)
-        return _rows(obs)
+        return spark.read.parquet(snap.write_snapshot(calendar.dim_date(spark, *spine), base, "dim_date", run_id)).count()
 
     def load_dim_plan():
-        df, obs = _counted(dims.dim_plan(staging.plans), "dim_plan")
-        snap.write_snapshot(df, base, "dim_plan", run_id)
-        return _rows(obs)
+        return spark.read.parquet(snap.write_snapshot(dims.dim_plan(staging.plans), base, "dim_plan", run_id)).count()
 
     def load_dim_member():
         # only the current rows are read; the run stores the new current set and
@@ -118,47 +104,26 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
         # Inserted + updated + skipped = clean rows read
         return int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP)))
 
-    limit = int(spark.conf.get(BROADCAST_CONF, str(DEFAULT_BROADCAST_BYTES)))
-    shared: dict = {}
-    dims_lock = threading.Lock()
-
     def dims_for_facts():
-        """Newest complete dimension snapshots and their broadcast decisions,
-        resolved once per run and shared by the fact stages."""
-        with dims_lock:
-            if "value" not in shared and "error" not in shared:
-                try:
-                    # newest snapshots up to this run: a replayed older day never
-                    # joins against a later day's dimensions
-                    dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER,
-                                                upto=run_id)
-                    dp = snap.read_latest(spark, base, "dim_plan", upto=run_id)
-                    if dm is None or dp is None:
-                        raise RuntimeError("no complete dimension snapshot to load facts against")
-                    hints = {"broadcast_members": bounded_broadcast(
-                                 facts.current_members(dm), MEMBER_ROW_BYTES, limit),
-                             "broadcast_plans": bounded_broadcast(dp, PLAN_ROW_BYTES, limit)}
-                    shared["value"] = (dm, dp, hints)
-                except Exception as e:
-                    shared["error"] = e
-            if "error" in shared:
-                raise shared["error"]
-            return shared["value"]
+        # newest snapshots up to this run: a replayed older day never joins against a later day's dimensions
+        dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, upto=run_id)
+        dp = snap.read_latest(spark, base, "dim_plan", upto=run_id)
+        if dm is None or dp is None:
+            raise RuntimeError("no complete dimension snapshot to load facts against")
+        return dm, dp
 
     def load_fact_payments():
-        dm, dp, hints = dims_for_facts()
-        rows, obs = _counted(facts.payment_rows(staging.payments, dm, dp, **hints),
-                             "fact_payments")
+        dm, dp = dims_for_facts()
+        rows, obs = _counted(facts.payment_rows(staging.payments, dm, dp), "fact_payments")
         fact = facts.first_per_key(rows, ["payment_id"], facts.payment_order())
-        snap.write_snapshot(fact, base, "fact_payments", run_id)
+        snap.write_snapshot(conform(fact, schemas.FACT_PAYMENTS), base, "fact_payments", run_id)
         return _rows(obs)  # rows before de-duplication, as the source reports
 
     def load_fact_lottery():
-        dm, dp, hints = dims_for_facts()
+        dm, dp = dims_for_facts()
         obs = Observation("fact_lottery")
-        fact = facts.fact_lottery(staging.lottery, staging.payments, dm, dp, observation=obs,
-                                  **hints)
-        snap.write_snapshot(fact, base, "fact_lottery", run_id)
+        fact = facts.fact_lottery(staging.lottery, staging.payments, dm, dp, observation=obs)
+        snap.write_snapshot(conform(fact, schemas.FACT_LOTTERY), base, "fact_lottery", run_id)
         return _rows(obs)  # rows before de-duplication, as the source reports
 
     fns = dict(zip(STAGES, [load_dim_date, load_dim_plan, load_dim_member,
@@ -172,4 +137,10 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
             for n in wave:
                 stage(n, fns[n])
     report.stages.sort(key=lambda r: STAGES.index(r.stage))
+    if unaudited:
+        raise RuntimeError(f"{len(unaudited)} stages of run {run_id} were not audited") from unaudited[0]
+    if keep_runs is not None and all(r.status == "success" for r in report.stages):
+        for table in STAGES:
+            if table != "dim_member":
+                snap.drop_old_runs(spark, base, table, keep_runs)
     return report

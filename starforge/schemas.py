@@ -7,6 +7,8 @@ constraints on Parquet, so :mod:`starforge.operators.quality` checks them.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, I, L, D, B = T.StringType(), T.IntegerType(), T.LongType(), T.DateType(), T.BooleanType()
@@ -66,15 +68,28 @@ DIM_PLAN = _struct(
 
 FACT_PAYMENTS = _struct(
     ("payment_id", S), ("member_key", L), ("plan_key", L), ("date_key", I),
-    ("member_id", S), ("plan_id", S), ("installment_no", I), ("due_amount", dec(12, 2)),
-    ("paid_amount", dec(12, 2)), ("days_late", I), ("payment_status", S))
+    ("member_id", S), ("plan_id", S), ("subscription_id", S), ("installment_no", I),
+    ("due_date", D), ("paid_date", D), ("due_amount", dec(12, 2)), ("paid_amount", dec(12, 2)),
+    ("days_late", I), ("payment_status", S))
 
 FACT_LOTTERY = _struct(
     ("lottery_id", S), ("member_key", L), ("plan_key", L), ("date_key", I),
-    ("member_id", S), ("plan_id", S), ("lottery_round", I), ("is_winner", B),
+    ("member_id", S), ("plan_id", S), ("lottery_date", D), ("signup_date", D),
+    ("lottery_round", I), ("is_winner", B), ("paid_before_lottery", L), ("months_elapsed", I),
     ("cumulative_paid_ratio", dec(5, 4)))
 
-# Primary keys (business key where the DDL key is a surrogate we derive).
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Select the schema's columns in order, cast to the declared types; missing -> NULL."""
+    have = set(df.columns)
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name) if f.name in have else F.lit(None)
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return df.select(*cols)
+
+
+# Primary keys, as declared.
 PRIMARY_KEYS = {
     "dim_date": ["date_key"],
     "dim_member": ["member_key"],
@@ -111,6 +126,11 @@ VARCHAR_BOUNDS = {
     "payments": {"payment_id": 20, "subscription_id": 15, "member_id": 20,
                  "payment_status": 20},
     "lottery": {"lottery_id": 20, "member_id": 20, "plan_id": 20, "subscription_id": 15},
+    "dim_member": {"member_id": 20, "full_name": 100, "tc_hash": 64, "city": 50, "district": 50,
+                   "age_group": 20, "income_bracket": 20, "member_status": 20},
+    "dim_plan": {"plan_id": 20, "plan_name": 100, "plan_type": 20},
+    "fact_payments": {"payment_id": 20, "payment_status": 20},
+    "fact_lottery": {"lottery_id": 20},
 }
 
 # Declared NUMERIC(p, s) columns, fixed values of the DDL.
@@ -118,4 +138,7 @@ NUMERIC_BOUNDS = {
     "members": {"income": (12, 2)},
     "plans": {"target_amount": (15, 2), "monthly_installment": (12, 2)},
     "payments": {"due_amount": (12, 2), "paid_amount": (12, 2)},
+    "dim_plan": {"target_amount": (15, 2), "monthly_installment": (12, 2)},
+    "fact_payments": {"due_amount": (12, 2), "paid_amount": (12, 2)},
+    "fact_lottery": {"cumulative_paid_ratio": (5, 4)},
 }

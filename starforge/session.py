@@ -115,7 +115,3 @@ def work_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([work_dir(spark)] + [p.strip("/") for p in parts])
-
-
-def bench_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", "8"))

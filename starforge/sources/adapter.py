@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge import schemas
-from starforge.sources.staging import conform
+from starforge.schemas import conform
 
 # Reference date and calendar span used for data built from the driver tables.
 AS_OF = dt.date(2002, 1, 1)
@@ -72,7 +72,8 @@ def _members(t: DriverTables) -> DataFrame:
              .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
              .join(first, c.c_custkey == first.o_custkey, "left"))
     k = F.col("c_custkey")
-    status = (F.when(F.col("c_mktsegment") == "FURNITURE", "terk")
+    status = (F.when(k % 59 == 0, "askida")  # no valid status
+              .when(F.col("c_mktsegment") == "FURNITURE", "terk")
               .when(F.col("c_mktsegment") == "MACHINERY", "gecikmeli")
               .when(F.col("c_mktsegment") == "HOUSEHOLD", "pasif")
               .otherwise("aktif"))
@@ -147,11 +148,14 @@ def _payments(t: DriverTables) -> DataFrame:
         due.alias("due_date"),
         F.when(unpaid, F.lit(None).cast("date"))
          .otherwise(F.date_add(due, (q - 5).cast("int"))).alias("paid_date"),
-        money(F.col("l_extendedprice")).alias("due_amount"),
+        F.when(F.col("l_orderkey") % 101 == 7, F.lit(None).cast("decimal(12,2)"))
+         .when(F.col("l_orderkey") % 101 == 11, money(F.lit(0)))
+         .otherwise(money(F.col("l_extendedprice"))).alias("due_amount"),
         F.when(unpaid, money(F.lit(0)))
          .when(F.col("l_suppkey") % 50 == 0, money(-F.col("l_quantity")))
          .otherwise(money(F.col("l_extendedprice"))).alias("paid_amount"),
-        F.when(unpaid, "odenmedi").when(F.col("l_returnflag") == "R", "kismi")
+        F.when(F.col("l_orderkey") % 101 == 13, "iade")  # no valid status
+         .when(unpaid, "odenmedi").when(F.col("l_returnflag") == "R", "kismi")
          .when(q > 8, "gecikmeli").otherwise("odendi").alias("payment_status"),
     )
     return conform(out, schemas.STAGING_PAYMENTS)
@@ -180,10 +184,6 @@ class Staging:
     payments: DataFrame
     lottery: DataFrame
 
-    def register(self, prefix: str = "staging_") -> None:
-        for name in ("members", "plans", "subscriptions", "payments", "lottery"):
-            getattr(self, name).createOrReplaceTempView(prefix + name)
-
 
 class DriverStaging(Staging):
     """Staging tables derived lazily from a driver scale-factor directory."""

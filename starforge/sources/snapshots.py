@@ -123,22 +123,54 @@ def append_audit(spark: SparkSession, base: str, run_id: str, stage: str, status
            "duration_sec": float(duration), "error_msg": error,
            "logged_at": now.isoformat(timespec="milliseconds")}
     name = f"{run_id}__{now.strftime('%Y%m%dT%H%M%S%f')}__{stage}.json"
-    fs, _, jvm = _fs(spark, base)
-    final = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/stage_runs/{name}")
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/stage_runs/_tmp/{name}")
+    write_small(spark, f"{base.rstrip('/')}/stage_runs/{name}", json.dumps(rec) + "\n")
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, complete or absent: written beside its place, then renamed."""
+    fs, final, jvm = _fs(spark, path)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{final.getParent().toString()}/_tmp/{final.getName()}")
     out = fs.create(tmp, True)
     try:
-        out.write(bytearray((json.dumps(rec) + "\n").encode("utf-8")))
+        out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    fs.mkdirs(final.getParent())
-    fs.rename(tmp, final)  # readers never see a half-written row
+    if not fs.rename(tmp, final):
+        raise OSError(f"could not move {tmp.toString()} to {path}")
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """Text of a file of :func:`write_small`; None where there is none."""
+    fs, p, jvm = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, p, _ = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def drop_old_runs(spark: SparkSession, base: str, table: str, keep: int) -> list[str]:
+    """Delete all but the newest ``keep`` complete snapshots of a table that each run
+    writes whole. Not for the member dimension: its runs hold the closed history."""
+    old = snapshot_runs(spark, base, table)[:-max(1, keep)]
+    for r in old:
+        remove(spark, f"{base.rstrip('/')}/{table}/run_id={r}")
+    return old
 
 
 def read_audit(spark: SparkSession, base: str) -> DataFrame:
     return (spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "false")
                  .json(f"{base.rstrip('/')}/stage_runs/*.json"))
 
-
-def with_run_id(df: DataFrame, run_id: str) -> DataFrame:
-    return df.withColumn("run_id", F.lit(run_id))

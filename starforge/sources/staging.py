@@ -2,21 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starforge import schemas
-
-
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns in order, cast to the declared types; missing -> NULL."""
-    have = set(df.columns)
-    cols = []
-    for f in schema.fields:
-        c = F.col(f.name) if f.name in have else F.lit(None)
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+from starforge.schemas import conform
 
 
 def read_staging(spark: SparkSession, base: str, table: str) -> DataFrame:
@@ -30,10 +21,10 @@ def read_all_staging(spark: SparkSession, base: str):
 
 
 def write_staging(staging, base: str) -> None:
-    """Replace the staging tables (truncate + bulk insert) under ``base``."""
-    for t, schema in schemas.STAGING.items():
-        conform(getattr(staging, t), schema).write.mode("overwrite").parquet(
-            f"{base.rstrip('/')}/{t}")
+    """Replace the staging tables (truncate + bulk insert) under ``base``, as concurrent jobs."""
+    frames = {t: conform(getattr(staging, t), schema) for t, schema in schemas.STAGING.items()}
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        list(pool.map(lambda t: frames[t].write.mode("overwrite").parquet(f"{base.rstrip('/')}/{t}"), frames))
 
 
 def read_staging_jdbc(spark: SparkSession, url: str, table: str, properties: dict,

@@ -1,5 +1,5 @@
 """Incremental daily loads as Structured Streaming jobs (SCD2 member
-dimension, and the payment fact with insert-ignore against the target).
+dimension, and the payment fact).
 
 New staging member files land in a folder; ``trigger(availableNow=True)``
 processes whatever arrived since the last run and stops. Each micro-batch is
@@ -13,14 +13,18 @@ executor or driver restart is idempotent.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starforge import schemas
 from starforge.operators import facts, scd2
-from starforge.operators.dedupe import insert_ignore
+from starforge.operators.dedupe import first_per_key
 from starforge.sources import snapshots as snap
 
+FACT, REPLACED, PENDING, INPUTS = "fact_payments", "fact_payments_replaced", "payments_pending", "payments_inputs"
+
 
 def scd2_batch_writer(spark: SparkSession, base: str, as_of: dt.date, prefix: str | None = None):
     prefix = prefix or as_of.strftime("%Y%m%d")
@@ -61,50 +65,135 @@ def run_incremental_scd2(spark: SparkSession, incoming: str, base: str, checkpoi
     q.awaitTermination()
 
 
-def fact_batches(spark: SparkSession, base: str, table: str, before: str | None = None,
-                 schema=None) -> DataFrame | None:
-    """All complete appended batches of ``table`` (``batch=<id>`` folders), optionally
-    only those before ``before``; None when there is none."""
-    runs = [r for r in snap.snapshot_runs(spark, base, table, prefix="batch=")
-            if before is None or snap.run_order(r) < snap.run_order(before)]
-    if not runs:
+def _batches(spark: SparkSession, base: str, table: str, runs: list[str], schema=None) -> DataFrame | None:
+    """The ``batch=<id>`` folders of ``table`` for those of ``runs`` that it has."""
+    have = set(snap.snapshot_runs(spark, base, table, prefix="batch="))
+    paths = [_path(base, table, r) for r in runs if r in have]
+    if not paths:
         return None
-    paths = [f"{base.rstrip('/')}/{table}/batch={r}" for r in runs]
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*paths)
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(*paths)
 
 
-def payments_batch_writer(spark: SparkSession, base: str, prefix: str):
-    """foreachBatch body for F1 with S5 against the target: the batch is joined to
-    the newest complete dimensions, rows whose payment_id the fact already holds
-    are dropped, the first row per new payment_id wins, and the result is written
-    to its own ``batch=<id>`` folder (overwrite: a replayed batch rewrites it)."""
+def _path(base: str, table: str, run_id: str) -> str:
+    return f"{base.rstrip('/')}/{table}/batch={run_id}"
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{prefix}-{batch_id:09d}"
-        dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER)
-        dp = snap.read_latest(spark, base, "dim_plan")
-        if dm is None or dp is None:
+
+def _fact_runs(spark: SparkSession, base: str, before: str | None = None) -> list[str]:
+    """Batches whose fact rows are complete (written last), oldest first."""
+    return [r for r in snap.snapshot_runs(spark, base, FACT, prefix="batch=")
+            if before is None or snap.run_order(r) < snap.run_order(before)]
+
+
+def _without_replaced(rows: DataFrame, replaced: DataFrame | None) -> DataFrame:
+    """Drop the unpaid row of every payment that a later batch brought paid."""
+    if replaced is None:
+        return rows
+    unpaid = F.col("paid_date").isNull()
+    return rows.where(~unpaid).unionByName(rows.where(unpaid).join(replaced, "payment_id", "left_anti"))
+
+
+def fact_batches(spark: SparkSession, base: str, table: str = FACT, before: str | None = None) -> DataFrame | None:
+    """The payment fact after all complete batches, optionally only those before
+    ``before``; None when there is none. Paid rows pass as they are; unpaid ones are
+    held against the ids of replaced rows."""
+    runs = _fact_runs(spark, base, before)
+    rows = _batches(spark, base, table, runs, schemas.FACT_PAYMENTS)
+    return None if rows is None else _without_replaced(rows, _batches(spark, base, REPLACED, runs, "payment_id string"))
+
+
+def pending_payments(spark: SparkSession, base: str, before: str | None = None) -> DataFrame | None:
+    """Staging rows that wait for their member or plan after the newest complete batch."""
+    return _batches(spark, base, PENDING, _fact_runs(spark, base, before)[-1:], schemas.STAGING_PAYMENTS)
+
+
+def _dimension_runs(spark: SparkSession, base: str, run_id: str) -> tuple[str, str]:
+    """Runs of the member and plan dimension that this batch joins: the newest complete
+    ones at its first attempt, which writes them down, so that a replay reads the same."""
+    name = f"{base.rstrip('/')}/{INPUTS}/{run_id}.json"
+    noted = snap.read_small(spark, name)
+    if noted is None:
+        runs = [snap.snapshot_runs(spark, base, t) for t in ("dim_member", "dim_plan")]
+        if not all(runs):
             raise RuntimeError("no complete dimension snapshot to load payments against")
-        rows = facts.payment_rows(batch, dm, dp)
-        target = fact_batches(spark, base, "fact_payments", before=run_id)
-        if target is None:
-            new = facts.first_per_key(rows, ["payment_id"], facts.payment_order())
-        else:
-            new = insert_ignore(target, rows, ["payment_id"], facts.payment_order())
-        new.write.mode("overwrite").parquet(f"{base.rstrip('/')}/fact_payments/batch={run_id}")
+        noted = json.dumps([r[-1] for r in runs])
+        snap.write_small(spark, name, noted)
+    member_run, plan_run = json.loads(noted)
+    return member_run, plan_run
 
-    return write
+
+def load_payments(spark: SparkSession, base: str, batch: DataFrame, run_id: str) -> None:
+    """One batch of staging payments into the fact (F1, S5), with the pending rows of the batch before.
+
+    The held fact is never shuffled for a batch that fits under Spark's broadcast
+    threshold: the batch is written first, so its size is measured, and only the held
+    rows whose payment_id it names (three columns, a semi-join) go on. Rows with a NULL
+    payment, member or plan id can match nothing and are left out, as in the full load.
+    The fact folder is written last and marks the batch complete.
+    """
+    def put(df: DataFrame, table: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(_path(base, table, run_id))
+        return spark.read.schema(df.schema).parquet(_path(base, table, run_id))
+
+    member_run, plan_run = _dimension_runs(spark, base, run_id)
+    dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, upto=member_run)
+    dp = snap.read_latest(spark, base, "dim_plan", upto=plan_run)
+    paid = F.col("paid_date").isNotNull()
+
+    rows = batch.select(*schemas.STAGING_PAYMENTS.fieldNames())
+    waiting = pending_payments(spark, base, before=run_id)
+    if waiting is not None:  # of one instalment, unpaid while it waited and paid now, the paid row counts
+        now_paid = rows.where(paid).select("payment_id", "due_date").distinct()
+        rows = rows.unionByName(waiting.where(paid)).unionByName(
+            waiting.where(~paid).join(now_paid, ["payment_id", "due_date"], "left_anti"))
+    rows = rows.where(F.col("payment_id").isNotNull() & F.col("member_id").isNotNull() & F.col("plan_id").isNotNull())
+    members = facts.current_members(dm).select("member_id", F.lit(True).alias("_m")).distinct()
+    plans = dp.select("plan_id", F.lit(True).alias("_p")).distinct()
+    unmatched = (rows.join(members, "member_id", "left").join(plans, "plan_id", "left")
+                     .where(F.col("_m").isNull() | F.col("_p").isNull())
+                     .select(*schemas.STAGING_PAYMENTS.fieldNames()))
+    put(unmatched, PENDING)
+
+    arrived = put(first_per_key(facts.payment_rows(rows, dm, dp).withColumn("_paid", paid),
+                                ["payment_id", "due_date", "_paid"], facts.payment_order()).drop("_paid"),
+                  "payments_arrived")
+    ids = arrived.select("payment_id").distinct()
+    runs = _fact_runs(spark, base, before=run_id)
+    history = _batches(spark, base, FACT, runs, schemas.FACT_PAYMENTS)
+    new = first_per_key(arrived, ["payment_id"], facts.payment_order())
+    if history is not None:
+        gone = _batches(spark, base, REPLACED, runs, "payment_id string")
+        held = put(_without_replaced(
+            history.select("payment_id", "due_date", "paid_date").join(ids, "payment_id", "left_semi"),
+            None if gone is None else gone.join(ids, "payment_id", "left_semi")), "payments_held")
+        new = new.join(held.select("payment_id"), "payment_id", "left_anti")
+        unpaid = held.where(~paid).select("payment_id", "due_date")
+        now_paid = first_per_key(arrived.where(paid).join(unpaid, ["payment_id", "due_date"], "left_semi"),
+                                 ["payment_id"], facts.payment_order())
+        put(now_paid.select("payment_id"), REPLACED)
+        new = new.unionByName(now_paid)
+    put(schemas.conform(new, schemas.FACT_PAYMENTS), FACT)
+    for table in ("payments_arrived", "payments_held"):
+        snap.remove(spark, _path(base, table, run_id))
+
+
+def retry_pending_payments(spark: SparkSession, base: str) -> None:
+    """Try the pending payments again without new ones (e.g. after a member load), as a batch
+    that comes right after the newest one (``<newest>-retry0001`` and so on)."""
+    last = _fact_runs(spark, base)[-1:]
+    if not last:
+        return
+    stem, _, n = last[0].partition("-retry")
+    load_payments(spark, base, spark.createDataFrame([], schemas.STAGING_PAYMENTS), f"{stem}-retry{int(n or 0) + 1:04d}")
 
 
 def run_incremental_payments(spark: SparkSession, incoming: str, base: str, checkpoint: str,
                              prefix: str, max_files_per_trigger: int | None = None) -> None:
     """Consume all staging payment files that arrived in ``incoming`` and stop.
-    Batches may be any size: insert-ignore against the held fact makes the
-    result the same however the files are grouped, up to which duplicate wins."""
+    Batches may be any size: the result is the same however the files are
+    grouped, up to which of several rows that share a payment_id wins."""
     stream = _source(spark, schemas.STAGING_PAYMENTS, incoming, max_files_per_trigger)
     q = (stream.writeStream
-               .foreachBatch(payments_batch_writer(spark, base, prefix))
+               .foreachBatch(lambda batch, batch_id: load_payments(spark, base, batch, f"{prefix}-{batch_id:09d}"))
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True)
                .start())

@@ -7,6 +7,7 @@ from starforge import cli
 from starforge.session import work_path
 from starforge.sources.adapter import staging_from_driver
 from starforge.sources.staging import write_staging
+from starforge.streaming.incremental import fact_batches
 
 
 def test_cli_load_dq_profile(spark, capsys):
@@ -24,3 +25,7 @@ def test_cli_load_dq_profile(spark, capsys):
     cli.main(["profile", "--staging", f"{root}/staging", "--rows", "3"])
     out = capsys.readouterr().out
     assert "== lottery months, top 10" in out and "n_members" in out
+    cli.main(["incremental", "--warehouse", f"{root}/wh", "--as-of", "2002-01-02", "--checkpoint", f"{root}/ck",
+              "--members-in", f"{root}/staging/members", "--payments-in", f"{root}/staging/payments"])
+    full = spark.read.parquet(f"{root}/wh/fact_payments/run_id=20020101").count()
+    assert fact_batches(spark, f"{root}/wh").count() == full > 0

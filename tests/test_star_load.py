@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -103,6 +104,70 @@ def test_incremental_payments_insert_ignore(spark):
     assert key(got.drop("member_key", "plan_key")) == key(want.drop("member_key", "plan_key"))
 
 
+def _one_member(member_id, status="aktif"):
+    return (member_id, "n", f"hash-{member_id}", "c", "d", 1980, dt.date(1980, 1, 1), Decimal("1.00"),
+            dt.date(2020, 1, 1), status, None, None)
+
+
+def _one_payment(payment_id, member_id, due, paid, plan_id="P1"):
+    return (payment_id, "S1", member_id, plan_id, 1, due, paid, Decimal("10.00"), Decimal("10.00"), "odendi")
+
+
+def test_incremental_payments_late_member_paid_later_and_replay(spark):
+    from starforge import schemas
+    from starforge.operators import facts
+    from starforge.streaming import incremental as inc
+    base = work_path(spark, "test-g3", uuid.uuid4().hex)
+    members = lambda *ids: spark.createDataFrame([_one_member(i) for i in ids], schemas.STAGING_MEMBERS)
+    pays = lambda *rows: spark.createDataFrame(list(rows), schemas.STAGING_PAYMENTS)
+    plans = spark.createDataFrame([("P1", "p", "konut", 12, Decimal("120.00"), None)], schemas.STAGING_PLANS)
+    snap.write_snapshot(dims.dim_plan(plans), base, "dim_plan", "d9")
+    snap.write_snapshot(dims.dim_member_full(members("M1"), AS_OF), base, "dim_member", "d9", ["is_current"])
+    d1, d2, d3 = dt.date(2001, 1, 1), dt.date(2001, 2, 1), dt.date(2001, 3, 1)
+    got = lambda: {r.payment_id: (r.member_id, r.due_date, r.paid_date, r.payment_status)
+                   for r in inc.fact_batches(spark, base).collect()}
+    first = pays(_one_payment("A", "M1", d1, None), _one_payment("B", "M2", d1, d1), _one_payment("C", "M2", d1, None),
+                 _one_payment("D", "M1", d1, d1), _one_payment(None, "M1", d1, d1), _one_payment("E", None, d1, d1))
+    inc.load_payments(spark, base, first, "p9")
+    assert set(got()) == {"A", "D"} and got()["A"][3] == "odenmedi"
+    assert {r.payment_id for r in inc.pending_payments(spark, base).collect()} == {"B", "C"}
+    # the next day M2 is there, A and C are paid, D comes again under another due date
+    snap.write_snapshot(dims.dim_member_full(members("M1", "M2"), AS_OF), base, "dim_member", "d10", ["is_current"])
+    second = pays(_one_payment("A", "M1", d1, d2), _one_payment("C", "M2", d1, d2), _one_payment("D", "M1", d3, d3),
+                  _one_payment("D", "M1", d2, None))
+    inc.load_payments(spark, base, second, "p10")
+    want = {"A": ("M1", d1, d2, "gecikmeli"), "B": ("M2", d1, d1, "zamaninda"), "C": ("M2", d1, d2, "gecikmeli"),
+            "D": ("M1", d1, d1, "zamaninda")}
+    assert got() == want and inc.fact_batches(spark, base).count() == 4
+    assert inc.pending_payments(spark, base).count() == 0
+    # the fact equals a reload of the newest staging rows
+    newest = pays(_one_payment("A", "M1", d1, d2), _one_payment("B", "M2", d1, d1), _one_payment("C", "M2", d1, d2),
+                  _one_payment("D", "M1", d1, d1), _one_payment("D", "M1", d3, d3))
+    full = facts.fact_payments(newest, dims.dim_member_full(members("M1", "M2"), AS_OF), dims.dim_plan(plans))
+    assert {r.payment_id: (r.member_id, r.due_date, r.paid_date, r.payment_status) for r in full.collect()} == want
+    # a replayed batch reads the dimensions of its first attempt
+    snap.write_snapshot(dims.dim_member_full(members("M1"), AS_OF), base, "dim_member", "d11", ["is_current"])
+    inc.load_payments(spark, base, second, "p10")
+    assert got() == want
+    inc.retry_pending_payments(spark, base)
+    inc.retry_pending_payments(spark, base)
+    assert got() == want
+    # a payment whose member comes without new payments
+    inc.load_payments(spark, base, pays(_one_payment("F", "M3", d1, d1)), "p11")
+    assert got() == want
+    snap.write_snapshot(dims.dim_member_full(members("M1", "M2", "M3"), AS_OF), base, "dim_member", "d12", ["is_current"])
+    inc.retry_pending_payments(spark, base)
+    assert got() == want | {"F": ("M3", d1, d1, "zamaninda")}
+
+
+def test_drop_old_runs_keeps_the_newest(spark):
+    base = work_path(spark, "test-keep", uuid.uuid4().hex)
+    for run in ("d2", "d9", "d10"):
+        snap.write_snapshot(spark.range(2), base, "t", run)
+    assert snap.drop_old_runs(spark, base, "t", 2) == ["d2"]
+    assert snap.snapshot_runs(spark, base, "t") == ["d9", "d10"]
+
+
 def test_scd2_history_is_append_only_across_runs(spark):
     st = staging_from_driver(spark, SF)
     base = work_path(spark, "test-star", uuid.uuid4().hex)
