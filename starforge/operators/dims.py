@@ -11,6 +11,8 @@ from starforge.operators.dedupe import first_per_key
 PLAN_COLUMNS = ["plan_id", "plan_name", "plan_type", "duration_months", "target_amount"]
 MEMBER_SOURCE_COLUMNS = ["member_id", "full_name", "tc_hash", "city", "district",
                          "birth_year", "income", "signup_date", "status"]
+# Reasons of rejected member rows.
+NO_MEMBER_ID, OTHER_HASH_KEPT = "no member_id", "another hash of the member is kept"
 
 
 def clean_members(members: DataFrame) -> DataFrame:
@@ -30,8 +32,21 @@ def clean_members(members: DataFrame) -> DataFrame:
 
 
 def one_row_per_member(clean: DataFrame) -> DataFrame:
-    """Keep one clean row per member_id (the greatest hash); see T8 in the README."""
-    return first_per_key(clean, ["member_id"], [F.col("tc_hash").desc_nulls_last()])
+    """Keep one clean row per member_id (the greatest hash); see T8 in the README. The
+    others, and rows without an id, are the rows of :func:`rejected_members`."""
+    return first_per_key(clean.where(F.col("member_id").isNotNull()), ["member_id"],
+                         [F.col("tc_hash").desc_nulls_last()])
+
+
+def rejected_members(members: DataFrame) -> DataFrame:
+    """Clean rows that a versioned dimension with one current row per member can't take, with
+    the reason. The kept hash per member is an aggregate with map-side combine and the
+    join's hot keys are split by AQE, so no member's rows gather in one task."""
+    clean = clean_members(members)
+    kept = clean.where(F.col("member_id").isNotNull()).groupBy("member_id").agg(F.max("tc_hash").alias("kept_hash"))
+    other = clean.join(kept, "member_id").where(F.col("tc_hash") != F.col("kept_hash"))
+    return other.select(*MEMBER_SOURCE_COLUMNS, F.lit(OTHER_HASH_KEPT).alias("reason")).unionByName(
+        clean.where(F.col("member_id").isNull()).select(*MEMBER_SOURCE_COLUMNS, F.lit(NO_MEMBER_ID).alias("reason")))
 
 
 def member_rows(clean: DataFrame, as_of, keep: list[str] = ()) -> DataFrame:

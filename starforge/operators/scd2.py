@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starforge import schemas
-from starforge.operators.dims import clean_members, member_key, member_rows, one_row_per_member
+from starforge.operators.dims import clean_members, member_key, member_rows, one_row_per_member, rejected_members
 
-INSERT, UPDATE, SKIP = "insert", "update", "skip"
+INSERT, UPDATE, SKIP, REJECT = "insert", "update", "skip", "reject"
 DIM_COLUMNS = [f.name for f in schemas.DIM_MEMBER.fields]
 
 
@@ -106,5 +106,7 @@ def scd2_apply(dim: DataFrame, members: DataFrame, as_of,
 
 
 def scd2_counts(dim: DataFrame, members: DataFrame, as_of) -> DataFrame:
-    """Inserted / updated / skipped; their sum is the number of clean rows read."""
-    return scd2_classify(dim, members, as_of).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+    """Inserted / updated / skipped / rejected; their sum is the number of clean rows read."""
+    actions = scd2_classify(dim, members, as_of).select("action").unionByName(
+        rejected_members(members).select(F.lit(REJECT).alias("action")))
+    return actions.groupBy("action").agg(F.count(F.lit(1)).alias("n"))

@@ -130,7 +130,7 @@ def _member_dim_ctes(prefix: str, members: str, as_of: dt.date) -> str:
   QUALIFY row_number() OVER (PARTITION BY tc_hash ORDER BY signup_date DESC NULLS FIRST,
           member_id ASC NULLS LAST, status ASC NULLS LAST) = 1),
 {prefix}clean1 AS (
-  SELECT * FROM {prefix}clean
+  SELECT * FROM {prefix}clean WHERE member_id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY member_id ORDER BY tc_hash DESC NULLS LAST) = 1),
 {prefix}dim_member AS (
   SELECT member_id, full_name, tc_hash, city, district,
@@ -468,11 +468,13 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT 'dim_date' AS stage, 'success' AS status, CAST(count(*) AS BIGINT) AS rows_inserted "
         f"FROM dim_date_spine UNION ALL "
         f"SELECT 'dim_plan', 'success', CAST(count(*) AS BIGINT) FROM dim_plan UNION ALL "
-        f"SELECT 'dim_member', 'success', CAST(count(*) AS BIGINT) FROM clean1 UNION ALL "
+        f"SELECT 'dim_member', 'success', CAST(count(*) AS BIGINT) FROM clean UNION ALL "
         f"SELECT 'fact_payments', 'success', CAST(count(*) AS BIGINT) FROM pay_rows UNION ALL "
         f"SELECT 'fact_lottery', 'success', CAST(count(*) AS BIGINT) FROM lot_rows")
     q["scd2_current"] = BASE + "SELECT member_id, member_status, valid_from, version_no FROM scd_applied WHERE is_current"
-    q["scd2_counts"] = BASE + "SELECT action, count(*) AS n FROM scd_classified GROUP BY action"
+    q["scd2_counts"] = BASE + (
+        "SELECT action, count(*) AS n FROM (SELECT action FROM scd_classified UNION ALL SELECT 'reject' FROM clean c "
+        "WHERE NOT EXISTS (SELECT 1 FROM clean1 d WHERE d.tc_hash = c.tc_hash)) GROUP BY action")
     q["fact_payments"] = BASE + (
         "SELECT payment_id, member_id, plan_id, date_key, installment_no, due_amount, paid_amount, days_late, "
         "payment_status FROM fact_payments")

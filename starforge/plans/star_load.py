@@ -100,9 +100,13 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
         prev = scd2.empty_dim_member(spark) if prev is None else prev
         obs = Observation("dim_member")
         delta = scd2.scd2_delta(prev, staging.members, as_of, observation=obs)
-        snap.write_snapshot(delta, base, "dim_member", run_id, partition_by=["is_current"])
-        # Inserted + updated + skipped = clean rows read
-        return int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP)))
+        with ThreadPoolExecutor(max_workers=1) as pool:  # rejects are written beside the dimension
+            rejects = pool.submit(snap.write_snapshot, dims.rejected_members(staging.members), base,
+                                  "dim_member_rejects", run_id)
+            snap.write_snapshot(delta, base, "dim_member", run_id, partition_by=["is_current"])
+        # Inserted + updated + skipped + rejected = clean rows read
+        return (int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP)))
+                + spark.read.parquet(rejects.result()).count())
 
     def dims_for_facts():
         # newest snapshots up to this run: a replayed older day never joins against a later day's dimensions

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge import schemas
-from starforge.operators import facts, scd2
+from starforge.operators import dims, facts, scd2
 from starforge.operators.dedupe import first_per_key
 from starforge.sources import snapshots as snap
 
@@ -34,6 +34,7 @@ def scd2_batch_writer(spark: SparkSession, base: str, as_of: dt.date, prefix: st
         prev = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, before=run_id)
         prev = scd2.empty_dim_member(spark) if prev is None else prev
         delta = scd2.scd2_delta(prev, batch, as_of)
+        snap.write_snapshot(dims.rejected_members(batch), base, "dim_member_rejects", run_id)
         snap.write_snapshot(delta, base, "dim_member", run_id, partition_by=["is_current"])
 
     return write

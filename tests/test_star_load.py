@@ -160,6 +160,22 @@ def test_incremental_payments_late_member_paid_later_and_replay(spark):
     assert got() == want | {"F": ("M3", d1, d1, "zamaninda")}
 
 
+def test_rejected_members_are_written_and_counted(spark):
+    members = spark.createDataFrame(
+        [_one_member("M1"), _one_member("M1")[:2] + ("zzz",) + _one_member("M1")[3:], _one_member("M2"),
+         (None, "n", "h1") + _one_member("x")[3:], (None, "n", "h2") + _one_member("x")[3:]], schemas.STAGING_MEMBERS)
+    got = sorted((r.member_id or "", r.tc_hash, r.reason) for r in dims.rejected_members(members).collect())
+    assert got == [("", "h1", dims.NO_MEMBER_ID), ("", "h2", dims.NO_MEMBER_ID), ("M1", "hash-M1", dims.OTHER_HASH_KEPT)]
+    dim = scd2.scd2_apply(scd2.empty_dim_member(spark), members, AS_OF)
+    assert sorted((r.member_id, r.tc_hash) for r in dim.collect()) == [("M1", "zzz"), ("M2", "hash-M2")]
+    counts = {r.action: r.n for r in scd2.scd2_counts(scd2.empty_dim_member(spark), members, AS_OF).collect()}
+    assert counts == {"insert": 2, "reject": 3}  # five clean rows read
+    base = work_path(spark, "test-rejects", uuid.uuid4().hex)
+    rep = run_star_load(spark, _St(staging_from_driver(spark, SF), members=members), base, AS_OF, spine=SPINE)
+    assert {s.stage: s.rows for s in rep.stages}["dim_member"] == 5
+    assert snap.read_latest(spark, base, "dim_member_rejects").count() == 3
+
+
 def test_drop_old_runs_keeps_the_newest(spark):
     base = work_path(spark, "test-keep", uuid.uuid4().hex)
     for run in ("d2", "d9", "d10"):
