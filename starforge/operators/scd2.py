@@ -25,14 +25,17 @@ def empty_dim_member(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schemas.DIM_MEMBER)
 
 
-def _marked(current: DataFrame, members: DataFrame, as_of) -> DataFrame:
+def _marked(current: DataFrame, members: DataFrame, as_of, clean_rows: Observation | None = None) -> DataFrame:
     """Current rows and the day's transformed batch rows side by side, each row
     marked with its member's action. One shuffle by member_id, no join.
 
     The window per member holds the member's current row(s) plus at most one
     batch row, so no group grows with the data.
     """
-    batch = member_rows(one_row_per_member(clean_members(members)), as_of).select(
+    clean = clean_members(members)
+    if clean_rows is not None:
+        clean = clean.observe(clean_rows, F.count(F.lit(1)).alias("rows"))
+    batch = member_rows(one_row_per_member(clean), as_of).select(
         F.lit(None).cast("long").alias("member_key"), "*",
         F.lit(None).cast("int").alias("version_no"), F.lit(1).alias("_src"))
     cur = current.where(F.col("is_current")).select(*DIM_COLUMNS, F.lit(0).alias("_src"))
@@ -66,7 +69,7 @@ def scd2_classify(dim: DataFrame, members: DataFrame, as_of) -> DataFrame:
 
 
 def scd2_delta(current: DataFrame, members: DataFrame, as_of,
-               observation: Observation | None = None) -> DataFrame:
+               observation: Observation | None = None, clean_rows: Observation | None = None) -> DataFrame:
     """D5 on the current rows only: the new current set (is_current = true) plus
     the rows closed today (is_current = false), as one DataFrame / one write.
 
@@ -74,9 +77,10 @@ def scd2_delta(current: DataFrame, members: DataFrame, as_of,
     (valid_to = as_of, is_current = false); the new version is current with
     valid_from = signup date and version_no = previous version + 1. Members
     missing from staging keep their current row. With ``observation`` the D6
-    counters (inserted / updated / skipped) are collected during the write.
+    counters (inserted / updated / skipped) are collected during the write, with
+    ``clean_rows`` the number of clean rows read (metric ``rows``).
     """
-    m = _marked(current, members, as_of)
+    m = _marked(current, members, as_of, clean_rows)
     a = F.col("action")
     if observation is not None:
         b = F.col("_src") == 1

@@ -98,15 +98,15 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
         # the rows it closed (history is append-only, see sources.snapshots)
         prev = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, before=run_id)
         prev = scd2.empty_dim_member(spark) if prev is None else prev
-        obs = Observation("dim_member")
-        delta = scd2.scd2_delta(prev, staging.members, as_of, observation=obs)
-        with ThreadPoolExecutor(max_workers=1) as pool:  # rejects are written beside the dimension
-            rejects = pool.submit(snap.write_snapshot, dims.rejected_members(staging.members), base,
-                                  "dim_member_rejects", run_id)
-            snap.write_snapshot(delta, base, "dim_member", run_id, partition_by=["is_current"])
+        obs, clean = Observation("dim_member"), Observation("clean_members")
+        delta = scd2.scd2_delta(prev, staging.members, as_of, observation=obs, clean_rows=clean)
+        snap.write_snapshot(delta, base, "dim_member", run_id, partition_by=["is_current"])
         # Inserted + updated + skipped + rejected = clean rows read
-        return (int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP)))
-                + spark.read.parquet(rejects.result()).count())
+        rows = int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP)))
+        if _rows(clean) != rows:  # a run without rejects has no snapshot of them
+            rows += spark.read.parquet(snap.write_snapshot(dims.rejected_members(staging.members), base,
+                                                           "dim_member_rejects", run_id)).count()
+        return rows
 
     def dims_for_facts():
         # newest snapshots up to this run: a replayed older day never joins against a later day's dimensions
