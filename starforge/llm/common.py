@@ -77,6 +77,14 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: str | list[str], size: s
     return near.unionByName(far)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes to differ from all columns of ``df``."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def keep_named(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
     """Only the columns an operator needs, cast; a missing one is null. Other columns can't clash."""
     have = {c.lower(): c for c in df.columns}

@@ -25,7 +25,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starforge.llm.common import join_groups, keep_named, stored
+from starforge.llm.common import join_groups, keep_named, spare, stored
 from starforge.session import work_path
 
 #: Entries a bucket holds before it is split.
@@ -128,13 +128,15 @@ def keep_one(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     found = deduplicate(docs, capacity)
     gone = found.groupBy("doc_id", "text_sha256", "n_points").agg(F.max(F.col("kept").cast("int")).alias("any"), F.count("*").alias("m"))
     gone = stored(gone.where("any = 0 or m > 1"), "dedup-gone")
-    marked = docs.withColumns({"_sha": F.sha2(normalised(F.col("text")), 256),
-                               "_points": F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).cast("long")})
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), "text_sha256", F.col("n_points").alias("_gone_points"), "any")
-    same = (F.col("_sha") == F.col("text_sha256")) & (F.col("_points") == F.col("_gone_points")) & F.col("doc_id").eqNullSafe(F.col("_gone_id"))
+    sha, points = spare(docs, "_sha"), spare(docs, "_points")
+    marked = docs.withColumns({sha: F.sha2(normalised(F.col("text")), 256),
+                               points: F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).cast("long")})
+    gone_id, gone_sha, gone_points, any_ = (spare(marked, x) for x in ("_gone_id", "_gone_sha", "_gone_points", "_any"))
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha), F.col("n_points").alias(gone_points), F.col("any").alias(any_))
+    same = (F.col(sha) == F.col(gone_sha)) & (F.col(points) == F.col(gone_points)) & F.col("doc_id").eqNullSafe(F.col(gone_id))
     out = marked.join(gone, same, "left_anti").select(*columns)
-    twins = gone.where(F.col("any") == 1)
+    twins = gone.where(F.col(any_) == 1)
     if twins.take(1):  # rows alike in doc_id, text and length: one of them
-        one = marked.join(twins, same, "left_semi").dropDuplicates(["doc_id", "_sha", "_points"])
+        one = marked.join(twins, same, "left_semi").dropDuplicates(["doc_id", sha, points])
         out = out.unionAll(one.select(*columns))
     return out

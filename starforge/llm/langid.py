@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starforge.llm.common import ready, keep_named
+from starforge.llm.common import keep_named, ready, spare
 
 #: Labelled documents taken per language to fit the model (a documented bound).
 TRAIN_DOCS = 500
@@ -368,12 +368,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Every row of ``docs`` with ``lang_pred``, ``score`` and ``lang_spans`` (columns of these names are replaced)."""
     ready(docs.sparkSession)
     rows = docs.drop("lang_pred", "score", "lang_spans")
-    found = rows.withColumn("_language", language_columns(F.col("text"), model, docs.sparkSession))
-    return found.select(*[F.col(f"`{c}`") for c in rows.columns], F.col("_language.lang").alias("lang_pred"),
-                        F.col("_language.score").alias("score"), F.col("_language.spans").alias("lang_spans"))
+    name = spare(rows, "_language")
+    found = rows.withColumn(name, language_columns(F.col("text"), model, docs.sparkSession))
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns], F.col(f"{name}.lang").alias("lang_pred"),
+                        F.col(f"{name}.score").alias("score"), F.col(f"{name}.spans").alias("lang_spans"))
 
 
 def identify_and_keep(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """Rows whose language is known: not ``und`` and a score of at least ``min_score``. Same columns as ``docs``."""
-    found = identify(docs, train(docs))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Rows whose language is known: not ``und`` and a score of at least ``min_score``. The columns of ``docs``, whatever
+    their names, with their own values."""
+    ready(docs.sparkSession)
+    name = spare(docs, "_language")
+    found = docs.withColumn(name, language_columns(F.col("text"), train(docs), docs.sparkSession))
+    return found.where((F.col(f"{name}.lang") != "und") & (F.col(f"{name}.score") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])

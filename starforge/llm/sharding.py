@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starforge.llm.common import ready, stored
+from starforge.llm.common import ready, spare, stored
 
 #: Rows of a block, the unit that is permuted at once, on average.
 BLOCK_ROWS = 20_000
@@ -74,8 +74,9 @@ def shuffle_to_shards(rows: DataFrame, shards: int, seed: int = 7, block_rows: i
     spark = rows.sparkSession
     ready(spark)
     rows = rows.drop("shard", "slot")
-    placed = stored(rows.withColumn("_id", F.monotonically_increasing_id()), "shard-rows")
-    part = F.shiftrightunsigned("_id", 33)
+    id_, block, rank, first, size = (spare(rows, x) for x in ("_id", "_block", "_rank", "_first", "_size"))
+    placed = stored(rows.withColumn(id_, F.monotonically_increasing_id()), "shard-rows")
+    part = F.shiftrightunsigned(id_, 33)
     counts = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}  # one row per partition
     parts = sorted(counts)
     n = sum(counts.values())
@@ -97,14 +98,14 @@ def shuffle_to_shards(rows: DataFrame, shards: int, seed: int = 7, block_rows: i
 
     # the second permutation, in two parts of a seeded random number: block, and order within the block
     cut = max(1, math.ceil(n / shards / block_rows))
-    sent = placed.withColumn("shard", target("_id")).withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), F.col("_id")), F.lit(cut)))
-    sizes = sent.select("shard", "_block").groupBy("shard", "_block").agg(F.count("*").alias("_size"))
-    before = F.sum("_size").over(Window.partitionBy("shard").orderBy("_block")) - F.col("_size")
-    places = stored(sizes.select("shard", "_block", before.alias("_first")), "shard-places")
-    order = Window.partitionBy("shard", "_block").orderBy(F.xxhash64(F.lit(seed + 1), F.col("_id")), "_id")
-    dealt = sent.withColumn("_rank", F.row_number().over(order))
-    out = dealt.join(places, ["shard", "_block"])  # one row for each block; rows already lie by these keys
-    return out.select(*[F.col(f"`{c}`") for c in rows.columns], "shard", (F.col("_first") + F.col("_rank") - 1).alias("slot"))
+    sent = placed.withColumn("shard", target(id_)).withColumn(block, F.pmod(F.xxhash64(F.lit(seed), F.col(id_)), F.lit(cut)))
+    sizes = sent.select("shard", block).groupBy("shard", block).agg(F.count("*").alias(size))
+    before = F.sum(size).over(Window.partitionBy("shard").orderBy(block)) - F.col(size)
+    places = stored(sizes.select("shard", block, before.alias(first)), "shard-places")
+    order = Window.partitionBy("shard", block).orderBy(F.xxhash64(F.lit(seed + 1), F.col(id_)), id_)
+    dealt = sent.withColumn(rank, F.row_number().over(order))
+    out = dealt.join(places, ["shard", block])  # one row for each block; rows already lie by these keys
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns], "shard", (F.col(first) + F.col(rank) - 1).alias("slot"))
 
 
 _ORDER: dict[int, np.ndarray] = {}

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starforge.llm.common import join_groups, keep_named, ready, stored
+from starforge.llm.common import join_groups, keep_named, ready, spare, stored
 from starforge.llm.components import components
 
 #: Fingerprints in one cell of the trie's top, at most.
@@ -286,11 +286,13 @@ def keep_one(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
 def one_each(rows: DataFrame, key: str) -> DataFrame:
     """Rows of which none shares its ``key`` with a row whose text hashes lower; rows alike in both are one."""
     columns = [F.col(f"`{c}`") for c in rows.columns]
-    marked = rows.withColumn("_hash", F.xxhash64("text"))
-    least = marked.groupBy(F.col(key).alias("_key")).agg(F.min("_hash").alias("_least"), F.count("*").alias("_n")).where("_n > 1")
+    hash_ = spare(rows, "_hash")
+    marked = rows.withColumn(hash_, F.xxhash64("text"))
+    key_, least_ = spare(marked, "_key"), spare(marked, "_least")
+    least = marked.groupBy(F.col(key).alias(key_)).agg(F.min(hash_).alias(least_), F.count("*").alias("_n")).where("_n > 1")
     doubles = stored(least, "doubles")
     if not doubles.take(1):
         return rows
-    alone = rows.join(doubles, rows[key].eqNullSafe(doubles["_key"]), "left_anti").select(*columns)
-    best = marked.join(doubles, marked[key].eqNullSafe(doubles["_key"]) & (F.col("_hash") == F.col("_least")), "left_semi").select(*columns)
+    alone = rows.join(doubles, rows[key].eqNullSafe(doubles[key_]), "left_anti").select(*columns)
+    best = marked.join(doubles, marked[key].eqNullSafe(doubles[key_]) & (F.col(hash_) == F.col(least_)), "left_semi").select(*columns)
     return alone.unionAll(best.dropDuplicates([key, "text"]))

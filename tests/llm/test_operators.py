@@ -28,6 +28,10 @@ def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet").cache()
 
 
+CLASHES = ("key", "norm", "fp", "sha", "score", "shard", "_block", "bucket", "words", "n", "lang_pred", "_language", "_hash", "_sha", "_points",
+           "_id", "_key", "_least", "_keep", "_gone_id", "any", "text_sha256", "root")
+
+
 def odd_rows(spark):
     """Nulls everywhere, blanks, ties, repeats, a long text, and columns whose names the operators use."""
     long = "wort und " * 30_000
@@ -35,7 +39,7 @@ def odd_rows(spark):
             (4, "Same text here", "en", "s", 1), (5, "Sametext  here", "en", "s", 1), (5, "Sametext  here", "en", "s", 1), (7, long, "de", "s", 9),
             (None, "Same text here", None, None, None), (8, "\x00 x\x1c<|endoftext|> ‍ Σ 😀", "en", "s", 2), (9, "12 + 3", "en", "s", 6)]
     df = spark.createDataFrame(rows, DOCS)
-    for c in ("key", "norm", "fp", "sha", "score", "shard", "_block", "bucket", "words", "n", "lang_pred"):
+    for c in CLASHES:
         df = df.withColumn(c, F.lit("clash"))
     return df
 
@@ -308,6 +312,11 @@ def test_viterbi_finds_the_best_path():
         assert score(path) == pytest.approx(max(map(score, itertools.product(range(len(pii.LABELS)), repeat=len(s)))))
 
 
+def test_long_runs_of_digits():
+    assert pii.base_spans("0" * 5000 + ".1.2.3") == [("ip", 0, 5006)]
+    assert pii.base_spans("1" * 5000 + ".1.2.3") == []
+
+
 def test_personal_data_rows(spark):
     got = pii.personal_data(odd_rows(spark), pii.fit_rows(pii.labelled_rows())).collect()
     assert len(got) == odd_rows(spark).count() and all(r["spans"] == "" and r["base_sha256"] == hashlib.sha256(b"").hexdigest() for r in got)
@@ -354,6 +363,17 @@ def test_fingerprint_equals_its_definition(spark):
     assert simhash.fingerprint(None) == simhash.fingerprint(" \n") == 0
 
 
+@pytest.mark.parametrize("stage", ["langid", "exact", "simhash", "clean", "shards"])
+def test_clashing_columns_keep_their_values(spark, stage):
+    odd = odd_rows(spark)
+    bench = spark.createDataFrame([(1, "no document holds this passage of a test")], "item_id long, text string")
+    out = {"langid": lambda: langid.identify_and_keep(odd), "exact": lambda: exact_dedup.keep_one(odd), "simhash": lambda: simhash.keep_one(odd),
+           "clean": lambda: decontaminate.keep_clean(odd, bench), "shards": lambda: sharding.shuffle_to_shards(odd, 3)}[stage]()
+    rows = out.collect()
+    assert rows and all(r[c] == "clash" for r in rows for c in CLASHES if (stage, c) != ("shards", "shard"))
+    assert stage == "shards" or out.columns == odd.columns
+
+
 def test_simhash_keep_one(spark):
     odd = odd_rows(spark)
     kept = simhash.keep_one(odd)
