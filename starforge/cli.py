@@ -89,7 +89,11 @@ def _report(df, title: str, out: str | None, rows: int | None = None) -> None:
 def cmd_dq(spark, a) -> None:
     from starforge.operators import dims, quality
     from starforge.sources import snapshots as snap
-    from starforge.sources.staging import read_all_staging
+    from starforge.sources.staging import read_all_staging, read_raw_staging
+    bounds = quality.union_all([
+        quality.bound_violations(read_raw_staging(spark, a.staging, t), f"staging.{t}",
+                                 schemas.VARCHAR_BOUNDS.get(t, {}), schemas.NUMERIC_BOUNDS.get(t, {})) for t in schemas.STAGING])
+    _report(bounds, "type bounds", a.out, a.rows)  # on the files as delivered
     st = read_all_staging(spark, a.staging)
     dm = snap.read_scd2(spark, a.warehouse, "dim_member", schemas.DIM_MEMBER) if a.warehouse else None
     dm = dims.dim_member_full(st.members, a.as_of) if dm is None else dm

@@ -15,6 +15,11 @@ def read_staging(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.schema(schemas.STAGING[table]).parquet(f"{base.rstrip('/')}/{table}")
 
 
+def read_raw_staging(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """One staging table with the types its files have, for checks before the cast to the declared ones."""
+    return spark.read.parquet(f"{base.rstrip('/')}/{table}")
+
+
 def read_all_staging(spark: SparkSession, base: str):
     from starforge.sources.adapter import Staging
     return Staging(**{t: read_staging(spark, base, t) for t in schemas.STAGING})

@@ -172,7 +172,7 @@ def load_payments(spark: SparkSession, base: str, batch: DataFrame, run_id: str)
                                  ["payment_id"], facts.payment_order())
         put(now_paid.select("payment_id"), REPLACED)
         new = new.unionByName(now_paid)
-    put(schemas.conform(new, schemas.FACT_PAYMENTS), FACT)
+    put(schemas.conform(new, schemas.FACT_PAYMENTS).sortWithinPartitions("date_key"), FACT)
     for table in ("payments_arrived", "payments_held"):
         snap.remove(spark, _path(base, table, run_id))
 

@@ -2,6 +2,7 @@
 matching rule's count by the number of rows it touched."""
 
 import datetime as dt
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -103,6 +104,32 @@ def test_constraint_checks_fire(spark):
     assert fk.n == 1  # 'b' is an orphan; NULL passes
 
 
+def test_bounds_are_checked_on_the_files_as_delivered(spark):
+    from starforge import schemas
+    from starforge.session import work_path
+    from starforge.sources.staging import read_raw_staging
+    base = work_path(spark, "test-raw", uuid.uuid4().hex)
+    rows = [("PAY1", "S1", "10.00"), ("PAY2", "S" * 16, "99999999999.00"), ("P" * 21, None, "no number"), (None, "S3", None)]
+    spark.createDataFrame(rows, "payment_id string, subscription_id string, due_amount string").write.parquet(f"{base}/payments")
+    raw = read_raw_staging(spark, base, "payments")
+    got = {r.column_name: r.n for r in quality.bound_violations(
+        raw, "staging.payments", schemas.VARCHAR_BOUNDS["payments"], schemas.NUMERIC_BOUNDS["payments"]).collect()}
+    assert got == {"payment_id": 1, "subscription_id": 1, "due_amount": 2}
+    assert quality.bound_violations(raw, "t", {}, {}).count() == 0
+
+
+def test_report_scans_each_table_once_for_its_rules(spark):
+    st = staging_from_driver(spark, SF)
+    for src in ("members", "payments", "plans"):
+        got = {r.rule: r.n for r in quality.verdict(quality.table_counts(st, src, AS_OF)).collect()}
+        want = {r.rule: r.n for r in quality.row_rule_counts(
+            getattr(st, src), [r for r in quality.ROW_RULES if r.source == src], AS_OF).collect()}
+        want |= {d[0]: quality.duplicate_rule(st, d[0]).first().n for d in quality.DUPLICATE_RULES if d[2] == src}
+        assert got == want
+        none = quality.table_counts(_St(st, **{src: getattr(st, src).limit(0)}), src, AS_OF)
+        assert all(r.n == 0 for r in none.collect())
+
+
 def test_orphans_count_null_keys(spark):
     child = spark.createDataFrame([("x",), (None,), ("y",)], "k string")
     parent = spark.createDataFrame([("x",)], "k string")
