@@ -2,10 +2,15 @@
 
 Texts and benchmark items are normalised alike: lower case, every ASCII character that is neither letter
 nor digit counts as a blank, runs of blanks are one. An item is cut into windows of SPAN characters
-(bytes of UTF-8), each overlapping the next by half; a shorter item is one window. A document leaks an item when a
+(bytes of UTF-8), one every STEP; a shorter item is one window. A document leaks an item when a
 window of it occurs with at most k edits, k being EDIT_RATE of the window's length (for short windows
 as many as leave the lemma a threshold of one).
 
+STEP is twice the k of a whole window, so every passage of SPAN characters lies within k places of a window, whose other
+characters then cost at most k edits: a passage copied word for word is sure to be found from SPAN characters on, wherever in
+its item it begins. One of SPAN characters with e edits is sure to be found if it lies within k - e places of a window; one
+of SPAN + STEP - 1 characters holds a whole window and is sure to be found with up to k edits.
+
 An occurrence with at most k edits shares at least m - Q + 1 - k * Q q-grams with its window, and their
 diagonals (place in the text less place in the window) lie within k of each other. So shared q-grams
 are counted in diagonal bands of width 2 (k + 1) that overlap by half, bands below the threshold are dropped
@@ -76,6 +81,10 @@ def budget(m: int) -> int:
     return min(int(EDIT_RATE * m), (m - Q) // Q) if m >= Q else 0
 
 
+#: Places from one window of an item to the next: no place is further than the edit budget from a window.
+STEP = 2 * budget(SPAN)
+
+
 def _sieve(g: np.ndarray) -> np.ndarray:
     return (g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SIEVE_BITS)
 
@@ -106,7 +115,7 @@ def make_block(rows: list[tuple[int, str]]) -> Block:
             short.append((item, norm))
             continue
         last = max(0, len(norm) - SPAN)
-        for a in sorted({*range(0, last + 1, SPAN // 2), last}):
+        for a in sorted({*range(0, last + 1, STEP), last}):
             items.append(item), text.append(norm[a:a + SPAN])
     size = np.array([len(t) for t in text], np.int64)
     need = np.array([m - Q + 1 - budget(m) * Q for m in size], np.int64)

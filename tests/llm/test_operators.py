@@ -208,6 +208,19 @@ def test_leaks_equal_brute_force(spark, docs):
     assert found > 50
 
 
+def test_every_passage_of_a_span_is_a_leak(spark):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:8]
+    block = decontaminate.make_block(items)
+    before, after, passages = "0123456789 " * 12, " 9876543210" * 12, []
+    for item, text in items:
+        flat = decontaminate.normalise([text])[0]
+        norm = flat[flat != 0].tobytes().strip()
+        cuts = [norm[a:a + decontaminate.SPAN] for a in range(len(norm) - decontaminate.SPAN + 1)]
+        passages += [(item, c.decode()) for c in cuts if c.decode("utf-8", "ignore").encode() == c]
+    found = decontaminate.find_leaks(block, [before + c + after for _, c in passages])
+    assert len(passages) > 500 and all(item in {x[0] for x in f} for (item, _), f in zip(passages, found))
+
+
 def test_leaks_of_tables(spark, docs):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()}
