@@ -135,6 +135,7 @@ class Model:
         self.memo = {}
         self.score = np.empty((0, len(self.langs)), np.float32)
         self.letters = np.empty(0, np.int64)
+        self.known = np.empty(0, bool)  # whether some language uses the word's script
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         flat, start, end = _points(words)
@@ -162,6 +163,7 @@ class Model:
             self.memo.update(zip(new, range(base, base + len(new))))
             self.score = np.concatenate([self.score, self.word_scores(new)])
             self.letters = np.concatenate([self.letters, [len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in new]])
+            self.known = np.concatenate([self.known, self.allowed[script_of(np.array([ord(w[0]) for w in new]))].any(axis=1)])
             code[miss] = [self.memo[w] for w in unknown]
         return code
 
@@ -249,9 +251,15 @@ def predict_batch(model: Model, texts: list[str | None], spans: bool = False) ->
     """(language, score, spans) of each text; a span is (language, start, end) in code points, and the spans
     of a text cover it from end to end. The score is the share of letters under the language, times the
     logistic of its lead over the next language on its own words (the mean per word, over at most 20 words)."""
+    return [x[:3] for x in predict_proof(model, texts, spans)]
+
+
+def predict_proof(model: Model, texts: list[str | None], spans: bool = False) -> list[tuple[str, float, list, float]]:
+    """What ``predict_batch`` gives, and the proof of each text: its score with only the letters of words whose script some
+    language uses counted under the language, and 0 where the language has no lead over the next one."""
     lows = [lowered(t) if t else "" for t in texts]
     found = [words_of(t) for t in lows]
-    out: list[tuple[str, float, list]] = [("und", 0.0, [])] * len(texts)
+    out: list[tuple[str, float, list, float]] = [("und", 0.0, [], 0.0)] * len(texts)
     if not model.langs:
         return out
     code = model.codes([w for x in found for w in x])
@@ -265,6 +273,7 @@ def predict_batch(model: Model, texts: list[str | None], spans: bool = False) ->
     pred = mass.argmax(axis=1)
     inside = np.flatnonzero(label == pred[text])
     home = text[inside]
+    proven = np.bincount(home, weights=(letters * model.known[code])[inside], minlength=len(texts))
     count = np.bincount(home, minlength=len(texts))
     sums = np.zeros((len(texts), n))
     some = np.flatnonzero(count)
@@ -288,7 +297,8 @@ def predict_batch(model: Model, texts: list[str | None], spans: bool = False) ->
                 starts = [m.start() for m in _WORD.finditer(lows[i])]
                 at = [0] + [starts[k] for k in turn[1:]]
             parts = [(model.langs[own_labels[k]], a, b) for k, a, b in zip(turn, at, [*at[1:], len(texts[i])])]
-        out[i] = (model.langs[pred[i]], float(mass[i][pred[i]] / whole * sure), parts)
+        proof = float(proven[i] / whole * sure) if lead[i] > 0 else 0.0
+        out[i] = (model.langs[pred[i]], float(mass[i][pred[i]] / whole * sure), parts, proof)
     return out
 
 
@@ -351,15 +361,16 @@ def train(docs: DataFrame, per_lang: int = TRAIN_DOCS) -> Model:
 
 
 def language_columns(text: Column, model: Model, spark) -> Column:
-    """Struct (lang, score, spans) of a text column."""
+    """Struct (lang, score, spans, proof) of a text column."""
     held = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang string, score double, spans array<struct<lang:string,start:int,end:int>>")
+    @F.pandas_udf("lang string, score double, spans array<struct<lang:string,start:int,end:int>>, proof double")
     def predict(batch: pd.Series) -> pd.DataFrame:
         texts = [t if isinstance(t, str) else None for t in batch]
-        found = predict_batch(held.value, texts, spans=True)
+        found = predict_proof(held.value, texts, spans=True)
         return pd.DataFrame({"lang": [f[0] for f in found], "score": [f[1] for f in found],
-                             "spans": [[{"lang": a, "start": b, "end": c} for a, b, c in f[2]] for f in found]})
+                             "spans": [[{"lang": a, "start": b, "end": c} for a, b, c in f[2]] for f in found],
+                             "proof": [f[3] for f in found]})
 
     return predict(text.cast("string"))
 
@@ -375,9 +386,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identify_and_keep(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """Rows whose language is known: not ``und`` and a score of at least ``min_score``. The columns of ``docs``, whatever
-    their names, with their own values."""
+    """Rows whose language is known: not ``und`` and a proof of at least ``min_score``. So a text goes whose words are all of
+    scripts that no learned language uses, or in which its language doesn't lead, or has too small a share of the letters
+    in learned scripts. The columns of ``docs``, whatever their names, with their own values."""
     ready(docs.sparkSession)
     name = spare(docs, "_language")
     found = docs.withColumn(name, language_columns(F.col("text"), train(docs), docs.sparkSession))
-    return found.where((F.col(f"{name}.lang") != "und") & (F.col(f"{name}.score") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.where((F.col(f"{name}.lang") != "und") & (F.col(f"{name}.proof") >= min_score)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -434,6 +434,17 @@ def test_language_scripts_narrow(spark):
     assert [langid.predict_batch(model, [t])[0][0] for t in ("дом", "κόσμος", "you")] == ["ru", "el", "en"]
 
 
+def test_stage_drops_texts_without_a_leading_language(spark):
+    thai = "ภาษาไทยเป็นภาษาราชการ "
+    own = [("hello world and you", "en"), ("bonjour le monde et vous", "fr")] * 12
+    other = [(thai * 5, None), (thai * 20 + "hello", None), ("hello world", None)]
+    rows = lambda x: spark.createDataFrame([(i, t, l, None, None) for i, (t, l) in enumerate(x)], DOCS)
+    model = langid.Model(["aa", "bb"], np.zeros((1 << langid.BUCKET_BITS, 2), np.float32), np.ones((langid.OTHER + 1, 2), bool))
+    assert langid.predict_proof(model, ["wort und wort"])[0][1:] == (0.5, [], 0.0)
+    kept = Counter(r["text"] for r in langid.identify_and_keep(rows(own + other)).collect())
+    assert kept == Counter([t for t, _ in own] + ["hello world"])
+
+
 # ---- pipeline
 
 def test_pipeline_equals_its_stages(spark):
