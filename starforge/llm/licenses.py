@@ -7,6 +7,16 @@ THRESHOLD on. Since s is at most the smaller of d and t, a template is a candida
 t * THRESHOLD / (2 - THRESHOLD) <= d <= t * (2 - THRESHOLD) / THRESHOLD; units that fit no template are dropped
 before their bigrams are made.
 
+A notice need not be a unit: it may be a part of a sentence, or lie in a comment whose marks and line ends keep its lines
+from being a paragraph. So windows slide over the words of the whole text as well (marks and line ends are blanks there): one from
+every shared bigram on, of at most t bigrams and up to the last shared one among them, matched like a unit. Of windows that
+overlap, the one of the highest coefficient stays (ties: more shared bigrams, then the template listed first, then the first
+window). Windows count (as level 4) where no unit of the text matches their licence. A window shares at least
+t * THRESHOLD / (2 - THRESHOLD) bigrams, so it holds one of the words ``anchors`` gives; texts without any are not cut.
+
+The SQL states the units with TEMPLATES, and no windows and no WORDINGS; the results are equal where notices are units of
+their own, as in the given tables.
+
 Shared bigrams are found by an equi-join with the templates' bigrams, a fixed list of a few hundred rows and the only
 thing broadcast. What is left after it is small and grouped by row, unit and template. Rows that repeat both doc_id and text count
 once. Defined results: null or blank texts match nothing; a table without matches gives no rows.
@@ -14,6 +24,9 @@ once. Defined results: null or blank texts match nothing; a table without matche
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +59,14 @@ TEMPLATES = [
     ("All-rights-reserved", "All rights reserved."),
 ]
 
+# More wordings.
+WORDINGS = [
+    ("MIT", "This project is licensed under the MIT License."),
+    ("MIT", "Distributed under the MIT License."),
+    ("Apache-2.0", "Licensed under the Apache License 2.0."),
+    ("Apache-2.0", "This project is licensed under the Apache License 2.0."),
+]
+
 _WORDS = "split(trim(regexp_replace(lower({0}), '[^\\\\p{{L}}\\\\p{{N}}]+', ' ')), ' ')"
 _BIGRAMS = "transform(sequence(0, size(words) - 2), i -> concat(words[i], ' ', words[i + 1]))"
 
@@ -72,9 +93,48 @@ def units(docs: DataFrame) -> DataFrame:
             transform(array(text), u -> struct(3 as level, 0 as place, {words} as words)))""")))
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def anchors(templates, threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every window that matches one of the templates holds at least one: in each template, less than
+    t * threshold / (2 - threshold) bigrams are without them."""
+    out: list[str] = []
+    for _, text in templates:
+        words = re.sub(r"[\W_]+", " ", text.lower()).split()
+        t = len(words) - 1
+        for w in sorted(set(words), key=lambda x: (-len(x), x)):
+            free = sum(not {x, y} & set(out) for x, y in zip(words, words[1:]))
+            if not free or round(2 * free / (free + t), 6) < threshold:
+                break
+            out.append(w)
+    return out
+
+
+def windows(docs: DataFrame, templates, index: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, text_hash, license, dice of the windows that match and that no better one overlaps."""
+    rows = keep_named(docs, {"doc_id": "long", "text": "string"})
+    low = F.lower("text")
+    held = reduce(lambda x, y: x | y, [low.contains(w) for w in anchors(templates, threshold)], F.lit(False))
+    cut = rows.where(held).select("doc_id", F.xxhash64("text").alias("text_hash"), F.inline(F.expr(f"array(struct({_WORDS.format('text')} as words))")))
+    each = cut.where("size(words) > 1").select("doc_id", "text_hash", F.posexplode(F.expr(_BIGRAMS)).alias("at", "bigram"))
+    text, own = ["doc_id", "text_hash"], ["doc_id", "text_hash", "template", "license", "t"]
+    hits = each.join(F.broadcast(index), "bigram").groupBy(*own, "low").agg(F.array_sort(F.collect_set(F.struct("at", "bigram", "t_count"))).alias("h"))
+    # from each hit on, the hits within t places; as many as the lemma asks for
+    hits = hits.withColumn("low", F.expr("cast(ceil(low - 1e-4) as int)"))
+    near = hits.where("size(h) >= low").select(*own, "low", F.inline(F.expr(
+        "transform(filter(sequence(1, size(h)), i -> try_element_at(h, i + low - 1).at - h[i - 1].at < t), "
+        "i -> struct(h[i - 1].at as begin, slice(h, i, t) as w))")))
+    near = near.select(*own, "begin", F.inline("w")).where("at < begin + t")
+    per = near.groupBy(*own, "begin", "bigram", "t_count").agg(F.count("*").alias("n"), F.max("at").alias("last"))
+    per = per.groupBy(*own, "begin").agg(F.sum(F.least("n", "t_count")).alias("s"), F.max("last").alias("stop"))
+    found = per.withColumn("dice", F.expr("round(2 * s / (stop - begin + 1 + t), 6)")).where(F.col("dice") >= threshold)
+    best = found.groupBy(*text).agg(F.array_sort(F.collect_list(F.expr(
+        "struct(-dice as cost, -s as s, template, begin, stop, license, dice)"))).alias("w"))
+    picked = F.expr("aggregate(w, slice(w, 1, 0), (a, x) -> if(exists(a, y -> y.begin <= x.stop + 1 and x.begin <= y.stop + 1), a, concat(a, array(x))))")
+    return best.select(*text, F.inline(picked)).select(*text, "license", "dice")
+
+
+def scan(docs: DataFrame, templates=TEMPLATES + WORDINGS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document and licence: doc_id, license, dice (the best unit's, to six places), level (of the best
-    unit, the smallest one among equals) and n_units (units that match)."""
+    unit, the smallest one among equals; 4 for windows) and n_units (units that match; if none does, windows)."""
     spark = docs.sparkSession
     index = template_bigrams(spark, templates, threshold)
     bounds = index.agg(F.min("low").alias("low"), F.max("high").alias("high")).first()  # over the fixed list
@@ -87,13 +147,16 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     per = shared.groupBy(*unit, "bigram", "t_count").agg(F.count("*").alias("n"))
     per = per.groupBy(*unit).agg(F.sum(F.least("n", "t_count")).alias("s"))
     found = per.withColumn("dice", F.round(2 * F.col("s") / (F.col("d") + F.col("t")), 6)).where(F.col("dice") >= threshold)
-    per_unit = found.groupBy("doc_id", "text_hash", "level", "place", "license").agg(F.max("dice").alias("dice"))
-    best = per_unit.groupBy("doc_id", "license", "dice").agg(F.min("level").alias("level"), F.count("*").alias("n"))
-    return best.groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.max_by("level", "dice").alias("level"), F.sum("n").alias("n_units"))
+    per_unit = found.groupBy("doc_id", "text_hash", "level", "place", "license").agg(F.max("dice").alias("dice")).select("doc_id", "level", "license", "dice")
+    slid = windows(docs, templates, index, threshold).select("doc_id", F.lit(4).alias("level"), "license", "dice")
+    best = per_unit.unionByName(slid).groupBy("doc_id", "license", (F.col("level") < 4).alias("unit"), "dice").agg(
+        F.min("level").alias("level"), F.count("*").alias("n"))
+    both = best.groupBy("doc_id", "license", "unit").agg(F.max("dice").alias("dice"), F.max_by("level", "dice").alias("level"), F.sum("n").alias("n_units"))
+    return both.groupBy("doc_id", "license").agg(F.max(F.struct("unit", "dice", "level", "n_units")).alias("x")).select("doc_id", "license", "x.dice", "x.level", "x.n_units")
 
 
 def scan_sql(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The same result in DuckDB SQL."""
+    """The units' result in DuckDB SQL (see above)."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({i}, {quote(a)}, {quote(b)})" for i, (a, b) in enumerate(templates))
     words = r"string_split(trim(regexp_replace(lower({0}), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')"

@@ -173,6 +173,33 @@ def test_licences(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def licences_of(spark, texts):
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = licenses.scan(spark.createDataFrame(rows, DOCS)).collect()
+    return [sorted((r["license"], r["n_units"]) for r in got if r["doc_id"] == i) for i in range(len(texts))]
+
+
+def test_notices_that_are_no_units(spark):
+    import textwrap
+    body = {k: [t for a, t in licenses.TEMPLATES if a == k] for k, _ in licenses.TEMPLATES}
+    comment = lambda *x: "import os\n" + "\n#\n".join("\n".join("# " + y for y in textwrap.wrap(t, 60)) for t in x) + "\ncode = 1\n" * 90
+    bsd = "\n".join(textwrap.wrap(body["BSD"][0], 60)) + "\n1. Source code must keep the notice above, this list and the text below.\n2. Binaries must too."
+    got = licences_of(spark, [comment(body["GPL-3.0"][1], body["GPL-warranty"][0]), comment(*body["MIT"][2:]), bsd,
+                              "See the file: it is distributed under the MIT License. " + "word " * 200, "we say that all is licensed under the Apache License 2.0 here",
+                              "permission to use the software " * 60, "a b c"])
+    assert [[k for k, _ in g] for g in got] == [["GPL-3.0", "GPL-warranty"], ["MIT"], ["BSD"], ["MIT"], ["Apache-2.0"], [], []]
+    assert got[1] == [("MIT", 2)] and got[0][0][1] == 1
+
+
+def test_anchors_are_in_every_window():
+    every = licenses.TEMPLATES + licenses.WORDINGS
+    found = set(licenses.anchors(every))
+    for _, text in every:
+        words = re.sub(r"[\W_]+", " ", text.lower()).split()
+        t, free = len(words) - 1, sum(not {x, y} & found for x, y in zip(words, words[1:]))
+        assert 2 * free / (free + t) < licenses.THRESHOLD
+
+
 # ---- 5 decontamination
 
 def sellers(pattern: bytes, text: bytes) -> int:
