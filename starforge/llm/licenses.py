@@ -14,8 +14,11 @@ overlap, the one of the highest coefficient stays (ties: more shared bigrams, th
 window). Windows count (as level 4) where no unit of the text matches their licence. A window shares at least
 t * THRESHOLD / (2 - THRESHOLD) bigrams, so it holds one of the words ``anchors`` gives; texts without any are not cut.
 
-The SQL states the units with TEMPLATES, and no windows and no WORDINGS; the results are equal where notices are units of
-their own, as in the given tables.
+Near-identical notices of several licences: each unit counts for the one template of the highest coefficient (ties: the
+template listed first).
+
+The SQL states the units with TEMPLATES, and no windows, no WORDINGS and no choice among licences; the results are equal
+where notices are units of their own that match one licence, as in the given tables.
 
 Shared bigrams are found by an equi-join with the templates' bigrams, a fixed list of a few hundred rows and the only
 thing broadcast. What is left after it is small and grouped by row, unit and template. Rows that repeat both doc_id and text count
@@ -59,12 +62,24 @@ TEMPLATES = [
     ("All-rights-reserved", "All rights reserved."),
 ]
 
-# More wordings.
+# More wordings, and the notices of licences that resemble others.
+_LATER = "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_GNU = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License as " + _LATER
 WORDINGS = [
     ("MIT", "This project is licensed under the MIT License."),
     ("MIT", "Distributed under the MIT License."),
     ("Apache-2.0", "Licensed under the Apache License 2.0."),
     ("Apache-2.0", "This project is licensed under the Apache License 2.0."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("AGPL-3.0", _GNU.format("program", "Affero", 3)),
+    ("LGPL-3.0", _GNU.format("library", "Lesser", 3)),
+    ("LGPL-3.0", _GNU.format("program", "Lesser", 3)),
+    ("LGPL-2.1", _GNU.format("library", "Lesser", "2.1")),
+    ("AGPL-warranty", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."),
+    ("LGPL-warranty", "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."),
 ]
 
 _WORDS = "split(trim(regexp_replace(lower({0}), '[^\\\\p{{L}}\\\\p{{N}}]+', ' ')), ' ')"
@@ -147,7 +162,8 @@ def scan(docs: DataFrame, templates=TEMPLATES + WORDINGS, threshold: float = THR
     per = shared.groupBy(*unit, "bigram", "t_count").agg(F.count("*").alias("n"))
     per = per.groupBy(*unit).agg(F.sum(F.least("n", "t_count")).alias("s"))
     found = per.withColumn("dice", F.round(2 * F.col("s") / (F.col("d") + F.col("t")), 6)).where(F.col("dice") >= threshold)
-    per_unit = found.groupBy("doc_id", "text_hash", "level", "place", "license").agg(F.max("dice").alias("dice")).select("doc_id", "level", "license", "dice")
+    first = F.max(F.struct("dice", (-F.col("template")).alias("order"), "license"))
+    per_unit = found.groupBy("doc_id", "text_hash", "level", "place").agg(first.alias("first")).select("doc_id", "level", "first.license", "first.dice")
     slid = windows(docs, templates, index, threshold).select("doc_id", F.lit(4).alias("level"), "license", "dice")
     best = per_unit.unionByName(slid).groupBy("doc_id", "license", (F.col("level") < 4).alias("unit"), "dice").agg(
         F.min("level").alias("level"), F.count("*").alias("n"))

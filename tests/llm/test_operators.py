@@ -191,6 +191,13 @@ def test_notices_that_are_no_units(spark):
     assert got[1] == [("MIT", 2)] and got[0][0][1] == 1
 
 
+def test_a_unit_counts_for_its_nearest_licence(spark):
+    gnu = [(k, t) for k, t in licenses.TEMPLATES + licenses.WORDINGS if k != "Unlicense" and "is free software" in t]
+    assert {k for k, _ in gnu} == {"GPL-2.0", "GPL-3.0", "AGPL-3.0", "LGPL-3.0", "LGPL-2.1"}
+    got = licences_of(spark, [f"some words here\n{t}\n" + "more words and code follow " * 50 for _, t in gnu])
+    assert got == [[(k, 1)] for k, _ in gnu]
+
+
 def test_anchors_are_in_every_window():
     every = licenses.TEMPLATES + licenses.WORDINGS
     found = set(licenses.anchors(every))
