@@ -41,7 +41,7 @@ MEMO_WORDS = 400_000
 CHUNK_WORDS = 200_000
 
 
-def _byte_alphabet() -> list[str]:
+def byte_alphabet() -> list[str]:
     """The printable stand-in of each byte: itself where printable, else the next free code point from 256."""
     shown = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
     out, free = {}, 256
@@ -84,7 +84,7 @@ class Bpe:
         letter, number = "a-zA-Zªµºß-öø-ɏÀ-ÖØ-Þ", "0-9²³¹¼-¾"
         latin = pattern.replace("\\p{L}", letter).replace("\\p{N}", number)
         self.latin = re.compile(f"[{letter}]+|{latin}").findall
-        alphabet = _byte_alphabet()
+        alphabet = byte_alphabet()
         self.inner = np.array([vocab[c] for c in alphabet], np.int64)
         self.last = np.array([vocab[c + end] for c in alphabet], np.int64)
         self.n = 1 + max([*vocab.values(), *special.values()])

@@ -59,17 +59,17 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, on: str | list[str], size: str) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, on: str | list[str], size: str, share: float = HOT_SHARE) -> DataFrame:
     """Inner join of row facts to group facts (one row per ``on``) without loading one task with a hot group.
 
-    ``size`` is the group's row count in ``groups``. Groups above HOT_SHARE of
-    the counted rows number at most 1 / HOT_SHARE: those few are broadcast and
+    ``size`` is the group's row count in ``groups``. Groups above ``share`` of
+    the counted rows number at most 1 / share: those few are broadcast and
     their rows never move. All other groups hold at most that share, so the
     shuffle join of the rest is even. Both inputs are read twice: pass stored tables.
     """
     on = [on] if isinstance(on, str) else on
     total = groups.agg(F.sum(size)).first()[0] or 0
-    limit = max(1.0, float(total) * HOT_SHARE)
+    limit = max(1.0, float(total) * share)
     hot = F.broadcast(groups.where(F.col(size) > limit))
     cold = groups.where(F.col(size) <= limit)
     near = rows.join(hot, on, "inner")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starforge.llm import bpe, chat, decontaminate, exact_dedup, langid, licenses, pii, sharding, simhash, warc
+from starforge.llm import alignment, bpe, chat, decontaminate, exact_dedup, langid, licenses, pii, sharding, simhash, spelling, warc
 from starforge.llm.common import table
 
 SHARDS = 40
@@ -86,8 +86,19 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all texts, the words one edit away, and the common form of each."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of the tokens of two public tokenizers in every text, and how common the linked id pairs are."""
+    return alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_warc, op2_chat, op3_bpe, op4_licenses, op5_decontaminate, op6_exact_dedup, op7_sharding, op8_pii, op9_simhash, op10_langid)}
+    op1_warc, op2_chat, op3_bpe, op4_licenses, op5_decontaminate, op6_exact_dedup, op7_sharding, op8_pii, op9_simhash, op10_langid,
+    op11_spelling, op13_alignment)}
 
 _CHAT_SQL = rf"""
 WITH turns AS (
@@ -111,4 +122,4 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
   row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY norm ORDER BY points DESC, doc_id NULLS LAST)"""
 
-ORACLE_SQL: dict[str, str] = {"op2_chat": _CHAT_SQL, "op4_licenses": licenses.scan_sql(), "op6_exact_dedup": _DEDUP_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_chat": _CHAT_SQL, "op4_licenses": licenses.scan_sql(), "op6_exact_dedup": _DEDUP_SQL, "op11_spelling": spelling.variants_sql()}
