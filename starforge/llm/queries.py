@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starforge.llm import alignment, bpe, chat, decontaminate, exact_dedup, langid, licenses, pii, sharding, simhash, spelling, warc
+from starforge.llm import alignment, bpe, chat, decontaminate, exact_dedup, extraction, langid, licenses, pii, sharding, simhash, spelling, warc
 from starforge.llm.common import table
 
 SHARDS = 40
@@ -91,6 +91,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages, by the wrapper of their host."""
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlaps of the tokens of two public tokenizers in every text, and how common the linked id pairs are."""
     return alignment.align_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -98,7 +103,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc, op2_chat, op3_bpe, op4_licenses, op5_decontaminate, op6_exact_dedup, op7_sharding, op8_pii, op9_simhash, op10_langid,
-    op11_spelling, op13_alignment)}
+    op11_spelling, op12_extraction, op13_alignment)}
 
 _CHAT_SQL = rf"""
 WITH turns AS (

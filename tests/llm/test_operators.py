@@ -65,7 +65,7 @@ def test_native_operators_run_no_python(spark, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
 
 
 # ---- 1 WARC
