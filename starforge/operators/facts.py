@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from starforge.functions import rules
 from starforge.functions.calendar import date_key
 from starforge.operators.dedupe import first_per_key
+from starforge.operators.foreign_keys import within_dates
 
 # First-wins order for a duplicated key (total, so the winner is deterministic).
 def payment_order():
@@ -112,15 +113,18 @@ def lottery_rows(lottery: DataFrame, dim_member: DataFrame, dim_plan: DataFrame)
 
 
 def fact_lottery(lottery: DataFrame, payments: DataFrame, dim_member: DataFrame,
-                 dim_plan: DataFrame, observation=None) -> DataFrame:
+                 dim_plan: DataFrame, observation=None, dim_date: DataFrame | None = None) -> DataFrame:
     """lottery fact with the cumulative paid ratio (J3 + R10 + R11 + S5).
 
     With ``observation`` the joined rows are counted before insert-ignore
-    (metric ``rows``), as the load reports them.
+    (metric ``rows``), as the load reports them. With ``dim_date`` rows whose date
+    key has no parent there are left out (J7).
     """
     rows = lottery_rows(lottery, dim_member, dim_plan)
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
+    if dim_date is not None:
+        rows = within_dates(rows, dim_date)
     base = paid_before(rows, payments,
                        asks=lottery.select("member_id", "lottery_date"))
     months = rules.months_elapsed("signup_date", "lottery_date")

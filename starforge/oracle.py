@@ -16,7 +16,7 @@ from starforge.functions import calendar as cal
 from starforge.functions import rules
 from starforge.operators import inject as inj
 from starforge.operators import quality as dq
-from starforge.plans.catalog import CALENDAR_SHIFT_YEARS, EXISTING_CUTOFF, MANDATORY, PREV_AS_OF, SEED
+from starforge.plans.catalog import CALENDAR_SHIFT_YEARS, EXISTING_CUTOFF, LOST_PARENTS, MANDATORY, PREV_AS_OF, SEED
 from starforge.sources.adapter import AS_OF, SPINE
 
 
@@ -417,6 +417,41 @@ def oracle_sql() -> dict[str, str]:
         f"AND NOT EXISTS (SELECT 1 FROM f1 WHERE f1.payment_id = r.payment_id) "
         f"QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {PAYMENT_ORDER}) = 1) "
         f"SELECT {fact_cols} FROM f1 UNION ALL SELECT {fact_cols} FROM f2")
+    # as incremental_fact_payments, without the rows whose day the calendar lacks
+    q["load_then_incremental"] = BASE + (
+        f", dated AS (SELECT * FROM pay_rows WHERE coalesce(coalesce(paid_date, due_date) BETWEEN {_d(SPINE[0])} AND {_d(SPINE[1])}, TRUE)), "
+        f"f1 AS (SELECT * FROM dated WHERE {day1} QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {PAYMENT_ORDER}) = 1), "
+        f"f2 AS (SELECT * FROM dated r WHERE NOT coalesce({day1}, FALSE) AND payment_id NOT IN (SELECT payment_id FROM f1) "
+        f"QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {PAYMENT_ORDER}) = 1), "
+        # the first day's file comes twice: an instalment held unpaid that it also has paid is replaced
+        f"n1 AS (SELECT * FROM dated r WHERE {day1} AND paid_date IS NOT NULL AND EXISTS (SELECT 1 FROM f1 "
+        f"WHERE f1.payment_id = r.payment_id AND f1.due_date = r.due_date AND f1.paid_date IS NULL) "
+        f"QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {PAYMENT_ORDER}) = 1) "
+        f"SELECT {fact_cols} FROM f1 WHERE payment_id NOT IN (SELECT payment_id FROM n1) "
+        f"UNION ALL SELECT {fact_cols} FROM n1 UNION ALL SELECT {fact_cols} FROM f2")
+    lost = {k: f"({md5_sample_sql('payment_id', f, 'lost-' + k)})" for k, f in LOST_PARENTS.items()}
+    q["fact_rejects"] = BASE + f""",
+      lost AS (SELECT * REPLACE (CASE WHEN {lost['m']} THEN 'M-none' ELSE member_id END AS member_id,
+          CASE WHEN {lost['p']} THEN 'P-none' ELSE plan_id END AS plan_id,
+          CASE WHEN {lost['d']} THEN NULL ELSE paid_date END AS paid_date,
+          CASE WHEN {lost['d']} THEN DATE '1900-01-01' ELSE due_date END AS due_date) FROM payments),
+      marked AS (SELECT *, CASE WHEN member_id IS NULL OR member_id NOT IN (SELECT member_id FROM dim_member WHERE is_current AND member_id IS NOT NULL) THEN 'no member'
+          WHEN plan_id IS NULL OR plan_id NOT IN (SELECT plan_id FROM dim_plan WHERE plan_id IS NOT NULL) THEN 'no plan'
+          WHEN coalesce(paid_date, due_date) NOT BETWEEN {_d(SPINE[0])} AND {_d(SPINE[1])} THEN 'no date' END AS reason FROM lost)
+      SELECT payment_id, member_id, plan_id, due_date, reason FROM marked WHERE reason IS NOT NULL UNION ALL
+      SELECT payment_id, member_id, plan_id, due_date, 'taken' FROM (SELECT * FROM marked WHERE reason IS NULL AND payment_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY {PAYMENT_ORDER}) = 1)"""
+    q["dense_member_keys"] = BASE + """,
+      one AS (SELECT member_id, tc_hash, version_no, row_number() OVER (ORDER BY member_id NULLS FIRST, tc_hash) AS member_no FROM prev_dim_member),
+      new AS (SELECT member_id, tc_hash, version_no FROM scd_applied WHERE is_current
+        EXCEPT SELECT member_id, tc_hash, version_no FROM one)
+      SELECT * FROM one UNION ALL
+      SELECT *, (SELECT count(*) FROM one) + row_number() OVER (ORDER BY member_id NULLS FIRST, tc_hash, version_no) FROM new"""
+    row_text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in schemas.STAGING_PAYMENTS.fieldNames())
+    q["exact_sample"] = BASE + (
+        f"SELECT {STAGING_PAYMENT_COLS} FROM payments QUALIFY row_number() OVER (ORDER BY "
+        f"md5(concat_ws('|', '{SEED}:s', coalesce(payment_id, ''))) || md5(concat_ws('|', '{SEED}:t', {row_text}))) "
+        f"<= CAST(floor((SELECT count(*) FROM payments) * 0.1) AS BIGINT)")
     q["dim_date"] = BASE + "SELECT * FROM dim_date_data"
     ram = " OR ".join(f"(due_date BETWEEN {_d(lo)} AND {_d(hi)})" for lo, hi in cal.RAMADAN_RANGES)
     q["is_ramadan"] = BASE + f"SELECT payment_id, installment_no, due_date, ({ram}) AS is_ramadan FROM pay_recent"

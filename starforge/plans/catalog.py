@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from starforge import schemas
 from starforge.functions import rules
 from starforge.functions.calendar import is_ramadan as ramadan_flag
-from starforge.operators import calendar, dims, facts, inject, profile, quality, scd2, schedule
+from starforge.operators import calendar, dims, facts, inject, profile, quality, scd2, schedule, selection
 from starforge.operators.dedupe import first_per_key, insert_ignore
 from starforge.session import work_path
 from starforge.sources import snapshots as snap
-from starforge.sources.adapter import AS_OF, SPINE, previous_members, staging_from_driver
+from starforge.sources.adapter import AS_OF, SPINE, Staging, previous_members, staging_from_driver
 from starforge.sources.staging import read_staging, write_staging
 
 PREV_AS_OF = AS_OF - dt.timedelta(days=1)
@@ -54,6 +54,11 @@ def _st(spark, sf_dir):
     return staging_from_driver(spark, sf_dir)
 
 
+def _with(st, **tables):
+    """Staging with some of its tables replaced."""
+    return Staging(**{t: tables.get(t, getattr(st, t)) for t in schemas.STAGING})
+
+
 def _dims(st):
     return dims.dim_member_full(st.members, AS_OF), dims.dim_plan(st.plans)
 
@@ -174,6 +179,55 @@ def q_incremental_fact_payments(spark, sf_dir):
     return fact_batches(spark, base).select(*FACT_PAYMENT_OUT)
 
 
+@query("load_then_incremental")
+def q_load_then_incremental(spark, sf_dir):
+    """G2 + G3 + S5 on one fact: the full load on day one, then the same payments again and the later ones as files."""
+    from starforge.plans.star_load import run_star_load
+    from starforge.streaming.incremental import fact_batches, run_incremental_payments
+    st = _st(spark, sf_dir)
+    root = work_path(spark, "incremental", uuid.uuid4().hex)
+    incoming, base, ckpt = f"{root}/incoming", f"{root}/star", f"{root}/_checkpoint"
+    early = F.col("due_date") < F.lit(EXISTING_CUTOFF)
+    run_star_load(spark, _with(st, payments=st.payments.where(early)), base, PREV_AS_OF, spine=SPINE)
+    st.payments.where(early).write.mode("overwrite").parquet(f"{incoming}/day=1")
+    run_incremental_payments(spark, incoming, base, ckpt, prefix="d1")
+    st.payments.where(~F.coalesce(early, F.lit(False))).write.mode("overwrite").parquet(f"{incoming}/day=2")
+    run_incremental_payments(spark, incoming, base, ckpt, prefix="d2")
+    return fact_batches(spark, base).select(*FACT_PAYMENT_OUT)
+
+
+#: Shares of payments that lose their member, plan and date in the query of enforced foreign keys.
+LOST_PARENTS = {"m": 0.01, "p": 0.01, "d": 0.01}
+
+
+@query("fact_rejects")
+def q_fact_rejects(spark, sf_dir):
+    """A load of payments some of which name an unknown member, plan or day: the rejected rows with the reason, and
+    the ids that the fact took."""
+    from starforge.plans.star_load import run_star_load
+    st = _st(spark, sf_dir)
+    lost = {k: inject.in_sample("payment_id", f, SEED, f"lost-{k}") for k, f in LOST_PARENTS.items()}
+    payments = (st.payments.withColumn("member_id", F.when(lost["m"], "M-none").otherwise(F.col("member_id")))
+                  .withColumn("plan_id", F.when(lost["p"], "P-none").otherwise(F.col("plan_id")))
+                  .withColumn("paid_date", F.when(lost["d"], F.lit(None)).otherwise(F.col("paid_date")))
+                  .withColumn("due_date", F.when(lost["d"], F.lit(dt.date(1900, 1, 1))).otherwise(F.col("due_date"))))
+    base = work_path(spark, "star", uuid.uuid4().hex)
+    run = run_star_load(spark, _with(st, payments=payments), base, AS_OF, spine=SPINE).run_id
+    cols = ["payment_id", "member_id", "plan_id", "due_date", "reason"]
+    return spark.read.parquet(f"{base}/fact_payments_rejects/run_id={run}").select(*cols).unionByName(
+        snap.read_latest(spark, base, "fact_payments").withColumn("reason", F.lit("taken")).select(*cols))
+
+
+@query("dense_member_keys")
+def q_dense_member_keys(spark, sf_dir):
+    """G1: member versions numbered 1..n without gaps over two days, each day's in the order of their ids."""
+    prev, members = _scd2_inputs(_st(spark, sf_dir))
+    cols = ["member_id", "tc_hash", "version_no"]
+    day1, high = selection.dense_numbers(prev.select(*cols), cols, "member_no")
+    new = scd2.scd2_delta(prev, members, AS_OF).where("is_current").select(*cols).join(prev.select(*cols), cols, "left_anti")
+    return day1.unionByName(selection.dense_numbers(new, cols, "member_no", high)[0])
+
+
 # ---------------- calendar ----------------
 
 @query("dim_date")
@@ -488,6 +542,12 @@ def q_hash_sample(spark, sf_dir):
     return inject.hash_sample(_st(spark, sf_dir).payments, "payment_id", 0.10, SEED)
 
 
+@query("exact_sample")
+def q_exact_sample(spark, sf_dir):
+    """Exactly int(n * 0.1) payments, those with the smallest hashes."""
+    return selection.exact_sample(_st(spark, sf_dir).payments, 0.10, ["payment_id"], SEED)
+
+
 @query("inject_nulls")
 def q_inject_nulls(spark, sf_dir):
     return inject.inject_nulls(_st(spark, sf_dir).members, "member_id", "tc_hash", 0.08, SEED)

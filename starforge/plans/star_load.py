@@ -25,9 +25,11 @@ from pyspark.sql import functions as F
 
 from starforge import schemas
 from starforge.functions.calendar import DEFAULT_SPINE
-from starforge.operators import calendar, dims, facts, scd2
+from starforge.operators import calendar, dims, facts, foreign_keys, scd2
 from starforge.schemas import conform
 from starforge.sources import snapshots as snap
+from starforge.sources.table_state import publish, read_state
+from starforge.streaming import incremental as inc
 
 STAGES = ["dim_date", "dim_plan", "dim_member", "fact_payments", "fact_lottery"]
 
@@ -39,6 +41,7 @@ class StageResult:
     rows: int = 0
     duration: float = 0.0
     error: str | None = None
+    rejected: int = 0
 
 
 @dataclass
@@ -82,59 +85,75 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
         try:
             if name in fail_stages:
                 raise RuntimeError(f"forced failure of {name}")
-            rows = fn()
-            res = StageResult(name, "success", rows, round(time.time() - t0, 2))
+            rows, rejected = fn()
+            res = StageResult(name, "success", rows, round(time.time() - t0, 2), rejected=rejected)
         except Exception as e:  # isolate the stage, keep going
             res = StageResult(name, "failed", 0, round(time.time() - t0, 2), str(e))
         try:
-            snap.append_audit(spark, base, run_id, res.stage, res.status, res.rows, res.duration, res.error)
+            snap.append_audit(spark, base, run_id, res.stage, res.status, res.rows, res.duration, res.error, res.rejected)
         except Exception as e:
             unaudited.append(e)
         with lock:
             report.stages.append(res)
 
     def load_dim_date():
-        return spark.read.parquet(snap.write_snapshot(calendar.dim_date(spark, *spine), base, "dim_date", run_id)).count()
+        return spark.read.parquet(snap.write_snapshot(calendar.dim_date(spark, *spine), base, "dim_date", run_id)).count(), 0
 
     def load_dim_plan():
-        return spark.read.parquet(snap.write_snapshot(dims.dim_plan(staging.plans), base, "dim_plan", run_id)).count()
+        return spark.read.parquet(snap.write_snapshot(dims.dim_plan(staging.plans), base, "dim_plan", run_id)).count(), 0
 
     def load_dim_member():
         # only the current rows are read; the run stores the new current set and
         # the rows it closed (history is append-only, see sources.snapshots)
         prev = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, before=run_id)
         prev = scd2.empty_dim_member(spark) if prev is None else prev
-        obs, clean = Observation("dim_member"), Observation("clean_members")
-        delta = scd2.scd2_delta(prev, staging.members, as_of, observation=obs, clean_rows=clean)
+        obs = Observation("dim_member")
+        delta = scd2.scd2_delta(prev, staging.members, as_of, observation=obs)
         snap.write_snapshot(delta, base, "dim_member", run_id, partition_by=["is_current"])
-        # Inserted + updated + skipped + rejected = clean rows read
-        rows = int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP)))
-        if _rows(clean) != rows:  # a run without rejects has no snapshot of them
-            rows += spark.read.parquet(snap.write_snapshot(dims.rejected_members(staging.members), base,
-                                                           "dim_member_rejects", run_id)).count()
-        return rows
+        # Inserted + updated + skipped + rejected = clean rows read. Rejects are always written: counts of a
+        # run whose tasks ran twice can't tell that there are none
+        rejects = spark.read.parquet(snap.write_snapshot(dims.rejected_members(staging.members), base, "dim_member_rejects", run_id)).count()
+        return int(sum(obs.get.get(k, 0) for k in (scd2.INSERT, scd2.UPDATE, scd2.SKIP))) + rejects, rejects
 
     def dims_for_facts():
         # newest snapshots up to this run: a replayed older day never joins against a later day's dimensions
         dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, upto=run_id)
         dp = snap.read_latest(spark, base, "dim_plan", upto=run_id)
-        if dm is None or dp is None:
+        dd = snap.read_latest(spark, base, "dim_date", upto=run_id)
+        if dm is None or dp is None or dd is None:
             raise RuntimeError("no complete dimension snapshot to load facts against")
-        return dm, dp
+        return dm, dp, dd
+
+    def write_rejects(rows, date, parents, table):
+        """The rows that the fact can't take, with the reason; read back for their number."""
+        snap.write_snapshot(foreign_keys.rejected_rows(rows, date, *parents), base, table, run_id)
+        return spark.read.parquet(f"{base.rstrip('/')}/{table}/run_id={run_id}")
 
     def load_fact_payments():
-        dm, dp = dims_for_facts()
-        rows, obs = _counted(facts.payment_rows(staging.payments, dm, dp), "fact_payments")
-        fact = facts.first_per_key(rows, ["payment_id"], facts.payment_order())
-        snap.write_snapshot(by_date(conform(fact, schemas.FACT_PAYMENTS)), base, "fact_payments", run_id)
-        return _rows(obs)  # rows before de-duplication, as the source reports
+        dm, dp, dd = parents = dims_for_facts()
+        state = read_state(spark, base, inc.FACT)
+        known = tuple(snap.runs_upto(spark, base, t, run_id)[-1] for t in ("dim_member", "dim_plan"))
+        with ThreadPoolExecutor(max_workers=1) as pool:  # the rejects are few and need other columns: a job beside the fact's
+            waiting = pool.submit(write_rejects, staging.payments, F.coalesce("paid_date", "due_date"), parents, inc.REJECTS)
+            rows, obs = _counted(facts.payment_rows(staging.payments, dm, dp), "fact_payments")
+            fact = facts.first_per_key(foreign_keys.within_dates(rows, dd), ["payment_id"], facts.payment_order())
+            snap.write_snapshot(by_date(conform(fact, schemas.FACT_PAYMENTS)), base, inc.FACT, run_id)
+            rejected = waiting.result()
+        snap.write_snapshot(inc.waiting_rows(rejected), base, inc.PENDING, run_id)
+        # a full load replaces the fact and its batches; a replay of an older day changes only that day's folder
+        if state.base is None or snap.run_order(state.base) < snap.run_order(run_id):
+            publish(spark, base, inc.FACT, state.with_base(run_id, (run_id,), known))
+        return _rows(obs), rejected.count()  # rows before the calendar check and de-duplication, as the source reports
 
     def load_fact_lottery():
-        dm, dp = dims_for_facts()
+        dm, dp, dd = parents = dims_for_facts()
         obs = Observation("fact_lottery")
-        fact = facts.fact_lottery(staging.lottery, staging.payments, dm, dp, observation=obs)
-        snap.write_snapshot(by_date(conform(fact, schemas.FACT_LOTTERY)), base, "fact_lottery", run_id)
-        return _rows(obs)  # rows before de-duplication, as the source reports
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            waiting = pool.submit(write_rejects, staging.lottery, F.col("lottery_date"), parents, "fact_lottery_rejects")
+            fact = facts.fact_lottery(staging.lottery, staging.payments, dm, dp, observation=obs, dim_date=dd)
+            snap.write_snapshot(by_date(conform(fact, schemas.FACT_LOTTERY)), base, "fact_lottery", run_id)
+            rejected = waiting.result()
+        return _rows(obs), rejected.count()  # rows before the calendar check and de-duplication, as the source reports
 
     fns = dict(zip(STAGES, [load_dim_date, load_dim_plan, load_dim_member,
                             load_fact_payments, load_fact_lottery]))
@@ -150,7 +169,7 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
     if unaudited:
         raise RuntimeError(f"{len(unaudited)} stages of run {run_id} were not audited") from unaudited[0]
     if keep_runs is not None and all(r.status == "success" for r in report.stages):
-        for table in STAGES:
-            if table != "dim_member":
-                snap.drop_old_runs(spark, base, table, keep_runs)
+        for table in ("dim_date", "dim_plan", "fact_lottery", "fact_lottery_rejects", "dim_member_rejects"):
+            snap.drop_old_runs(spark, base, table, keep_runs)
+        inc.drop_unnamed_payments(spark, base, keep_runs)
     return report

@@ -22,6 +22,7 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("stage", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("rows_inserted", T.LongType()),
+    T.StructField("rows_rejected", T.LongType()),
     T.StructField("duration_sec", T.DoubleType()),
     T.StructField("error_msg", T.StringType()),
     T.StructField("logged_at", T.TimestampType()),
@@ -70,6 +71,11 @@ def _runs(spark, base, table, before=None, upto=None) -> list[str]:
             if (before is None or run_order(r) < run_order(before)) and (upto is None or run_order(r) <= run_order(upto))]
 
 
+def runs_upto(spark: SparkSession, base: str, table: str, upto: str) -> list[str]:
+    """Complete runs up to ``upto``, oldest first."""
+    return _runs(spark, base, table, upto=upto)
+
+
 def read_latest(spark: SparkSession, base: str, table: str, schema: T.StructType | None = None,
                 before: str | None = None, upto: str | None = None) -> DataFrame | None:
     """The greatest complete snapshot, optionally only among runs before ``before``
@@ -115,11 +121,11 @@ def read_scd2(spark: SparkSession, base: str, table: str, schema: T.StructType,
 
 
 def append_audit(spark: SparkSession, base: str, run_id: str, stage: str, status: str,
-                 rows: int = 0, duration: float = 0.0, error: str | None = None) -> None:
+                 rows: int = 0, duration: float = 0.0, error: str | None = None, rejected: int = 0) -> None:
     """Append one audit row, committed on its own (one small JSON file per
     stage and run, created through the cluster file system; no Spark job)."""
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    rec = {"run_id": run_id, "stage": stage, "status": status, "rows_inserted": int(rows),
+    rec = {"run_id": run_id, "stage": stage, "status": status, "rows_inserted": int(rows), "rows_rejected": int(rejected),
            "duration_sec": float(duration), "error_msg": error,
            "logged_at": now.isoformat(timespec="milliseconds")}
     name = f"{run_id}__{now.strftime('%Y%m%dT%H%M%S%f')}__{stage}.json"
@@ -135,7 +141,7 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if not fs.rename(tmp, final):
+    if fs.exists(final) or not fs.rename(tmp, final):
         raise OSError(f"could not move {tmp.toString()} to {path}")
 
 
@@ -151,6 +157,12 @@ def read_small(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    fs, p, _ = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     fs, p, _ = _fs(spark, path)
     return fs.getContentSummary(p).getLength()

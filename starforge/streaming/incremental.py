@@ -1,5 +1,6 @@
 """Incremental daily loads as Structured Streaming jobs (SCD2 member
-dimension, and the payment fact).
+dimension, and the payment fact, which ``load`` and batches share: a table state
+names the folders of both, see :mod:`starforge.sources.table_state`).
 
 New staging member files land in a folder; ``trigger(availableNow=True)``
 processes whatever arrived since the last run and stops. Each micro-batch is
@@ -13,17 +14,21 @@ executor or driver restart is idempotent.
 from __future__ import annotations
 
 import datetime as dt
-import json
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge import schemas
-from starforge.operators import dims, facts, scd2
+from starforge.operators import dims, facts, foreign_keys, scd2
 from starforge.operators.dedupe import first_per_key
 from starforge.sources import snapshots as snap
+from starforge.sources.table_state import KEPT_STATES, TableState, drop_unnamed, publish, read_state
 
-FACT, REPLACED, PENDING, INPUTS = "fact_payments", "fact_payments_replaced", "payments_pending", "payments_inputs"
+FACT, KEYS, REPLACED = "fact_payments", "fact_payments_keys", "fact_payments_replaced"
+PENDING, REJECTS = "payments_pending", "fact_payments_rejects"
+#: Keys of one bucket of the index, and bounds of the number of buckets (fixed at a full load or compaction).
+KEYS_PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 1_000_000, 16, 4096
 
 
 def scd2_batch_writer(spark: SparkSession, base: str, as_of: dt.date, prefix: str | None = None):
@@ -66,23 +71,18 @@ def run_incremental_scd2(spark: SparkSession, incoming: str, base: str, checkpoi
     q.awaitTermination()
 
 
-def _batches(spark: SparkSession, base: str, table: str, runs: list[str], schema=None) -> DataFrame | None:
-    """The ``batch=<id>`` folders of ``table`` for those of ``runs`` that it has."""
-    have = set(snap.snapshot_runs(spark, base, table, prefix="batch="))
-    paths = [_path(base, table, r) for r in runs if r in have]
-    if not paths:
-        return None
-    return (spark.read if schema is None else spark.read.schema(schema)).parquet(*paths)
-
-
 def _path(base: str, table: str, run_id: str) -> str:
-    return f"{base.rstrip('/')}/{table}/batch={run_id}"
+    return f"{base.rstrip('/')}/{table}/run_id={run_id}"
 
 
-def _fact_runs(spark: SparkSession, base: str, before: str | None = None) -> list[str]:
-    """Batches whose fact rows are complete (written last), oldest first."""
-    return [r for r in snap.snapshot_runs(spark, base, FACT, prefix="batch=")
-            if before is None or snap.run_order(r) < snap.run_order(before)]
+def _folders(spark: SparkSession, base: str, table: str, runs, schema) -> DataFrame | None:
+    """The folders of ``runs`` that ``table`` has."""
+    have = set(snap.snapshot_runs(spark, base, table)) if runs else set()
+    paths = [_path(base, table, r) for r in runs if r in have]
+    if not paths:
+        return None
+    rows = spark.read.schema(schema).option("basePath", f"{base.rstrip('/')}/{table}").parquet(*paths)
+    return rows.drop("run_id")
 
 
 def _without_replaced(rows: DataFrame, replaced: DataFrame | None) -> DataFrame:
@@ -93,100 +93,175 @@ def _without_replaced(rows: DataFrame, replaced: DataFrame | None) -> DataFrame:
     return rows.where(~unpaid).unionByName(rows.where(unpaid).join(replaced, "payment_id", "left_anti"))
 
 
-def fact_batches(spark: SparkSession, base: str, table: str = FACT, before: str | None = None) -> DataFrame | None:
-    """The payment fact after all complete batches, optionally only those before
-    ``before``; None when there is none. Paid rows pass as they are; unpaid ones are
-    held against the ids of replaced rows."""
-    runs = _fact_runs(spark, base, before)
-    rows = _batches(spark, base, table, runs, schemas.FACT_PAYMENTS)
-    return None if rows is None else _without_replaced(rows, _batches(spark, base, REPLACED, runs, "payment_id string"))
+def fact_batches(spark: SparkSession, base: str, table: str = FACT, version: int | None = None) -> DataFrame | None:
+    """The payment fact: the last full load and all batches since, as the newest state (or that of ``version``) names
+    them; None when there is none. Paid rows pass as they are; unpaid ones are held against the ids that batches replaced."""
+    state = read_state(spark, base, table, version)
+    rows = _folders(spark, base, table, state.folders, schemas.FACT_PAYMENTS)
+    return None if rows is None else _without_replaced(rows, _folders(spark, base, REPLACED, state.batches, "payment_id string"))
+
+
+def pending_payments(spark: SparkSession, base: str, state: TableState | None = None) -> DataFrame | None:
+    """Staging rows that wait for their member or plan. Of one instalment that waits unpaid in one folder and paid in a
+    later one, the paid row counts."""
+    state = state or read_state(spark, base, FACT)
+    names = schemas.STAGING_PAYMENTS.fieldNames()
+    parts = [p.withColumn("_at", F.lit(i)) for i, r in enumerate(state.pending)
+             if (p := _folders(spark, base, PENDING, [r], schemas.STAGING_PAYMENTS)) is not None]
+    if not parts:
+        return None
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    if len(parts) == 1:
+        return rows.select(*names)
+    paid = F.col("paid_date").isNotNull()
+    last_paid = rows.where(paid).groupBy("payment_id", "due_date").agg(F.max("_at").alias("_paid_at"))
+    unpaid = rows.where(~paid).join(last_paid, ["payment_id", "due_date"], "left").where(F.coalesce(F.col("_at") >= F.col("_paid_at"), F.lit(True)))
+    return rows.where(paid).select(*names).unionByName(unpaid.select(*names))
+
+
+# ---- S5: the index of held keys
+# KEYS holds (payment_id, due_date, paid) of every fact row in folders by hash bucket, each file sorted by payment_id.
+
+KEY_SCHEMA = "payment_id string, due_date date, paid boolean, bucket int"
 
 
-def pending_payments(spark: SparkSession, base: str, before: str | None = None) -> DataFrame | None:
-    """Staging rows that wait for their member or plan after the newest complete batch."""
-    return _batches(spark, base, PENDING, _fact_runs(spark, base, before)[-1:], schemas.STAGING_PAYMENTS)
+def key_bucket(buckets: int):
+    return F.pmod(F.xxhash64("payment_id"), F.lit(buckets)).cast("int")
 
 
-def _dimension_runs(spark: SparkSession, base: str, run_id: str) -> tuple[str, str]:
-    """Runs of the member and plan dimension that this batch joins: the newest complete
-    ones at its first attempt, which writes them down, so that a replay reads the same."""
-    name = f"{base.rstrip('/')}/{INPUTS}/{run_id}.json"
-    noted = snap.read_small(spark, name)
-    if noted is None:
-        runs = [snap.snapshot_runs(spark, base, t) for t in ("dim_member", "dim_plan")]
-        if not all(runs):
-            raise RuntimeError("no complete dimension snapshot to load payments against")
-        noted = json.dumps([r[-1] for r in runs])
-        snap.write_small(spark, name, noted)
-    member_run, plan_run = json.loads(noted)
-    return member_run, plan_run
+def _write_keys(spark: SparkSession, base: str, run_id: str, fact: DataFrame, buckets: int) -> None:
+    keys = fact.select("payment_id", "due_date", F.col("paid_date").isNotNull().alias("paid"), key_bucket(buckets).alias("bucket"))
+    keys.repartition("bucket").sortWithinPartitions("bucket", "payment_id").write.mode("overwrite").partitionBy("bucket").parquet(_path(base, KEYS, run_id))
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of the key index of a fact of so many rows: about KEYS_PER_BUCKET keys in each, at most MOST_BUCKETS."""
+    return max(LEAST_BUCKETS, min(MOST_BUCKETS, -(-rows // KEYS_PER_BUCKET)))
+
+
+def index_base(spark: SparkSession, base: str, state: TableState) -> TableState:
+    """Index the keys of the base, once, when the first batch needs them (a full load need not wait for it)."""
+    if state.base is None or state.indexed:
+        return state
+    fact = _folders(spark, base, FACT, [state.base], schemas.FACT_PAYMENTS)
+    buckets = buckets_for(fact.count())
+    _write_keys(spark, base, state.base, fact, buckets)
+    return publish(spark, base, FACT, replace(state, buckets=buckets, indexed=True))
+
+
+def held_keys(spark: SparkSession, base: str, state: TableState, buckets: list[int]) -> DataFrame | None:
+    """Index rows in ``buckets`` (at most MOST_BUCKETS numbers): the filter on the folder column leaves all other folders unread."""
+    rows = _folders(spark, base, KEYS, state.folders, KEY_SCHEMA)
+    return None if rows is None else rows.where(F.col("bucket").isin(buckets))
+
+
+def newest_parents(spark: SparkSession, base: str) -> tuple[str, ...]:
+    runs = [snap.snapshot_runs(spark, base, t) for t in ("dim_member", "dim_plan")]
+    if not all(runs):
+        raise RuntimeError("no complete dimension snapshot to load payments against")
+    return tuple(r[-1] for r in runs)
 
 
 def load_payments(spark: SparkSession, base: str, batch: DataFrame, run_id: str) -> None:
-    """One batch of staging payments into the fact (F1, S5), with the pending rows of the batch before.
+    """One batch of staging payments on top of the fact (F1, S5), whether ``load`` or batches have made it.
 
-    The held fact is never shuffled for a batch that fits under Spark's broadcast
-    threshold: the batch is written first, so its size is measured, and only the held
-    rows whose payment_id it names (three columns, a semi-join) go on. Rows with a NULL
-    payment, member or plan id can match nothing and are left out, as in the full load.
-    The fact folder is written last and marks the batch complete.
+    The batch is written first, so its keys' buckets are known; of the held keys only those buckets are read. Rows
+    whose member or plan is missing are added to the waiting ones, which are tried again when a dimension has a newer
+    run than they were last held against: a batch in between costs the same however many rows wait. Rows with a NULL
+    payment, member or plan id can match nothing and are left out, as in the full load. A batch that the fact already
+    has changes nothing; one that did not get so far starts again from the newest state.
     """
     def put(df: DataFrame, table: str) -> DataFrame:
         df.write.mode("overwrite").parquet(_path(base, table, run_id))
         return spark.read.schema(df.schema).parquet(_path(base, table, run_id))
 
-    member_run, plan_run = _dimension_runs(spark, base, run_id)
-    dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, upto=member_run)
-    dp = snap.read_latest(spark, base, "dim_plan", upto=plan_run)
+    state = read_state(spark, base, FACT)
+    if run_id in state.batches:
+        return
+    state = index_base(spark, base, state)
+    parents = newest_parents(spark, base)
+    dm = snap.read_scd2_current(spark, base, "dim_member", schemas.DIM_MEMBER, upto=parents[0])
+    dp = snap.read_latest(spark, base, "dim_plan", upto=parents[1])
+    dd = snap.read_latest(spark, base, "dim_date")
+    names = schemas.STAGING_PAYMENTS.fieldNames()
     paid = F.col("paid_date").isNotNull()
 
-    rows = batch.select(*schemas.STAGING_PAYMENTS.fieldNames())
-    waiting = pending_payments(spark, base, before=run_id)
-    if waiting is not None:  # of one instalment, unpaid while it waited and paid now, the paid row counts
+    rows = batch.select(*names)
+    retry = state.pending and state.parents != parents
+    if retry:  # of one instalment, unpaid while it waited and paid now, the paid row counts
+        waiting = pending_payments(spark, base, state)
         now_paid = rows.where(paid).select("payment_id", "due_date").distinct()
         rows = rows.unionByName(waiting.where(paid)).unionByName(
             waiting.where(~paid).join(now_paid, ["payment_id", "due_date"], "left_anti"))
     rows = rows.where(F.col("payment_id").isNotNull() & F.col("member_id").isNotNull() & F.col("plan_id").isNotNull())
-    members = facts.current_members(dm).select("member_id", F.lit(True).alias("_m")).distinct()
-    plans = dp.select("plan_id", F.lit(True).alias("_p")).distinct()
-    unmatched = (rows.join(members, "member_id", "left").join(plans, "plan_id", "left")
-                     .where(F.col("_m").isNull() | F.col("_p").isNull())
-                     .select(*schemas.STAGING_PAYMENTS.fieldNames()))
-    put(unmatched, PENDING)
-
-    arrived = put(first_per_key(facts.payment_rows(rows, dm, dp).withColumn("_paid", paid),
-                                ["payment_id", "due_date", "_paid"], facts.payment_order()).drop("_paid"),
-                  "payments_arrived")
-    ids = arrived.select("payment_id").distinct()
-    runs = _fact_runs(spark, base, before=run_id)
-    history = _batches(spark, base, FACT, runs, schemas.FACT_PAYMENTS)
+    rejected = put(foreign_keys.rejected_rows(rows, F.coalesce("paid_date", "due_date"), dm, dp, dd), REJECTS)
+    put(waiting_rows(rejected), PENDING)
+
+    fresh = facts.payment_rows(rows, dm, dp)
+    fresh = fresh if dd is None else foreign_keys.within_dates(fresh, dd)
+    arrived = put(first_per_key(fresh.withColumn("_paid", paid), ["payment_id", "due_date", "_paid"], facts.payment_order()).drop("_paid"), "payments_arrived")
+    touched = [r[0] for r in arrived.select(key_bucket(state.buckets)).distinct().collect()]  # at most MOST_BUCKETS
     new = first_per_key(arrived, ["payment_id"], facts.payment_order())
-    if history is not None:
-        gone = _batches(spark, base, REPLACED, runs, "payment_id string")
-        held = put(_without_replaced(
-            history.select("payment_id", "due_date", "paid_date").join(ids, "payment_id", "left_semi"),
-            None if gone is None else gone.join(ids, "payment_id", "left_semi")), "payments_held")
+    held = held_keys(spark, base, state, touched)
+    if held is not None:
+        ids = arrived.select("payment_id").distinct()
+        held = put(held.join(ids, "payment_id", "left_semi").groupBy("payment_id").agg(
+            F.max("paid").alias("paid"), F.max("due_date").alias("due_date")), "payments_held")  # the one row of an id, or an unpaid one and its paid successor
         new = new.join(held.select("payment_id"), "payment_id", "left_anti")
-        unpaid = held.where(~paid).select("payment_id", "due_date")
-        now_paid = first_per_key(arrived.where(paid).join(unpaid, ["payment_id", "due_date"], "left_semi"),
+        now_paid = first_per_key(arrived.where(paid).join(held.where(~F.col("paid")).select("payment_id", "due_date"), ["payment_id", "due_date"], "left_semi"),
                                  ["payment_id"], facts.payment_order())
         put(now_paid.select("payment_id"), REPLACED)
         new = new.unionByName(now_paid)
-    put(schemas.conform(new, schemas.FACT_PAYMENTS).sortWithinPartitions("date_key"), FACT)
+    new = put(schemas.conform(new, schemas.FACT_PAYMENTS).sortWithinPartitions("date_key"), FACT)
+    _write_keys(spark, base, run_id, new, state.buckets)
+    # what waits now has been held against these dimensions, unless older rows were not tried
+    old = () if retry else state.pending
+    publish(spark, base, FACT, state.with_batch(run_id, (*old, run_id), parents if retry or not old else state.parents))
     for table in ("payments_arrived", "payments_held"):
         snap.remove(spark, _path(base, table, run_id))
 
 
+def waiting_rows(rejected: DataFrame) -> DataFrame:
+    """Rejected staging rows that a later member or plan can still take."""
+    ids = F.col("payment_id").isNotNull() & F.col("member_id").isNotNull() & F.col("plan_id").isNotNull()
+    return rejected.where(ids & F.col("reason").isin(foreign_keys.NO_MEMBER, foreign_keys.NO_PLAN)).select(*schemas.STAGING_PAYMENTS.fieldNames())
+
+
 def retry_pending_payments(spark: SparkSession, base: str) -> None:
-    """Try the pending payments again without new ones (e.g. after a member load), as a batch
-    that comes right after the newest one (``<newest>-retry0001`` and so on)."""
-    last = _fact_runs(spark, base)[-1:]
-    if not last:
+    """Try the pending payments again without new ones (e.g. after a member load), as a batch that comes right after
+    the newest folder (``<newest>-retry0001`` and so on). Nothing to do while the dimensions are those last tried."""
+    state = read_state(spark, base, FACT)
+    if not state.folders or not state.pending or state.parents == newest_parents(spark, base):
         return
-    stem, _, n = last[0].partition("-retry")
+    stem, _, n = state.folders[-1].partition("-retry")
     load_payments(spark, base, spark.createDataFrame([], schemas.STAGING_PAYMENTS), f"{stem}-retry{int(n or 0) + 1:04d}")
 
 
+def compact_payments(spark: SparkSession, base: str) -> str | None:
+    """Fold the batches and what they replaced into one new base, in order of date, and index its keys; the waiting rows
+    become one folder. One publication switches readers over. Returns the new base, None if there are no batches."""
+    state = read_state(spark, base, FACT)
+    if not state.batches:
+        return None
+    run_id = f"{state.folders[-1]}-c{state.version:06d}"
+    fact_batches(spark, base).repartitionByRange("date_key").sortWithinPartitions("date_key").write.mode("overwrite").parquet(_path(base, FACT, run_id))
+    fact = _folders(spark, base, FACT, [run_id], schemas.FACT_PAYMENTS)
+    buckets = buckets_for(fact.count())
+    _write_keys(spark, base, run_id, fact, buckets)
+    waiting = pending_payments(spark, base, state)
+    if waiting is not None:
+        waiting.write.mode("overwrite").parquet(_path(base, PENDING, run_id))
+    publish(spark, base, FACT, replace(state, base=run_id, batches=(), pending=() if waiting is None else (run_id,), buckets=buckets, indexed=True))
+    return run_id
+
+
+def drop_unnamed_payments(spark: SparkSession, base: str, keep: int = KEPT_STATES) -> list[str]:
+    """S4 for the payment fact: folders of fact, index, replaced, waiting and rejected rows that no kept state names."""
+    return drop_unnamed(spark, base, FACT, (KEYS, REPLACED, PENDING, REJECTS), keep)
+
+
 def run_incremental_payments(spark: SparkSession, incoming: str, base: str, checkpoint: str,
                              prefix: str, max_files_per_trigger: int | None = None) -> None:
     """Consume all staging payment files that arrived in ``incoming`` and stop.

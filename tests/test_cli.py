@@ -3,10 +3,11 @@
 import json
 import uuid
 
-from starforge import cli
+from starforge import cli, schemas
 from starforge.session import work_path
 from starforge.sources.adapter import staging_from_driver
 from starforge.sources.staging import write_staging
+from starforge.sources.table_state import read_state
 from starforge.streaming.incremental import fact_batches
 
 
@@ -29,3 +30,7 @@ def test_cli_load_dq_profile(spark, capsys):
               "--members-in", f"{root}/staging/members", "--payments-in", f"{root}/staging/payments"])
     full = spark.read.parquet(f"{root}/wh/fact_payments/run_id=20020101").count()
     assert fact_batches(spark, f"{root}/wh").count() == full > 0
+    batch = read_state(spark, f"{root}/wh", "fact_payments").batches
+    assert len(batch) == 1  # the same payments again: the fact that load wrote holds all of them
+    assert spark.read.schema(schemas.FACT_PAYMENTS).parquet(f"{root}/wh/fact_payments/run_id={batch[0]}").count() == 0
+    assert "run_id" in spark.read.parquet(f"{root}/wh/fact_payments").columns  # one folder column: the table's folder reads

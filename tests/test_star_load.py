@@ -235,4 +235,73 @@ def test_replayed_older_day_uses_its_own_dimensions(spark):
     rep = run_star_load(spark, day1_st, base, day1, spine=SPINE, fail_stages=("dim_member",))
     assert {s.stage: s.status for s in rep.stages}["fact_payments"] == "success"
     fp1 = keys(snap.read_latest(spark, base, "fact_payments", upto=day1.strftime("%Y%m%d")))
-    assert fp1 <= cur1 and not (fp1 & (cur2 - cur1))
\ No newline at end of file
+    assert fp1 <= cur1 and not (fp1 & (cur2 - cur1))
+
+def test_load_then_incremental_is_one_fact(spark):
+    """The full load's fact, its batches, its index of keys, compaction and retention."""
+    from starforge.sources.table_state import read_state, versions
+    from starforge.streaming import incremental as inc
+    base = work_path(spark, "test-one", uuid.uuid4().hex)
+    st = staging_from_driver(spark, SF)
+    members = spark.createDataFrame([_one_member("M1"), _one_member("M2")], schemas.STAGING_MEMBERS)
+    plans = spark.createDataFrame([("P1", "p", "konut", 12, Decimal("120.00"), None)], schemas.STAGING_PLANS)
+    pays = lambda *rows: spark.createDataFrame(list(rows), schemas.STAGING_PAYMENTS)
+    day, late, old = dt.date(1996, 1, 1), dt.date(1996, 2, 1), dt.date(1900, 1, 1)
+    first = [_one_payment(f"K{i:03d}", "M1", day, None if i % 2 else day) for i in range(200)]
+    first += [_one_payment("U1", "M9", day, day), _one_payment("U2", "M1", day, day, "P9"), _one_payment("U3", "M1", old, None),
+              _one_payment("U4", None, day, day), _one_payment("U5", "M1", None, None)]
+    rep = run_star_load(spark, _St(st, members=members, plans=plans, payments=pays(*first)), base, AS_OF, spine=SPINE)
+    by = {s.stage: s for s in rep.stages}
+    assert by["fact_payments"].status == "success" and by["fact_payments"].rejected == 4
+    audit = snap.read_audit(spark, base).where("stage = 'fact_payments'").first()
+    assert audit.rows_rejected == 4
+    rejects = {r.payment_id: r.reason for r in spark.read.parquet(f"{base}/{inc.REJECTS}/run_id={rep.run_id}").collect()}
+    assert rejects == {"U1": "no member", "U2": "no plan", "U3": "no date", "U4": "no member"}
+    ids = lambda: sorted(r.payment_id for r in inc.fact_batches(spark, base).collect())
+    held = sorted({p[0] for p in first} - set(rejects))
+    assert ids() == held
+    # the same rows again, one paid now, one new: nothing twice, the paid row replaces the unpaid one
+    inc.load_payments(spark, base, pays(*first[:50], _one_payment("K001", "M1", day, late), _one_payment("N1", "M2", day, day)), "b1")
+    assert ids() == sorted(held + ["N1"])
+    paid = {r.payment_id: r.paid_date for r in inc.fact_batches(spark, base).collect()}
+    assert paid["K001"] == late and paid["K003"] is None
+    state = read_state(spark, base, inc.FACT)
+    assert state.base == rep.run_id and state.batches == ("b1",) and state.indexed
+    # a later batch sees the paid row; a batch reads only the folders of its own buckets
+    inc.load_payments(spark, base, pays(_one_payment("K001", "M1", day, day)), "b2")
+    assert {r.payment_id: r.paid_date for r in inc.fact_batches(spark, base).collect()}["K001"] == late
+    keys = inc.held_keys(spark, base, read_state(spark, base, inc.FACT), [3])
+    assert {f.split("bucket=")[1].split("/")[0] for f in keys.select(F.col("_metadata.file_path")).distinct().toPandas().iloc[:, 0]} == {"3"}
+    assert "PartitionFilters: [isnotnull(bucket" in keys._jdf.queryExecution().toString() or "PartitionFilters: [bucket" in keys._jdf.queryExecution().toString()
+    # waiting rows cost nothing until a dimension has a newer run
+    waiting = read_state(spark, base, inc.FACT).pending
+    assert len(waiting) == 3 and {r.payment_id for r in inc.pending_payments(spark, base).collect()} == {"U1", "U2"}
+    assert "U1" not in ids()
+    snap.write_snapshot(dims.dim_member_full(spark.createDataFrame([_one_member(m) for m in ("M1", "M2", "M9")], schemas.STAGING_MEMBERS), AS_OF),
+                        base, "dim_member", "99990101", ["is_current"])
+    inc.retry_pending_payments(spark, base)
+    assert ids() == sorted(held + ["N1", "U1"])
+    # compaction changes no row; then only named folders stay
+    before = {tuple(r) for r in inc.fact_batches(spark, base).collect()}
+    run = inc.compact_payments(spark, base)
+    state = read_state(spark, base, inc.FACT)
+    assert (state.base, state.batches) == (run, ()) and {tuple(r) for r in inc.fact_batches(spark, base).collect()} == before
+    assert {r.payment_id for r in inc.pending_payments(spark, base).collect()} == {"U2"}
+    inc.load_payments(spark, base, pays(_one_payment("N1", "M2", day, day), _one_payment("N2", "M2", day, day)), "b3")
+    assert ids() == sorted(held + ["N1", "N2", "U1"])
+    inc.drop_unnamed_payments(spark, base, keep=1)
+    assert snap.snapshot_runs(spark, base, inc.FACT) == ["b3", run] or set(snap.snapshot_runs(spark, base, inc.FACT)) == {"b3", run}
+    assert len(versions(spark, base, inc.FACT)) == 1 and ids() == sorted(held + ["N1", "N2", "U1"])
+
+
+def test_state_is_published_on_top_of_what_was_read(spark):
+    import pytest
+    from starforge.sources.table_state import publish, read_state
+    base = work_path(spark, "test-state", uuid.uuid4().hex)
+    seen = read_state(spark, base, "t")
+    publish(spark, base, "t", seen.with_base("r1"))
+    with pytest.raises(RuntimeError, match="changed while"):
+        publish(spark, base, "t", seen.with_base("r2"))
+    state = read_state(spark, base, "t")
+    assert (state.version, state.folders) == (1, ["r1"])
+    assert publish(spark, base, "t", state.with_batch("b", (), ())).folders == ["r1", "b"]
