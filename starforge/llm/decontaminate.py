@@ -20,7 +20,9 @@ Benchmark items are read in blocks of bounded size; each block's q-gram index is
 rows are held against it. Rows never shuffle.
 
 Defined results: null or blank texts leak nothing, null or blank items match nothing. Items of less than Q characters must
-occur literally between blanks. Repeated rows and items each get their own results.
+occur literally between blanks. Repeated rows each get their own results; items that share an id, or have none, are reported
+under that id (null) as one. Other columns are ignored by ``leaks`` and kept by ``keep_clean``, whatever their names. A very
+long text takes several numbers of eight bytes for each of its bytes in one task.
 """
 
 from __future__ import annotations
@@ -87,6 +89,8 @@ STEP = 2 * budget(SPAN)
 
 def _sieve(g: np.ndarray) -> np.ndarray:
     return (g * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SIEVE_BITS)
+#: Code points that a leak has at least for which a document is dropped.
+LEAST_LEAK = 32
 
 
 @dataclass
@@ -234,13 +238,13 @@ def find_leaks(block: Block, texts: list[str]) -> list[list[tuple]]:
         stop = joined.find(b"\0" * GAP, head)
         start, end = (min(max(head, int(origin[min(max(int(p), 0), len(origin) - 1)])), stop) for p in (x, y - 1))
         out[d].append((item, len(windows), e, chars(start), min(chars(end) + 1, len(texts[d]))))
-    return [sorted(x) for x in out]
+    return [sorted(x, key=lambda leak: (leak[0] is None, leak[0] or 0)) for x in out]
 
 
 def blocks(benchmark: DataFrame):
     """Blocks of items of bounded size, one after the other; the driver holds one at a time."""
     rows, size = [], 0
-    items = keep_named(benchmark, {"item_id": "long", "text": "string"}).where("text is not null and item_id is not null")
+    items = keep_named(benchmark, {"item_id": "long", "text": "string"}).where("text is not null")
     for r in items.toLocalIterator():
         if rows and size + len(r["text"]) > BLOCK_CHARS:
             yield make_block(rows)
@@ -278,11 +282,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that leak no item, with the same columns."""
+def keep_clean(docs: DataFrame, benchmark: DataFrame, least_points: int = LEAST_LEAK) -> DataFrame:
+    """The rows of ``docs`` without a leak of ``least_points`` code points or more, with the same columns. A shorter
+    match, such as the word or phrase that a short item is, is no proof that a text holds the item."""
     spark = docs.sparkSession
     ready(spark)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     for block in blocks(benchmark):
-        docs = docs.where(F.size(leak_column(F.col("text"), block, spark)) == 0)
+        docs = docs.where(~F.exists(leak_column(F.col("text"), block, spark), lambda leak: leak["end"] - leak["start"] >= least_points))
     return docs.select(*columns)

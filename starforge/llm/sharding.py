@@ -50,22 +50,52 @@ def communication_matrix(counts: list[int], sizes: list[int], seed: int):
         yield sent
 
 
+#: Places from which on numpy's draw does not take its arguments.
+LARGE = 10**9
+
+
 def _draw(rng, good: int, bad: int, sample: int) -> int:
-    """Hypergeometric draw; numpy's takes arguments below 10 ** 9 only, larger ones are halved exactly."""
-    if good + bad < 10**9:
+    """Hypergeometric draw: good places among ``sample`` of good + bad. numpy draws up to 10 ** 9 places; beyond, the same
+    law is drawn by ratio of uniforms (Stadlober 1990), with logarithms of factorials taken as differences, so that their
+    size costs no precision. Small samples are drawn place by place."""
+    places = good + bad
+    if places < LARGE:
         return int(rng.hypergeometric(good, bad, sample))
-    half = (good + bad) // 2  # the sample's part in one half of the places, then good ones in either half
-    first = int(round(_normal_split(rng, half, good + bad - half, sample)))
-    good_first = int(round(_normal_split(rng, half, good + bad - half, good)))
-    return _draw(rng, good_first, half - good_first, first) + _draw(rng, good - good_first, good + bad - half - (good - good_first), sample - first)
-
-
-def _normal_split(rng, a: int, b: int, sample: int) -> float:
-    """Part of a sample that falls into a of a + b places, by the normal limit (its error is below one row's at such sizes)."""
-    n = a + b
-    mean = sample * a / n
-    var = sample * (a / n) * (b / n) * ((n - sample) / max(1, n - 1))
-    return min(max(rng.normal(mean, math.sqrt(max(var, 0.0))), max(0, sample - b)), min(a, sample))
+    few = min(sample, places - sample)
+    if few <= 20:
+        got = 0
+        for taken in range(few):
+            got += int(rng.integers(places - taken)) < good - got
+        return got if few == sample else good - got
+    less, more = min(good, bad), max(good, bad)
+    part = less / places
+    centre = few * part + 0.5
+    wide = math.sqrt((places - few) / (places - 1) * few * part * (1 - part) + 0.5)
+    hat = 2 * math.sqrt(2 / math.e) * wide + 3 - 2 * math.sqrt(3 / math.e)
+    mode = (few + 1) * (less + 1) // (places + 2)
+    top = min(few, less) + 1
+    while True:
+        u, v = 1.0 - rng.random(), rng.random()
+        at = centre + hat * (v - 0.5) / u
+        if not 0 <= at < top:
+            continue
+        k = int(at)
+        d = k - mode
+        gap = -(_log_factorial_step(mode, d) + _log_factorial_step(less - mode, -d) + _log_factorial_step(few - mode, -d)
+                + _log_factorial_step(more - few + mode, d))
+        if 2 * math.log(u) <= gap:
+            break
+    if good > bad:
+        k = few - k
+    return k if few == sample else good - k
+
+
+def _log_factorial_step(a: int, d: int) -> float:
+    """log (a + d)! - log a!, by Stirling's series for large a, where the difference of both would lose digits."""
+    b = a + d
+    if min(a, b) < 1000:
+        return math.lgamma(b + 1) - math.lgamma(a + 1)
+    return d * math.log(a) + (b + 0.5) * math.log1p(d / a) - d + (1 / b - 1 / a) / 12 - (1 / b**3 - 1 / a**3) / 360
 
 
 def shuffle_to_shards(rows: DataFrame, shards: int, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:

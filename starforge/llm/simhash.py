@@ -14,7 +14,8 @@ then joined over all groups.
 
 Defined results: a null or blank text has fingerprint 0, linked like any other. Repeated rows share a
 component. A component's id is its smallest doc_id (null only if all are null). An empty table gives
-an empty result.
+an empty result. Columns other than doc_id and text are ignored, and kept by ``keep_one``, whatever their names. A very
+long text is held by its task as its words.
 """
 
 from __future__ import annotations
@@ -65,15 +66,16 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed long."""
+    """(doc_id, fp, same) of every row; fp is the fingerprint as a signed long, same a hash of the text."""
     ready(docs.sparkSession)
 
     def run(batches):
         for pdf in batches:
             fp = np.array([fingerprint(t if isinstance(t, str) else None, words) for t in pdf["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp.view(np.int64), "same": pdf["same"]})
 
-    return keep_named(docs, {"doc_id": "long", "text": "string"}).mapInPandas(run, "doc_id long, fp long")
+    rows = keep_named(docs, {"doc_id": "long", "text": "string"}).withColumn("same", F.xxhash64("text"))
+    return rows.mapInPandas(run, "doc_id long, fp long, same long")
 
 
 def cells_of(classes: DataFrame, leaf: int = LEAF) -> list[tuple[int, int]]:
@@ -258,14 +260,19 @@ def links(classes: DataFrame, budget: int = 2, leaf: int = LEAF) -> DataFrame:
     return dealt.groupBy("k").applyInPandas(walk, "a long, b long")
 
 
+def roots(rows: DataFrame, budget: int, leaf: int = LEAF) -> DataFrame:
+    """(fp, least, n, root) of every fingerprint of ``rows``: its smallest doc_id, its rows, and the least fingerprint of
+    its component."""
+    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-classes")
+    found = components(links(classes, budget, leaf))
+    return stored(classes.join(found, classes["fp"] == found["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root")), "simhash-roots")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, leaf: int = LEAF) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id
     reachable over links of at most ``budget`` bits)."""
-    rows = stored(fingerprints(docs, words), "simhash")
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-classes")
-    found = components(links(classes, budget, leaf))
-    rooted = classes.join(found, classes["fp"] == found["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
-    rooted = stored(rooted, "simhash-roots")
+    rows = stored(fingerprints(docs, words).select("doc_id", "fp"), "simhash")
+    rooted = roots(rows, budget, leaf)
     whole = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("fps")), "simhash-components")
     of = stored(join_groups(rooted, whole, "root", "fps").select("fp", "component_id", "n"), "simhash-of")
     return join_groups(rows, of, "fp", "n").select(
@@ -273,26 +280,15 @@ def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, leaf: int
 
 
 def keep_one(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
-    """Of each component the row with the smallest doc_id; same columns as ``docs``. Of rows that share that
-    doc_id the one whose text hashes least stays; rows alike in both are one. Rows without a doc_id can't
-    be named by a result and all stay."""
+    """Of each component one row, with the columns of ``docs``: that with the smallest doc_id (null last), then
+    that whose text hashes least; of rows alike in both any one. Components are told apart by their fingerprints, so
+    unrelated texts that share a doc_id, or have none, don't touch each other."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = near_duplicates(docs, words, budget)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["_keep"], "left_semi").select(*columns)
-    return one_each(rows, "doc_id").unionAll(docs.where(F.col("doc_id").isNull()).select(*columns))
-
-
-def one_each(rows: DataFrame, key: str) -> DataFrame:
-    """Rows of which none shares its ``key`` with a row whose text hashes lower; rows alike in both are one."""
-    columns = [F.col(f"`{c}`") for c in rows.columns]
-    hash_ = spare(rows, "_hash")
-    marked = rows.withColumn(hash_, F.xxhash64("text"))
-    key_, least_ = spare(marked, "_key"), spare(marked, "_least")
-    least = marked.groupBy(F.col(key).alias(key_)).agg(F.min(hash_).alias(least_), F.count("*").alias("_n")).where("_n > 1")
-    doubles = stored(least, "doubles")
-    if not doubles.take(1):
-        return rows
-    alone = rows.join(doubles, rows[key].eqNullSafe(doubles[key_]), "left_anti").select(*columns)
-    best = marked.join(doubles, marked[key].eqNullSafe(doubles[key_]) & (F.col(hash_) == F.col(least_)), "left_semi").select(*columns)
-    return alone.unionAll(best.dropDuplicates([key, "text"]))
+    rows = stored(fingerprints(docs, words), "simhash")
+    rooted = roots(rows, budget).select("fp", "n", "root")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("same").alias("_same"))).alias("first")
+    kept = stored(join_groups(rows, rooted, "fp", "n").groupBy("root").agg(first).select("first._id", "first._same"), "simhash-kept")
+    hash_ = spare(docs, "_hash")
+    marked = docs.withColumn(hash_, F.xxhash64("text"))
+    chosen = marked.join(kept, marked["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (marked[hash_] == kept["_same"]), "left_semi")
+    return chosen.dropDuplicates(["doc_id", hash_]).select(*columns)

@@ -263,6 +263,11 @@ def test_leaks_of_tables(spark, docs):
     odd = odd_rows(spark)
     assert decontaminate.leaks(odd, bench).count() == 0 and decontaminate.keep_clean(odd, bench).columns == odd.columns
     assert decontaminate.keep_clean(odd, bench).count() == odd.count()
+    long = "a passage of a benchmark item that no other text holds word for word"
+    items = spark.createDataFrame([(None, long), (8, "yes"), (9, "the capital of France")], "item_id long, text string")
+    some = spark.createDataFrame([(1, f"before {long} after"), (2, "well yes it is"), (3, "Paris is the capital of France"), (4, "clean")], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(some, items).collect()} == {(1, None), (2, 8), (3, 9)}
+    assert sorted(r["doc_id"] for r in decontaminate.keep_clean(some, items).collect()) == [2, 3, 4]
     assert decontaminate.leaks(odd, bench.limit(0)).count() == 0 and decontaminate.leaks(empty(spark), bench).count() == 0
 
 
@@ -315,6 +320,24 @@ def test_matrix_follows_the_hypergeometric_law():
     assert len(seen) == 7 and sum((seen[k] - want[k])**2 / want[k] for k in seen) < 22.5  # 0.1 % of chi-square with 6 degrees
 
 
+def test_large_hypergeometric_draws(monkeypatch):
+    """Beyond numpy's range: the law's mean, variance and bounds, and at a small size the same law as numpy's."""
+    rng = np.random.default_rng(5)
+    for good, bad, sample in ((10**9, 10**9, 1000), (3 * 10**11, 7 * 10**11, 10**6), (2 * 10**12, 10**9, 10**12), (10**9, 10, 10**9 - 5), (40, 10**10, 10**9)):
+        n = good + bad
+        x = np.array([sharding._draw(rng, good, bad, sample) for _ in range(4000)], float)
+        mean, var = sample * good / n, sample * (good / n) * (bad / n) * ((n - sample) / (n - 1))
+        assert x.min() >= max(0, sample - bad) and x.max() <= min(good, sample)
+        assert abs(x.mean() - mean) < 5 * math.sqrt(var / 4000)
+        assert var < 1 or abs(x.var() / var - 1) < 0.15
+    few = [sharding._draw(rng, 10**9, 10**9, 5) for _ in range(20_000)]
+    assert abs(few.count(0) / 20_000 - 1 / 32) < 0.006
+    monkeypatch.setattr(sharding, "LARGE", 0)
+    own = Counter(sharding._draw(rng, 300, 500, 100) for _ in range(20_000))
+    theirs = Counter(rng.hypergeometric(300, 500, 100, 20_000).tolist())
+    assert all(abs(own[k] - theirs[k]) < 5 * math.sqrt(own[k] + theirs[k] + 10) for k in range(101))
+
+
 # ---- 8 personal data
 
 def test_base_patterns_equal_the_contract():
@@ -425,8 +448,13 @@ def test_simhash_keep_one(spark):
     odd = odd_rows(spark)
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == sorted([0, 0, 1, 4, 5, 7, 8, 9])
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [1, 4, 5, 7, 8, 9]  # a null id stays only where its group has no other
     assert simhash.keep_one(empty(spark)).count() == 0
+    shared = [(1, "one two three four five"), (1, "quite another text with words"), (None, "no id here at all"), (None, "no id here at all"), (2, "no relation to any"),
+              (2, "no relation to any"), (None, "one two three four five")]
+    kept = simhash.keep_one(spark.createDataFrame([(*r, None, None, None) for r in shared], DOCS)).collect()
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in kept) == [
+        (0, "no id here at all"), (1, "one two three four five"), (1, "quite another text with words"), (2, "no relation to any")]
 
 
 # ---- 10 language ID
