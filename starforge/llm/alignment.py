@@ -45,9 +45,9 @@ HOT_PAIRS = 1.0 / 100_000
 #: Bits of a byte place below a document's number in a token's key.
 PLACE_BITS = 40
 #: Bytes of text that are aligned together, unless one text has more.
-BATCH_TEXT = 4 << 20
+BATCH_TEXT = 3 << 19
 #: Words remembered by a worker before its table is emptied.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 400_000
 
 _BEYOND = re.compile("[ɐ-\U0010ffff]").search
 _RARE_BLANK = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0]").search
