@@ -32,7 +32,7 @@ def cmd_load(spark, a) -> None:
     from starforge.functions.calendar import DEFAULT_SPINE
     spine = (a.spine_start or DEFAULT_SPINE[0], a.spine_end or DEFAULT_SPINE[1])
     size_session(spark, a.staging)
-    rep = run_star_load(spark, st, a.warehouse, a.as_of, run_id=a.run_id, spine=spine, keep_runs=a.keep_runs)
+    rep = run_star_load(spark, st, a.warehouse, a.as_of, run_id=a.run_id, spine=spine, keep_runs=a.keep_runs, resume=a.resume)
     print(json.dumps({"run_id": rep.run_id, "stages": [s.__dict__ for s in rep.stages]}))
 
 
@@ -54,6 +54,8 @@ def cmd_incremental(spark, a) -> None:
     inc.run_incremental_scd2(spark, a.members_in, a.warehouse, f"{a.checkpoint}/members", a.as_of, prefix=day)
     inc.run_incremental_payments(spark, a.payments_in, a.warehouse, f"{a.checkpoint}/payments", prefix=day)
     inc.retry_pending_payments(spark, a.warehouse)
+    if a.compact:
+        inc.compact_payments(spark, a.warehouse)
 
 
 def cmd_profile(spark, a) -> None:
@@ -114,12 +116,14 @@ def main(argv=None) -> None:
         s.add_argument("--spine-start", type=_date, default=None)
         s.add_argument("--spine-end", type=_date, default=None)
         if name == "load":
+            s.add_argument("--resume", action="store_true", help="go on with a run of that id: only stages that failed")
             s.add_argument("--keep-runs", type=int, default=None, help="snapshots to keep of each table written whole by every run (default: all)")
     s = sub.add_parser("incremental")
     for name in ("--warehouse", "--members-in", "--payments-in", "--checkpoint"):
         s.add_argument(name, required=True)
     s.add_argument("--as-of", type=_date, required=True)
     s.add_argument("--run-id", default=None)
+    s.add_argument("--compact", action="store_true", help="fold the batches of the payment fact into one folder by date")
     a = ap.parse_args(argv)
     spark = build_session(app=f"starforge-{a.cmd}")
     {"load": cmd_load, "incremental": cmd_incremental, "profile": cmd_profile, "dq": cmd_dq}[a.cmd](spark, a)

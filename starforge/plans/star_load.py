@@ -28,9 +28,11 @@ from starforge.functions.calendar import DEFAULT_SPINE
 from starforge.operators import calendar, dims, facts, foreign_keys, scd2
 from starforge.schemas import conform
 from starforge.sources import snapshots as snap
-from starforge.sources.table_state import publish, read_state
+from starforge.sources.table_state import drop_unnamed, publish, read_state
 from starforge.streaming import incremental as inc
 
+#: Name of the state that says which run is published as a whole.
+PUBLISHED = "star_runs"
 STAGES = ["dim_date", "dim_plan", "dim_member", "fact_payments", "fact_lottery"]
 
 
@@ -65,23 +67,56 @@ def _rows(obs: Observation) -> int:
     return int(obs.get.get("rows", 0))  # no row passed: no metric
 
 
+def _succeeded(spark: SparkSession, base: str, run_id: str) -> dict[str, int]:
+    """Stages of a run whose newest audit row says success, with their rows (five rows for each call of the run)."""
+    if not snap.list_names(spark, f"{base.rstrip('/')}/stage_runs"):
+        return {}
+    rows = snap.read_audit(spark, base).where(F.col("run_id") == run_id).orderBy("logged_at").collect()
+    last = {r["stage"]: r for r in rows}
+    return {n: r["rows_inserted"] for n, r in last.items() if r["status"] == "success"}
+
+
+def read_star(spark: SparkSession, base: str) -> dict[str, DataFrame] | None:
+    """The five tables of the newest run that succeeded as a whole; None before the first one. Runs that failed in part,
+    and tables of runs still at work, are not seen, so days are never mixed. Batches on top of the payment fact are in
+    ``streaming.incremental.fact_batches``."""
+    run_id = read_state(spark, base, PUBLISHED).base
+    if run_id is None:
+        return None
+    whole = {t: spark.read.parquet(f"{base.rstrip('/')}/{t}/run_id={run_id}") for t in ("dim_date", "dim_plan", "fact_payments", "fact_lottery")}
+    return whole | {"dim_member": snap.read_scd2(spark, base, "dim_member", schemas.DIM_MEMBER, upto=run_id)}
+
+
 def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
                   run_id: str | None = None, spine=DEFAULT_SPINE,
                   fail_stages: tuple[str, ...] = (), concurrent: bool = True,
-                  keep_runs: int | None = None) -> LoadReport:
+                  keep_runs: int | None = None, resume: bool = False) -> LoadReport:
     """Run all stages for one day. ``fail_stages`` forces failures (for tests).
 
     ``keep_runs``: snapshots to keep of each table that every run writes whole (all of
     them by default); older ones are deleted once every stage has succeeded. A failed
     audit write does not stop the other stages; it is raised after them.
+
+    ``resume`` goes on with a run of that id that did not get through: stages whose last
+    audit row says success are kept (status "kept", not audited again), unless they are
+    facts and a dimension is loaded again. Once all five stages of a run have succeeded
+    the run is published as a whole, see :func:`read_star`.
     """
     run_id = run_id or as_of.strftime("%Y%m%d")
     report = LoadReport(run_id)
     lock = threading.Lock()
     unaudited: list[Exception] = []
 
+    kept = _succeeded(spark, base, run_id) if resume else {}
+    if any(d not in kept for d in STAGES[:3]):
+        kept = {n: r for n, r in kept.items() if n in STAGES[:3]}  # these facts were loaded against other dimensions
+
     def stage(name, fn):
         t0 = time.time()
+        if name in kept:
+            with lock:
+                report.stages.append(StageResult(name, "kept", kept[name]))
+            return
         try:
             if name in fail_stages:
                 raise RuntimeError(f"forced failure of {name}")
@@ -168,8 +203,14 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
     report.stages.sort(key=lambda r: STAGES.index(r.stage))
     if unaudited:
         raise RuntimeError(f"{len(unaudited)} stages of run {run_id} were not audited") from unaudited[0]
-    if keep_runs is not None and all(r.status == "success" for r in report.stages):
+    whole = all(r.status in ("success", "kept") for r in report.stages)
+    if whole:
+        state = read_state(spark, base, PUBLISHED)
+        if state.base is None or snap.run_order(state.base) <= snap.run_order(run_id):
+            publish(spark, base, PUBLISHED, state.with_base(run_id))
+    if keep_runs is not None and whole:
         for table in ("dim_date", "dim_plan", "fact_lottery", "fact_lottery_rejects", "dim_member_rejects"):
             snap.drop_old_runs(spark, base, table, keep_runs)
         inc.drop_unnamed_payments(spark, base, keep_runs)
+        drop_unnamed(spark, base, PUBLISHED, keep=keep_runs)
     return report

@@ -305,3 +305,26 @@ def test_state_is_published_on_top_of_what_was_read(spark):
     state = read_state(spark, base, "t")
     assert (state.version, state.folders) == (1, ["r1"])
     assert publish(spark, base, "t", state.with_batch("b", (), ())).folders == ["r1", "b"]
+
+
+def test_a_failed_run_goes_on_and_is_published_as_a_whole(spark):
+    from starforge.plans.star_load import read_star
+    st = staging_from_driver(spark, SF)
+    base = work_path(spark, "test-resume", uuid.uuid4().hex)
+    assert read_star(spark, base) is None
+    rep = run_star_load(spark, st, base, AS_OF, spine=SPINE, fail_stages=("fact_lottery",))
+    assert {s.stage: s.status for s in rep.stages}["fact_lottery"] == "failed"
+    assert read_star(spark, base) is None  # four tables of the day are there, but no reader sees them
+    again = run_star_load(spark, st, base, AS_OF, spine=SPINE, resume=True)
+    assert {s.stage: s.status for s in again.stages} == {n: "kept" for n in STAGES[:4]} | {"fact_lottery": "success"}
+    assert [s.rows for s in again.stages][:4] == [s.rows for s in rep.stages][:4]
+    star = read_star(spark, base)
+    assert set(star) == set(STAGES) and all(star[t].count() > 0 for t in STAGES)
+    assert snap.read_audit(spark, base).count() == 6  # five of the first call, one of the second
+    # the next day fails in a dimension: readers stay on the first day, and both facts run again
+    day2 = AS_OF + dt.timedelta(1)
+    run_star_load(spark, st, base, day2, spine=SPINE, fail_stages=("dim_plan",))
+    assert read_star(spark, base)["fact_lottery"].inputFiles()[0].split("run_id=")[1].startswith(AS_OF.strftime("%Y%m%d"))
+    rep = run_star_load(spark, st, base, day2, spine=SPINE, resume=True)
+    assert [s.status for s in rep.stages] == ["kept", "success", "kept", "success", "success"]
+    assert read_star(spark, base)["fact_lottery"].inputFiles()[0].split("run_id=")[1].startswith(day2.strftime("%Y%m%d"))
