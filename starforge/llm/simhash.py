@@ -288,7 +288,17 @@ def keep_one(docs: DataFrame, words: int = 3, budget: int = 2) -> DataFrame:
     rooted = roots(rows, budget).select("fp", "n", "root")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("same").alias("_same"))).alias("first")
     kept = stored(join_groups(rows, rooted, "fp", "n").groupBy("root").agg(first).select("first._id", "first._same"), "simhash-kept")
+    # rows alike in id and text are few or none: only they are grouped with their texts
+    copies = rows.groupBy("doc_id", "same").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_id"), F.col("same").alias("_same"))
+    alike = F.col("k._id").eqNullSafe(F.col("c._id")) & (F.col("k._same") == F.col("c._same"))
+    often = stored(kept.alias("k").join(copies.alias("c"), alike, "left_semi"), "simhash-often")
     hash_ = spare(docs, "_hash")
     marked = docs.withColumn(hash_, F.xxhash64("text"))
-    chosen = marked.join(kept, marked["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (marked[hash_] == kept["_same"]), "left_semi")
-    return chosen.dropDuplicates(["doc_id", hash_]).select(*columns)
+
+    def named(names: DataFrame) -> DataFrame:
+        return marked.join(names, marked["doc_id"].cast("long").eqNullSafe(names["_id"]) & (marked[hash_] == names["_same"]), "left_semi")
+
+    if not often.take(1):
+        return named(kept).select(*columns)
+    once = kept.alias("k").join(often.alias("c"), alike, "left_anti")
+    return named(once).select(*columns).unionAll(named(often).dropDuplicates(["doc_id", hash_]).select(*columns))
