@@ -1,37 +1,45 @@
 """Exact de-duplication by an extendible-hash index on shared files; DataFrame functions only.
 
-Texts are equal when they are identical without ASCII white space. The index holds one entry per
-distinct text: its 64-bit hash is the key, entries whose keys collide form a chain, and what
-tells them apart is a comparison of the bytes (texts are grouped by key and text itself).
-A directory maps the leading bits of a key to a bucket. It doubles, that is, takes one more bit,
-wherever a bucket would hold more than its capacity: from one histogram of leading bits (of
-bounded size) the load of every node of the directory's tree follows, and a bucket is a node that
-fits while its parent does not. Buckets are contiguous key ranges: range partitioning gives
-each owner task a run of them, which it writes to files of the shared folder.
-
-A text that fills a third of the table is one entry from the map side on (partial aggregation),
-and its rows find their entry by a broadcast of the few largest groups, so no task holds a group.
-
-Defined results: null text counts as empty. Of equal texts the row with the most code points stays, then
-the smallest doc_id (a null doc_id last). Of rows alike in text length and doc_id one stays. An empty
-table gives an empty index and result.
+Texts are equal when they are identical without ASCII white space. The 64-bit hash of a text
+is its key. A directory maps the leading bits of a key to a bucket. It doubles, that is, takes one
+more bit, wherever a bucket would hold more distinct keys than its capacity: from one histogram of leading
+bits (of bounded size) the load of every node of the directory's tree follows, and a bucket
+is a node that fits while its parent does not, so it is a contiguous range of keys.
+
+Every row is routed by the directory to its bucket. The task that owns a bucket puts its rows in the order of
+key and text: texts that share a key form a chain, a row belongs to the place in the chain whose bytes equal its
+own, and group, size and the row that stays are read off there. Owners write their
+buckets to files of the shared folder, sorted by bucket, key and chain; their number is that of the shuffle's partitions.
+
+Keys whose texts weigh over ``HOT_BYTES`` and over 1 / ``HOT_KEYS`` of all bytes (so there are at most ``HOT_KEYS``
+of them) are not routed row by row: equal texts are first combined where they are read, and rows find their place
+by a broadcast of those few. No task holds such a group.
+
+The capacity rises with the table so that the directory has at most 2 ** ``MOST_BITS`` slots. A bucket that is too full even
+at that depth (possible only if leading bits of keys are far from even) costs its owner time, not rows.
+
+Defined results: null text counts as empty. A very long text is one value of its row: it is never cut, and must fit a task's memory
+a few times over; the sort of an owner spills. Of equal texts the row with the most code points stays, then the smallest doc_id (a null doc_id last). Of rows alike in text
+length and doc_id one stays. Other columns, whatever their names, are carried along unread. An empty table gives an empty index and result.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starforge.llm.common import join_groups, keep_named, spare, stored
-from starforge.session import work_path
+from starforge.llm.common import keep_named, stored
 
-#: Entries a bucket holds before it is split.
-CAPACITY = 65_536
-#: The histogram of leading bits has at most 2 ** MOST_BITS rows.
+#: Distinct keys a bucket holds before it is split.
+CAPACITY = 4_096
+#: The directory has at most 2 ** MOST_BITS slots.
 MOST_BITS = 20
+#: A key is hot when its texts weigh more than this, and more than 1 / HOT_KEYS of all texts.
+HOT_BYTES = 32 << 20
+HOT_KEYS = 65_536
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -44,32 +52,16 @@ def leading(key: Column | str, bits: int) -> Column:
     return F.shiftrightunsigned(key, 64 - bits) if bits else F.lit(0).cast("long")
 
 
-def row_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, n_points (code points of the text), key, sha (SHA-256 of the normalised text) of every row."""
-    rows = keep_named(docs, {"doc_id": "long", "text": "string"}).withColumn("norm", normalised(F.col("text")))
-    return rows.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_points"),
-                       F.xxhash64("norm").alias("key"), F.unhex(F.sha2("norm", 256)).alias("sha"))
-
-
-def entries(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row per distinct text: key, chain (its place among the texts of that key), sha, group_size and
-    the row that stays (keep_id, keep_points). Bytes are compared by the grouping on the text itself."""
-    texts = keep_named(docs, {"text": "string"}).select(normalised(F.col("text")).alias("norm"))
-    texts = texts.select(F.xxhash64("norm").alias("key"), "norm")
-    groups = texts.groupBy("key", "norm").agg(F.count("*").alias("group_size"))
-    groups = stored(groups.select("key", F.unhex(F.sha2("norm", 256)).alias("sha"), "group_size"), "dedup-groups")
-    # keepers, in two steps whose first combines on the map side
-    by_length = rows.groupBy("key", "sha", "n_points").agg(F.min("doc_id").alias("least"))
-    best = by_length.groupBy("key", "sha").agg(F.max_by("least", "n_points").alias("keep_id"), F.max("n_points").alias("keep_points"))
-    chain = F.row_number().over(Window.partitionBy("key").orderBy("sha"))
-    return groups.join(best, ["key", "sha"]).withColumn("chain", chain)
-
-
 def directory(index: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, int]:
-    """(slot, bucket, depth) for every slot of the directory, and its global depth. A bucket's number is its first slot."""
+    """(slot, bucket, depth) for every slot of the directory over the keys of ``index`` (one row a key), and its global
+    depth. A bucket's number is its first slot."""
     n = index.count()
+    capacity = max(capacity, math.ceil(4 * n / 2**MOST_BITS))
     bits = max(0, min(MOST_BITS, math.ceil(math.log2(max(1, n) / capacity)) + 4)) if n > capacity else 0
-    cells = index.groupBy(leading("key", bits).alias("cell")).agg(F.count("*").alias("n"))
+    cells = _cells(index, bits)
+    if bits < MOST_BITS and (cells.agg(F.max("n")).first()[0] or 0) > capacity:
+        bits = MOST_BITS
+        cells = _cells(index, bits)
     nodes = (cells.select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("depth"))
              .withColumn("prefix", F.expr(f"shiftrightunsigned(cell, {bits} - depth)"))
              .groupBy("depth", "prefix").agg(F.sum("n").alias("load")))
@@ -85,58 +77,90 @@ def directory(index: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, in
     return buckets.select(F.explode(F.sequence(first, last)).alias("slot"), first.alias("bucket"), "depth"), depth
 
 
-def build_index(docs: DataFrame, rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Write the index to the shared folder, a folder for each bucket, and read it back:
-    bucket, key, chain, sha, group_size, keep_id, keep_points."""
-    spark = docs.sparkSession
-    found = stored(entries(docs, rows), "dedup-entries")
-    slots, depth = directory(found, capacity)
-    placed = found.withColumn("slot", leading("key", depth)).join(F.broadcast(slots), "slot").drop("slot", "depth")  # at most 2 ** MOST_BITS slots
-    path = work_path(spark, "llm", f"dedup-index-{uuid.uuid4().hex}")
-    owned = placed.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "chain")
-    owned.write.option("compression", "zstd").partitionBy("bucket").parquet(path)
-    columns = [c for c in placed.columns if c != "bucket"]
-    schema = placed.select(*columns, F.col("bucket").cast("long").alias("bucket")).schema
-    return spark.read.schema(schema).parquet(path)
-
-
-def deduplicate(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, n_points, bucket."""
-    rows = stored(row_keys(docs), "dedup-rows")
-    index = build_index(docs, rows, capacity)
-    found = join_groups(rows, index, ["key", "sha"], "group_size")
-    best = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))
-    out = found.select("doc_id", "keep_id", "group_size", best.alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"), "n_points", "bucket")
-    twins = rows.groupBy("sha", "n_points", "doc_id").agg(F.count("*").alias("m")).where("m > 1")
-    out = stored(out, "dedup")
-    twins = stored(twins.select(F.lower(F.hex("sha")).alias("text_sha256"), "n_points", "doc_id"), "dedup-twins")
-    if not twins.take(1):
+def _cells(index: DataFrame, bits: int) -> DataFrame:
+    return index.groupBy(leading("key", bits).alias("cell")).agg(F.count("*").alias("n"))
+
+
+def _keyed(docs: DataFrame, row: Column, hashed: Callable[[Column], Column]) -> DataFrame:
+    """row (what travels with a row; has doc_id and text), key."""
+    have = docs.select(row.alias("row"))
+    return have.withColumn("key", hashed(normalised(F.col("row.text"))))
+
+
+def _facts(rows: DataFrame) -> DataFrame:
+    """``rows`` with doc_id, n_points (code points of the text) and norm."""
+    text = F.col("row.text").cast("string")
+    return rows.withColumns({"doc_id": F.col("row.doc_id").cast("long"), "n_points": F.coalesce(F.length(text), F.lit(0)).cast("long"),
+                             "norm": normalised(text)})
+
+
+def _owned(routed: DataFrame, *carried: str) -> DataFrame:
+    """What the owners of the buckets find for each of their rows: doc_id, n_points, bucket, key, chain, keep_id, group_size, kept, sha.
+
+    One shuffle, by bucket; all windows work on one order of a task's rows."""
+    rows = _facts(routed.repartition("bucket")).select("doc_id", "n_points", "bucket", "key", "norm", *carried)
+    text = Window.partitionBy("key", "bucket", "norm")
+    best = text.orderBy(F.desc("n_points"), F.asc_nulls_last("doc_id"))
+    rows = rows.withColumns({"keep_id": F.first("doc_id").over(best), "place": F.row_number().over(best)})
+    rows = rows.withColumn("group_size", F.count(F.lit(1)).over(text))
+    rows = rows.withColumn("chain", F.dense_rank().over(Window.partitionBy("key", "bucket").orderBy("norm")))
+    return rows.select("doc_id", "n_points", "bucket", "key", F.col("chain").cast("int").alias("chain"), "keep_id", "group_size",
+                       (F.col("place") == 1).alias("kept"), F.sha2("norm", 256).alias("text_sha256"), *carried)
+
+
+def _hot_entries(routed: DataFrame) -> DataFrame:
+    """One row for each distinct text of the hot keys. Equal texts are combined before the shuffle."""
+    by_length = _facts(routed).groupBy("key", "bucket", "norm", "n_points").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    texts = by_length.groupBy("key", "bucket", "norm").agg(
+        F.max_by("least", "n_points").alias("keep_id"), F.max("n_points").alias("keep_points"), F.sum("n").alias("group_size"))
+    chain = F.row_number().over(Window.partitionBy("key", "bucket").orderBy("norm"))
+    return texts.select("key", "bucket", chain.alias("chain"), F.sha2("norm", 256).alias("text_sha256"), "keep_id", "keep_points", "group_size")
+
+
+def _routed(rows: DataFrame, capacity: int, hot_bytes: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with the bucket that the directory gives their key: those that go to the owners, and those of hot keys (None: there are none)."""
+    weighed = rows.groupBy("key").agg(F.sum(F.coalesce(F.octet_length(F.col("row.text").cast("string")), F.lit(0)).cast("long") + 16).alias("bytes"))
+    keys = stored(weighed, "dedup-keys")
+    slots, depth = directory(keys, capacity)
+    placed = rows.withColumn("slot", leading("key", depth)).join(F.broadcast(slots.select("slot", "bucket")), "slot").drop("slot")  # at most 2 ** MOST_BITS
+    limit = max(hot_bytes, (keys.agg(F.sum("bytes")).first()[0] or 0) / HOT_KEYS)
+    hot = keys.where(F.col("bytes") > limit).select("key")
+    if not hot.take(1):
+        return placed, None
+    hot = F.broadcast(hot)  # at most HOT_KEYS keys
+    return placed.join(hot, "key", "left_anti"), placed.join(hot, "key", "left_semi")
+
+
+def _is_best() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points"))
+
+
+def deduplicate(docs: DataFrame, capacity: int = CAPACITY, hashed: Callable[[Column], Column] = F.xxhash64, hot_bytes: int = HOT_BYTES) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_points, bucket, key, chain, keep_id, group_size, kept, text_sha256, read
+    from the files that the owners wrote."""
+    rows = _keyed(keep_named(docs, {"doc_id": "long", "text": "string"}), F.struct("doc_id", "text"), hashed)
+    routed, hot = _routed(rows, capacity, hot_bytes)
+    out = stored(_owned(routed).sortWithinPartitions("bucket", "key", "chain"), "dedup-index")
+    if hot is None:
         return out
-    # repeated rows: of the rows alike in all columns the first one stays
-    same = ((out["text_sha256"] == twins["text_sha256"]) & (out["n_points"] == twins["n_points"]) & out["doc_id"].eqNullSafe(twins["doc_id"]))
-    alone = out.join(twins, same, "left_anti")
-    group = [F.col(c) for c in out.columns]
-    counted = out.join(twins, same, "left_semi").groupBy(*group).agg(F.count("*").alias("m"))
-    rest = counted.select(*group, F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))).alias("i"))
-    rest = rest.withColumn("kept", F.col("kept") & (F.col("i") == 1)).drop("i")
-    return alone.unionByName(rest)
-
-
-def keep_one(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """The rows of ``docs`` that stay, with the same columns."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = deduplicate(docs, capacity)
-    gone = found.groupBy("doc_id", "text_sha256", "n_points").agg(F.max(F.col("kept").cast("int")).alias("any"), F.count("*").alias("m"))
-    gone = stored(gone.where("any = 0 or m > 1"), "dedup-gone")
-    sha, points = spare(docs, "_sha"), spare(docs, "_points")
-    marked = docs.withColumns({sha: F.sha2(normalised(F.col("text")), 256),
-                               points: F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).cast("long")})
-    gone_id, gone_sha, gone_points, any_ = (spare(marked, x) for x in ("_gone_id", "_gone_sha", "_gone_points", "_any"))
-    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha), F.col("n_points").alias(gone_points), F.col("any").alias(any_))
-    same = (F.col(sha) == F.col(gone_sha)) & (F.col(points) == F.col(gone_points)) & F.col("doc_id").eqNullSafe(F.col(gone_id))
-    out = marked.join(gone, same, "left_anti").select(*columns)
-    twins = gone.where(F.col(any_) == 1)
-    if twins.take(1):  # rows alike in doc_id, text and length: one of them
-        one = marked.join(twins, same, "left_semi").dropDuplicates(["doc_id", sha, points])
-        out = out.unionAll(one.select(*columns))
-    return out
+    entries = stored(_hot_entries(hot), "dedup-hot-index")
+    narrow = _facts(hot).select("doc_id", "n_points", "key", F.sha2("norm", 256).alias("text_sha256"))
+    found = stored(narrow.join(F.broadcast(entries), ["key", "text_sha256"]), "dedup-hot")
+    # of the rows alike in all columns the first one stays
+    group = [F.col(c) for c in found.columns]
+    best = found.where(_is_best()).groupBy(*group).agg(F.count("*").alias("m"))
+    best = best.select(*group, F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))).alias("i"))
+    rest = found.where(~_is_best()).withColumn("i", F.lit(0).cast("long"))
+    return out.unionByName(best.unionByName(rest).withColumn("kept", F.col("i") == 1).select(*out.columns))
+
+
+def keep_one(docs: DataFrame, capacity: int = CAPACITY, hashed: Callable[[Column], Column] = F.xxhash64, hot_bytes: int = HOT_BYTES) -> DataFrame:
+    """The rows of ``docs`` that stay, with the same columns. A row travels to its owner whole, once."""
+    rows = _keyed(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), hashed)
+    routed, hot = _routed(rows, capacity, hot_bytes)
+    out = _owned(routed, "row").where("kept").select("row")
+    if hot is not None:
+        entries = stored(_hot_entries(hot), "dedup-hot-index")
+        marked = _facts(hot).withColumn("text_sha256", F.sha2("norm", 256)).join(F.broadcast(entries.drop("bucket")), ["key", "text_sha256"])
+        out = out.unionByName(marked.where(_is_best()).groupBy("key", "text_sha256").agg(F.first("row").alias("row")).select("row"))
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

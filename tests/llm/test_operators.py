@@ -289,6 +289,32 @@ def test_exact_dedup(spark, docs, capacity):
     assert exact_dedup.deduplicate(empty(spark), capacity).count() == 0
 
 
+@pytest.mark.parametrize("hashed", [F.xxhash64, lambda t: F.length(t).cast("long") % 5 * F.lit(2**60)])
+@pytest.mark.parametrize("hot_bytes", [exact_dedup.HOT_BYTES, 0])
+def test_exact_dedup_with_colliding_and_hot_keys(spark, docs, hashed, hot_bytes):
+    """Texts that share a key are told apart by their bytes, in the owner and where hot texts are combined."""
+    rows = docs.limit(150).unionByName(odd_rows(spark).select(*docs.columns)).cache()
+    want = Counter(re.sub("[\x20\x09-\x0d]", "", r["text"] or "") for r in rows.collect())
+    sizes = {hashlib.sha256(k.encode()).hexdigest(): n for k, n in want.items()}
+    got = exact_dedup.deduplicate(rows, 3, hashed, hot_bytes).collect()
+    assert len(got) == sum(want.values()) and all(sizes[r["text_sha256"]] == r["group_size"] for r in got)
+    assert Counter(r["text_sha256"] for r in got if r["kept"]) == Counter(sizes.keys())
+    places = {(r["key"], r["chain"]) for r in got}
+    chains = Counter(k for k, _ in places)
+    assert len(places) == len(sizes) and all((k, n) in places for k, n in chains.items())  # chains are numbered from 1 without gaps
+    kept = exact_dedup.keep_one(rows, 3, hashed, hot_bytes)
+    assert kept.columns == rows.columns
+    assert Counter(re.sub("[\x20\x09-\x0d]", "", r["text"] or "") for r in kept.collect()) == Counter(want.keys())
+
+
+def test_an_owner_holds_whole_buckets(spark, docs):
+    """The files of the index hold runs of buckets: no bucket is in two files, and no key in two buckets."""
+    got = exact_dedup.deduplicate(docs.limit(400), 9)
+    files = got.select("bucket", F.input_file_name().alias("file")).distinct().groupBy("bucket").count()
+    assert files.count() > 8 and files.agg(F.max("count")).first()[0] == 1
+    assert got.select("key", "bucket").distinct().groupBy("key").count().agg(F.max("count")).first()[0] == 1
+
+
 def test_directory_buckets_hold_their_capacity(spark):
     index = spark.range(2000).select(F.xxhash64("id").alias("key"))
     slots, depth = exact_dedup.directory(index, 50)
