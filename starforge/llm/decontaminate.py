@@ -27,6 +27,7 @@ long text takes several numbers of eight bytes for each of its bytes in one task
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,7 +49,10 @@ SIEVE_BITS = 21
 #: Zero bytes between texts, more than any alignment can bridge.
 GAP = 2 * SPAN
 #: Candidates aligned at once.
-ALIGN = 20_000
+ALIGN = 10_000
+#: Code points of the texts searched at once (a longer text: alone), and places whose q-grams are held at once.
+PIECE = 500_000
+PLACES = 1 << 18
 
 _TABLE = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -140,12 +144,16 @@ def make_block(rows: list[tuple[int, str]]) -> Block:
 def candidates(block: Block, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(window, first diagonal of the band) of all bands that hold as many shared q-grams as the lemma asks for."""
     none = np.empty(0, np.int64), np.empty(0, np.int64)
-    g = grams(flat)
-    at = np.flatnonzero(block.sieve[_sieve(g)]) if len(g) and len(block.keys) else none[0]
-    if not len(at):
+    at, g = [], []
+    for a in range(0, len(flat) - Q + 1 if len(block.keys) else 0, PLACES):
+        here = grams(flat[a:a + PLACES + Q - 1])
+        some = np.flatnonzero(block.sieve[_sieve(here)])
+        at.append(some + a), g.append(here[some])
+    if not sum(map(len, at)):
         return none
-    k = np.minimum(np.searchsorted(block.keys, g[at]), len(block.keys) - 1)
-    real = block.keys[k] == g[at]
+    at, g = np.concatenate(at), np.concatenate(g)
+    k = np.minimum(np.searchsorted(block.keys, g), len(block.keys) - 1)
+    real = block.keys[k] == g
     at, k = at[real], k[real]
     count = block.start[k + 1] - block.start[k]
     shift = np.repeat(block.start[k] - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -208,6 +216,19 @@ def verify(block: Block, flat: np.ndarray, window: np.ndarray, diagonal: np.ndar
     return tuple(np.concatenate(x) for x in zip(*out)) if out else tuple(np.empty(0, np.int64) for _ in range(4))
 
 
+def pieces(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, in lists of at most PIECE code points; a longer text is a list of its own."""
+    part, size = [], 0
+    for t in texts:
+        if part and size + len(t) > PIECE:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t)
+    if part:
+        yield part
+
+
 def find_leaks(block: Block, texts: list[str]) -> list[list[tuple]]:
     """For each text its leaks, one (item_id, windows, least edits, start, end) for each item, in code points."""
     out: list[list[tuple]] = [[] for _ in texts]
@@ -261,7 +282,7 @@ def leak_column(text: Column, block: Block, spark) -> Column:
 
     @F.pandas_udf("array<struct<item_id:long,windows:int,edits:int,start:int,end:int>>")
     def leaks(batch: pd.Series) -> pd.Series:
-        found = find_leaks(held.value, [t if isinstance(t, str) else "" for t in batch])
+        found = [x for part in pieces([t if isinstance(t, str) else "" for t in batch]) for x in find_leaks(held.value, part)]
         return pd.Series([[dict(zip(("item_id", "windows", "edits", "start", "end"), x)) for x in f] for f in found], dtype=object)
 
     return leaks(text.cast("string"))

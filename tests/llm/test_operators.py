@@ -568,3 +568,19 @@ def test_archives_are_gzip_members(spark):
     data = warc.record(5, "http://x.org/", b"payload", warc.digest32(b"payload"))
     assert zlib.decompress(data, 31).startswith(b"WARC/1.1\r\nWARC-Type: response")
     assert warc.parse(data)["payload"] == b"payload"
+
+
+def test_leaks_do_not_depend_on_the_pieces(monkeypatch):
+    """Texts searched in small pieces, and places in short runs, give the leaks of one search."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)]
+    items = [(i, " ".join(rng.choice(words, 40))) for i in range(12)] + [(99, "yes")]
+    texts = [" ".join(rng.choice(words, n)) + (" " + items[n % 12][1][7:160] if n % 3 else "") + " and yes " for n in range(1, 60)] + ["", "yes"]
+    block = decontaminate.make_block(items)
+    whole = decontaminate.find_leaks(block, texts)
+    assert sum(map(len, whole)) > 60
+    monkeypatch.setattr(decontaminate, "PIECE", 300)
+    monkeypatch.setattr(decontaminate, "PLACES", 17)
+    monkeypatch.setattr(decontaminate, "ALIGN", 2)
+    assert [x for part in decontaminate.pieces(texts) for x in decontaminate.find_leaks(block, part)] == whole
+    assert [t for part in decontaminate.pieces(texts) for t in part] == texts
