@@ -533,6 +533,7 @@ def oracle_sql() -> dict[str, str]:
         q[key] = _dq(rule)
     q["dq_report"] = BASE + " UNION ALL ".join(
         f"({_verdict(r, DQ_SQL[r][0], DQ_SQL[r][1])})" for r in dq.REPORT_ORDER)
+    q["dq_report_by_batches"] = q["dq_report"]  # the same report, over all batches
     q["pk_violations"] = BASE + " UNION ALL ".join([
         _key_viol("staging.members", "members", ["member_id"]),
         _key_viol("fact_payments", "pay_rows", ["payment_id"]),

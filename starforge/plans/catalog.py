@@ -461,6 +461,21 @@ def q_dq_report(spark, sf_dir):
     return quality.dq_report(st, dims.dim_member_full(st.members, AS_OF), AS_OF)
 
 
+@query("dq_report_by_batches")
+def q_dq_report_by_batches(spark, sf_dir):
+    """Q1-Q12 on what is new: all staging rows, dealt to three daily batches, are added one batch after the other (members by
+    hash, so that each hash's newest row is that of the whole table; payments by the year they are due; plans on day one)."""
+    from starforge.plans import daily_quality
+    st = _st(spark, sf_dir)
+    base = work_path(spark, "daily-quality", uuid.uuid4().hex)
+    day = {"members": F.pmod(F.xxhash64("tc_hash"), F.lit(3)), "subscriptions": F.pmod(F.xxhash64("subscription_id"), F.lit(3)),
+           "payments": F.coalesce(F.year("due_date") % 3, F.lit(0)), "plans": F.lit(0)}
+    for d in range(3):
+        part = _with(st, **{t: getattr(st, t).where(of == d) for t, of in day.items()})
+        daily_quality.add_batch(spark, base, f"d{d}", part, dims.clean_members(part.members).select("member_id"))
+    return daily_quality.report(spark, base, AS_OF)
+
+
 @query("pk_violations")
 def q_pk_violations(spark, sf_dir):
     """Q13: key violations of the staging member key, the fact keys before

@@ -24,7 +24,8 @@ KEPT_STATES = 5
 class TableState:
     """``base`` is the folder of a full load, ``batches`` what came on top of it, oldest first; ``pending`` the folders of
     rows that wait for a parent and ``parents`` the runs of the dimensions they were last held against; ``buckets`` the
-    number of buckets of the key index; ``indexed`` says whether the base's keys are in it."""
+    number of buckets of the key index; ``indexed`` says whether the base's keys are in it; ``folded`` names the batches that
+    a compaction made part of the base (daily counts only)."""
     version: int = 0
     base: str | None = None
     batches: tuple[str, ...] = ()
@@ -32,6 +33,7 @@ class TableState:
     parents: tuple[str, ...] = ()
     buckets: int = 64
     indexed: bool = False
+    folded: tuple[str, ...] = ()
 
     @property
     def folders(self) -> list[str]:
