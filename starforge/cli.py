@@ -5,6 +5,7 @@
         --members-in IM --payments-in IP --checkpoint C
     python -m starforge.cli profile --staging S
     python -m starforge.cli dq      --staging S --warehouse W --as-of 2026-12-02
+    python -m starforge.cli dq      --staging NEW --warehouse W --as-of 2026-12-02 --batch 2026-12-02
 
 Paths are Parquet staging / warehouse folders (any Hadoop file system). The
 session comes from ``spark-submit`` (master, resources); an external scheduler
@@ -97,6 +98,13 @@ def cmd_dq(spark, a) -> None:
                                  schemas.VARCHAR_BOUNDS.get(t, {}), schemas.NUMERIC_BOUNDS.get(t, {})) for t in schemas.STAGING])
     _report(bounds, "type bounds", a.out, a.rows)  # on the files as delivered
     st = read_all_staging(spark, a.staging)
+    if a.batch:
+        from starforge.plans import daily_quality
+        daily_quality.add_batch(spark, a.warehouse, a.batch, st, dims.clean_members(st.members).select("member_id"))
+        if a.compact:
+            daily_quality.compact(spark, a.warehouse, f"{a.batch}-compact")
+        _report(daily_quality.report(spark, a.warehouse, a.as_of), "data quality", a.out, a.rows)
+        return
     dm = snap.read_scd2(spark, a.warehouse, "dim_member", schemas.DIM_MEMBER) if a.warehouse else None
     dm = dims.dim_member_full(st.members, a.as_of) if dm is None else dm
     _report(quality.dq_report(st, dm, a.as_of), "data quality", a.out, a.rows)
@@ -115,6 +123,10 @@ def main(argv=None) -> None:
         s.add_argument("--out", default=None, help="folder for whole report sections as JSON; printed where unset")
         s.add_argument("--spine-start", type=_date, default=None)
         s.add_argument("--spine-end", type=_date, default=None)
+        if name == "dq":
+            s.add_argument("--batch", default=None, help="name of the day whose rows the staging folder holds: they are added to the counts in the "
+                           "warehouse, and the report covers all days")
+            s.add_argument("--compact", action="store_true", help="with --batch: fold the days counted so far into one")
         if name == "load":
             s.add_argument("--resume", action="store_true", help="go on with a run of that id: only stages that failed")
             s.add_argument("--keep-runs", type=int, default=None, help="snapshots to keep of each table written whole by every run (default: all)")
@@ -125,6 +137,8 @@ def main(argv=None) -> None:
     s.add_argument("--run-id", default=None)
     s.add_argument("--compact", action="store_true", help="fold the batches of the payment fact into one folder by date")
     a = ap.parse_args(argv)
+    if a.cmd == "dq" and a.batch and not a.warehouse:
+        ap.error("dq --batch needs --warehouse")
     spark = build_session(app=f"starforge-{a.cmd}")
     {"load": cmd_load, "incremental": cmd_incremental, "profile": cmd_profile, "dq": cmd_dq}[a.cmd](spark, a)
 

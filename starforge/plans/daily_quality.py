@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from starforge.functions import rules
 from starforge.operators import quality
 from starforge.sources import snapshots as snap
-from starforge.sources.table_state import TableState, publish, read_state
+from starforge.sources.table_state import TableState, drop_unnamed, publish, read_state
 from starforge.streaming.incremental import buckets_for
 
 COUNTS, KEYS, BROUGHT = "dq_counts", "dq_keys", "dq_brought"
@@ -47,15 +47,20 @@ def _bucket(buckets: int) -> Column:
 def _brought(staging, member_ids: DataFrame, buckets: int) -> DataFrame:
     """(topic, key, bucket, n, p) of the batch: rows per key, and whether it brings the key's parent. Combined
     where the rows are read, so a hot key is one row a task."""
-    def keys(topic: str, df: DataFrame, column: str, n: int, p: int) -> DataFrame:
-        return df.select(F.lit(topic).alias("topic"), F.col(column).cast("string").alias("key"),
-                         F.lit(n).cast("long").alias("n"), F.lit(p).cast("long").alias("p"))
+    def entry(topic: str, column: str, n: int, p: int) -> Column:
+        return F.struct(F.lit(topic).alias("topic"), F.col(column).cast("string").alias("key"),
+                        F.lit(n).cast("long").alias("n"), F.lit(p).cast("long").alias("p"))
 
-    parents = {"orphan-payments": staging.subscriptions, "orphan-subscriptions": member_ids}
-    parts = [keys(t, getattr(staging, source), key, 1, 0) for t, (_, _, source, key) in DUPLICATES.items()]
+    entries: dict[str, list[Column]] = {}
+    for topic, (_, _, source, key) in DUPLICATES.items():
+        entries.setdefault(source, []).append(entry(topic, key, 1, 0))
     for topic, (_, child, key) in REFERENCES.items():
-        parts.append(keys(topic, getattr(staging, child), key, 1, 0))
-        parts.append(keys(topic, parents[topic].where(F.col(key).isNotNull()), key, 0, 1))
+        entries.setdefault(child, []).append(entry(topic, key, 1, 0))
+    entries["subscriptions"].append(entry("orphan-payments", "subscription_id", 0, 1))
+    frames = {t: getattr(staging, t) for t in entries} | {"member_ids": member_ids}
+    entries["member_ids"] = [entry("orphan-subscriptions", "member_id", 0, 1)]
+    parts = [frames[t].select(F.explode(F.array(*e)).alias("x")).select("x.*") for t, e in entries.items()]
+    parts = [x.where((F.col("p") == 0) | F.col("key").isNotNull()) for x in parts]  # a NULL is nobody's parent
     rows = quality.union_all(parts).groupBy("topic", "key").agg(F.sum("n").alias("n"), F.max("p").alias("p"))
     return rows.withColumn("bucket", _bucket(buckets))
 
@@ -151,17 +156,21 @@ def report(spark: SparkSession, base: str, as_of, version: int | None = None) ->
 
 
 def compact(spark: SparkSession, base: str, run_id: str) -> TableState:
-    """Fold all batches into one folder of each table; the report stays the same. The names of the folded batches are
-    kept, so that one which comes again still changes nothing."""
+    """Fold all batches into one folder of each table, with as many buckets as the keys now ask for; the report stays the
+    same. The names of the folded batches are kept, so that one which comes again still changes nothing."""
     state = read_state(spark, base, COUNTS)
     if len(state.folders) < 2:
         return state
     if run_id in (*state.folders, *state.folded):
         raise ValueError(f"{run_id} is the name of a batch")
-    keys = _read(spark, base, KEYS, state.folders, KEY_SCHEMA).groupBy("topic", "bucket", "key").agg(*[F.sum(c).alias(c) for c in ("n", "p", "change")])
+    held = _read(spark, base, KEYS, state.folders, KEY_SCHEMA)
+    buckets = max(state.buckets, buckets_for(held.count() // (len(DUPLICATES) + len(REFERENCES))))
+    keys = held.groupBy("topic", "key").agg(*[F.sum(c).alias(c) for c in ("n", "p", "change")]).withColumn("bucket", _bucket(buckets))
     _write_keys(keys.where("n != 0 or p != 0"), base, run_id)
     counts = _read(spark, base, COUNTS, state.folders, COUNT_SCHEMA).groupBy("rule", "table_name", "threshold", "birth_date").agg(F.sum("n").alias("n"))
     names = [c.split()[0] for c in COUNT_SCHEMA.split(", ")]
     snap.write_snapshot(counts.select(*names).coalesce(1), base, COUNTS, run_id)
     folded = (*state.folded, *state.folders)
-    return publish(spark, base, COUNTS, replace(state.with_base(run_id, buckets=state.buckets), folded=folded))
+    made = publish(spark, base, COUNTS, replace(state.with_base(run_id, buckets=buckets), folded=folded))
+    drop_unnamed(spark, base, COUNTS, beside=(KEYS, BROUGHT))  # what no kept state names
+    return made

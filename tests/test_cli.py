@@ -22,7 +22,13 @@ def test_cli_load_dq_profile(spark, capsys):
     assert [s["status"] for s in rep["stages"]] == ["success"] * 5
     assert rep["stages"][0]["rows"] == 3287  # 1995-01-01 .. 2003-12-31
     cli.main(["dq", "--staging", f"{root}/staging", "--warehouse", f"{root}/wh", "--as-of", "2002-01-01"])
-    assert "Orphan payments" in capsys.readouterr().out
+    whole = capsys.readouterr().out
+    assert "Orphan payments" in whole
+    for _ in range(2):  # the same day again adds nothing
+        cli.main(["dq", "--staging", f"{root}/staging", "--warehouse", f"{root}/wh", "--as-of", "2002-01-01", "--batch", "b1", "--compact"])
+        daily = capsys.readouterr().out
+        for rule in ("Duplicate payment_id", "Orphan payments", "Underage members", "Invalid plan_type"):
+            assert [x for x in daily.splitlines() if x.startswith(rule)] == [x for x in whole.splitlines() if x.startswith(rule)] != []
     cli.main(["profile", "--staging", f"{root}/staging", "--rows", "3"])
     out = capsys.readouterr().out
     assert "== lottery months, top 10" in out and "n_members" in out
