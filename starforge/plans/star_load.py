@@ -58,15 +58,6 @@ def by_date(fact: DataFrame) -> DataFrame:
     return fact.sortWithinPartitions("date_key")
 
 
-def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def _rows(obs: Observation) -> int:
-    return int(obs.get.get("rows", 0))  # no row passed: no metric
-
-
 def _succeeded(spark: SparkSession, base: str, run_id: str) -> dict[str, int]:
     """Stages of a run whose newest audit row says success, with their rows (five rows for each call of the run)."""
     if not snap.list_names(spark, f"{base.rstrip('/')}/stage_runs"):
@@ -159,36 +150,42 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
             raise RuntimeError("no complete dimension snapshot to load facts against")
         return dm, dp, dd
 
-    def write_rejects(rows, date, parents, table):
-        """The rows that the fact can't take, with the reason; read back for their number."""
-        snap.write_snapshot(foreign_keys.rejected_rows(rows, date, *parents), base, table, run_id)
-        return spark.read.parquet(f"{base.rstrip('/')}/{table}/run_id={run_id}")
+    def held(rows, date, parents, table, **columns):
+        """The rows held against their parents in one pass, stored for the fact and the rejects; dropped at the end."""
+        dm, dp, dd = parents
+        path = snap.write_snapshot(foreign_keys.held_against(rows, date, dm, dp, dd, **columns), base, f"{table}_held", run_id)
+        return spark.read.parquet(path)
+
+    def write_rejects(held_rows, columns, table):
+        """The rows that the fact can't take, with the reason; read back for their number."""
+        return spark.read.parquet(snap.write_snapshot(foreign_keys.rejected(held_rows, columns), base, table, run_id))
 
     def load_fact_payments():
-        dm, dp, dd = parents = dims_for_facts()
+        dims_now = dims_for_facts()
         state = read_state(spark, base, inc.FACT)
         known = tuple(snap.runs_upto(spark, base, t, run_id)[-1] for t in ("dim_member", "dim_plan"))
-        with ThreadPoolExecutor(max_workers=1) as pool:  # the rejects are few and need other columns: a job beside the fact's
-            waiting = pool.submit(write_rejects, staging.payments, F.coalesce("paid_date", "due_date"), parents, inc.REJECTS)
-            rows, obs = _counted(facts.payment_rows(staging.payments, dm, dp), "fact_payments")
-            fact = facts.first_per_key(foreign_keys.within_dates(rows, dd), ["payment_id"], facts.payment_order())
-            snap.write_snapshot(by_date(conform(fact, schemas.FACT_PAYMENTS)), base, inc.FACT, run_id)
-            rejected = waiting.result()
+        rows = held(staging.payments, F.coalesce("paid_date", "due_date"), dims_now, inc.FACT)
+        joined = rows.where(foreign_keys.joined() & F.col("payment_id").isNotNull()).count()
+        fact = facts.first_payments(foreign_keys.taken(rows))
+        snap.write_snapshot(by_date(conform(fact, schemas.FACT_PAYMENTS)), base, inc.FACT, run_id)
+        rejected = write_rejects(rows, staging.payments.columns, inc.REJECTS)
         snap.write_snapshot(inc.waiting_rows(rejected), base, inc.PENDING, run_id)
         # a full load replaces the fact and its batches; a replay of an older day changes only that day's folder
         if state.base is None or snap.run_order(state.base) < snap.run_order(run_id):
             publish(spark, base, inc.FACT, state.with_base(run_id, (run_id,), known))
-        return _rows(obs), rejected.count()  # rows before the calendar check and de-duplication, as the source reports
+        snap.remove(spark, f"{base.rstrip('/')}/{inc.FACT}_held/run_id={run_id}")
+        return joined, rejected.count()  # rows before the calendar check and de-duplication, as the source reports
 
     def load_fact_lottery():
-        dm, dp, dd = parents = dims_for_facts()
-        obs = Observation("fact_lottery")
-        with ThreadPoolExecutor(max_workers=1) as pool:
-            waiting = pool.submit(write_rejects, staging.lottery, F.col("lottery_date"), parents, "fact_lottery_rejects")
-            fact = facts.fact_lottery(staging.lottery, staging.payments, dm, dp, observation=obs, dim_date=dd)
-            snap.write_snapshot(by_date(conform(fact, schemas.FACT_LOTTERY)), base, "fact_lottery", run_id)
-            rejected = waiting.result()
-        return _rows(obs), rejected.count()  # rows before the calendar check and de-duplication, as the source reports
+        table = "fact_lottery"
+        rows = held(staging.lottery, F.col("lottery_date"), dims_for_facts(), table, member_columns=("member_key", "signup_date"))
+        joined = rows.where(foreign_keys.joined() & F.col("lottery_id").isNotNull()).count()
+        entries = facts.lottery_columns(foreign_keys.taken(rows))
+        fact = facts.with_ratio(entries, staging.payments, asks=entries)
+        snap.write_snapshot(by_date(conform(fact, schemas.FACT_LOTTERY)), base, table, run_id)
+        rejected = write_rejects(rows, staging.lottery.columns, f"{table}_rejects")
+        snap.remove(spark, f"{base.rstrip('/')}/{table}_held/run_id={run_id}")
+        return joined, rejected.count()  # rows before the calendar check and de-duplication, as the source reports
 
     fns = dict(zip(STAGES, [load_dim_date, load_dim_plan, load_dim_member,
                             load_fact_payments, load_fact_lottery]))

@@ -130,14 +130,19 @@ def _subscriptions(t: DriverTables) -> DataFrame:
 
 
 def _payments(t: DriverTables) -> DataFrame:
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                           "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate")
-    o = t.orders.select("o_orderkey", "o_custkey")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
     unpaid = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
-    q = F.col("l_quantity").cast("long") % 15
-    due = F.col("l_shipdate").cast("date")
     money = lambda c: c.cast("decimal(12,2)")
+    # short columns before the join: what it shuffles
+    li = t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("due"),
+        (F.col("l_quantity").cast("long") % 15).cast("int").alias("q"), unpaid.alias("unpaid"),
+        (F.col("l_returnflag") == "R").alias("returned"), money(F.col("l_extendedprice")).alias("price"),
+        F.when(unpaid, money(F.lit(0)))
+         .when(F.col("l_suppkey") % 50 == 0, money(-F.col("l_quantity")))
+         .otherwise(money(F.col("l_extendedprice"))).alias("paid_amount"))
+    o = t.orders.select("o_orderkey", "o_custkey")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    unpaid, q, due = F.col("unpaid"), F.col("q"), F.col("due")
     out = j.select(
         F.concat(F.lit("PAY"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("payment_id"),
@@ -147,15 +152,13 @@ def _payments(t: DriverTables) -> DataFrame:
         F.col("l_linenumber").cast("int").alias("installment_no"),
         due.alias("due_date"),
         F.when(unpaid, F.lit(None).cast("date"))
-         .otherwise(F.date_add(due, (q - 5).cast("int"))).alias("paid_date"),
+         .otherwise(F.date_add(due, q - 5)).alias("paid_date"),
         F.when(F.col("l_orderkey") % 101 == 7, F.lit(None).cast("decimal(12,2)"))
          .when(F.col("l_orderkey") % 101 == 11, money(F.lit(0)))
-         .otherwise(money(F.col("l_extendedprice"))).alias("due_amount"),
-        F.when(unpaid, money(F.lit(0)))
-         .when(F.col("l_suppkey") % 50 == 0, money(-F.col("l_quantity")))
-         .otherwise(money(F.col("l_extendedprice"))).alias("paid_amount"),
+         .otherwise(F.col("price")).alias("due_amount"),
+        "paid_amount",
         F.when(F.col("l_orderkey") % 101 == 13, "iade")  # no valid status
-         .when(unpaid, "odenmedi").when(F.col("l_returnflag") == "R", "kismi")
+         .when(unpaid, "odenmedi").when(F.col("returned"), "kismi")
          .when(q > 8, "gecikmeli").otherwise("odendi").alias("payment_status"),
     )
     return conform(out, schemas.STAGING_PAYMENTS)
