@@ -188,8 +188,9 @@ def q_load_then_incremental(spark, sf_dir):
     root = work_path(spark, "incremental", uuid.uuid4().hex)
     incoming, base, ckpt = f"{root}/incoming", f"{root}/star", f"{root}/_checkpoint"
     early = F.col("due_date") < F.lit(EXISTING_CUTOFF)
-    run_star_load(spark, _with(st, payments=st.payments.where(early)), base, PREV_AS_OF, spine=SPINE)
     st.payments.where(early).write.mode("overwrite").parquet(f"{incoming}/day=1")
+    day1 = spark.read.schema(schemas.STAGING_PAYMENTS).parquet(f"{incoming}/day=1")
+    run_star_load(spark, _with(st, payments=day1), base, PREV_AS_OF, spine=SPINE)
     run_incremental_payments(spark, incoming, base, ckpt, prefix="d1")
     st.payments.where(~F.coalesce(early, F.lit(False))).write.mode("overwrite").parquet(f"{incoming}/day=2")
     run_incremental_payments(spark, incoming, base, ckpt, prefix="d2")
