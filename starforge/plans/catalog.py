@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starforge import schemas
 from starforge.functions import rules
@@ -471,8 +472,12 @@ def q_dq_report_by_batches(spark, sf_dir):
     base = work_path(spark, "daily-quality", uuid.uuid4().hex)
     day = {"members": F.pmod(F.xxhash64("tc_hash"), F.lit(3)), "subscriptions": F.pmod(F.xxhash64("subscription_id"), F.lit(3)),
            "payments": F.coalesce(F.year("due_date") % 3, F.lit(0)), "plans": F.lit(0)}
+    incoming = f"{base}/incoming"
+    for t, of in day.items():  # the days' files, as they would arrive; each table is made once
+        getattr(st, t).withColumn("day", of.cast("int")).write.partitionBy("day").parquet(f"{incoming}/{t}")
     for d in range(3):
-        part = _with(st, **{t: getattr(st, t).where(of == d) for t, of in day.items()})
+        part = _with(st, **{t: spark.read.schema(T.StructType([*schemas.STAGING[t], T.StructField("day", T.IntegerType())])).parquet(
+            f"{incoming}/{t}").where(F.col("day") == d).drop("day") for t in day})
         daily_quality.add_batch(spark, base, f"d{d}", part, dims.clean_members(part.members).select("member_id"))
     return daily_quality.report(spark, base, AS_OF)
 
