@@ -5,14 +5,15 @@ Units and templates are normalised alike: lower case, every run of characters th
 With d and t word bigrams (repeats count) of which s are shared, the coefficient is 2 s / (d + t); a unit matches from
 THRESHOLD on. Since s is at most the smaller of d and t, a template is a candidate only for units with
 t * THRESHOLD / (2 - THRESHOLD) <= d <= t * (2 - THRESHOLD) / THRESHOLD; units that fit no template are dropped
-before their bigrams are made.
+before their bigrams are compared. A unit that matches shares at least t * THRESHOLD / (2 - THRESHOLD) bigrams, so it holds one
+of the bigrams ``phrases`` gives, and so does its text: texts without any are not cut, units without any are dropped.
 
 A notice need not be a unit: it may be a part of a sentence, or lie in a comment whose marks and line ends keep its lines
 from being a paragraph. So windows slide over the words of the whole text as well (marks and line ends are blanks there): one from
 every shared bigram on, of at most t bigrams and up to the last shared one among them, matched like a unit. Of windows that
 overlap, the one of the highest coefficient stays (ties: more shared bigrams, then the template listed first, then the first
-window). Windows count (as level 4) where no unit of the text matches their licence. A window shares at least
-t * THRESHOLD / (2 - THRESHOLD) bigrams, so it holds one of the words ``anchors`` gives; texts without any are not cut.
+window). Windows count (as level 4) where no unit of the text matches their licence. Windows hold one of the
+``phrases`` for the same reason. Units and windows share one pass over the texts: the text's words count as a unit of level 4.
 
 Near-identical notices of several licences: each unit counts for the one template of the highest coefficient (ties: the
 template listed first).
@@ -28,9 +29,8 @@ once. Defined results: null or blank texts match nothing; a table without matche
 from __future__ import annotations
 
 import re
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starforge.llm.common import keep_named
@@ -96,21 +96,44 @@ def template_bigrams(spark: SparkSession, templates=TEMPLATES, threshold: float
     return counted.withColumns({"low": F.col("t") * threshold / (2 - threshold), "high": F.col("t") * (2 - threshold) / threshold})
 
 
-def units(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, level (1 sentence, 2 paragraph, 3 text), place, words of every unit."""
+def phrases(index: list, threshold: float = THRESHOLD) -> list[str]:
+    """Bigrams of which every unit and window that matches one of the templates holds at least one: in each template, less
+    than t * threshold / (2 - threshold) bigrams are others. Those without short words come first. ``index``: rows of ``template_bigrams``."""
+    out: list[str] = []
+    rank = lambda r: (r["bigram"] not in out, *sorted(-len(w) for w in r["bigram"].split())[::-1], r["bigram"])
+    for k in sorted({r["template"] for r in index}):
+        own = [r for r in index if r["template"] == k]
+        for r in sorted(own, key=rank):
+            t, free = r["t"], sum(x["t_count"] for x in own if x["bigram"] not in out)
+            if not free or round(2 * free / (free + t), 6) < threshold:
+                break
+            if r["bigram"] not in out:
+                out.append(r["bigram"])
+    return out
+
+
+def holds(held: list[str]) -> Column:
+    """Whether ``words`` hold one of these bigrams."""
+    return (F.size("words") > 1) & F.arrays_overlap(F.expr(_BIGRAMS), F.lit(held) if held else F.expr("cast(array() as array<string>)"))
+
+
+def units(docs: DataFrame, held: list[str]) -> DataFrame:
+    """doc_id, text_hash, level (1 sentence, 2 paragraph, 3 text, 4 the text again, for windows), place, words of every unit
+    of the texts that hold one of these bigrams."""
     rows = keep_named(docs, {"doc_id": "long", "text": "string"}).where(F.col("text").isNotNull())
-    # words are made inside the generator, so that filters on their number don't make them again
+    # words are made inside the generators, so that filters on them don't make them again
     words = _WORDS.format("u")
-    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.inline(F.expr(
+    texts = rows.select("doc_id", "text", F.inline(F.expr(f"array(struct({_WORDS.format('text')} as words))"))).where(holds(held))
+    return texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.inline(F.expr(
         rf"""concat(
             transform(split(regexp_replace(text, '([.!?])\\s+', '$1\n'), '\n'), (u, i) -> struct(1 as level, i as place, {words} as words)),
             transform(split(text, '\n\\s*\n'), (u, i) -> struct(2 as level, i as place, {words} as words)),
-            transform(array(text), u -> struct(3 as level, 0 as place, {words} as words)))""")))
+            array(struct(3 as level, 0 as place, words), struct(4 as level, 0 as place, words)))""")))
 
 
 def anchors(templates, threshold: float = THRESHOLD) -> list[str]:
     """Words of which every window that matches one of the templates holds at least one: in each template, less than
-    t * threshold / (2 - threshold) bigrams are without them."""
+    t * threshold / (2 - threshold) bigrams are without them. ``scan`` asks for the stricter ``phrases``."""
     out: list[str] = []
     for _, text in templates:
         words = re.sub(r"[\W_]+", " ", text.lower()).split()
@@ -123,49 +146,36 @@ def anchors(templates, threshold: float = THRESHOLD) -> list[str]:
     return out
 
 
-def windows(docs: DataFrame, templates, index: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_hash, license, dice of the windows that match and that no better one overlaps."""
-    rows = keep_named(docs, {"doc_id": "long", "text": "string"})
-    low = F.lower("text")
-    held = reduce(lambda x, y: x | y, [low.contains(w) for w in anchors(templates, threshold)], F.lit(False))
-    cut = rows.where(held).select("doc_id", F.xxhash64("text").alias("text_hash"), F.inline(F.expr(f"array(struct({_WORDS.format('text')} as words))")))
-    each = cut.where("size(words) > 1").select("doc_id", "text_hash", F.posexplode(F.expr(_BIGRAMS)).alias("at", "bigram"))
-    text, own = ["doc_id", "text_hash"], ["doc_id", "text_hash", "template", "license", "t"]
-    hits = each.join(F.broadcast(index), "bigram").groupBy(*own, "low").agg(F.array_sort(F.collect_set(F.struct("at", "bigram", "t_count"))).alias("h"))
-    # from each hit on, the hits within t places; as many as the lemma asks for
-    hits = hits.withColumn("low", F.expr("cast(ceil(low - 1e-4) as int)"))
-    near = hits.where("size(h) >= low").select(*own, "low", F.inline(F.expr(
+def scan(docs: DataFrame, templates=TEMPLATES + WORDINGS, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document and licence: doc_id, license, dice (the best unit's, to six places), level (of the best
+    unit, the smallest one among equals; 4 for windows) and n_units (units that match; if none does, windows)."""
+    index = template_bigrams(docs.sparkSession, templates, threshold)
+    fixed = index.collect()  # the fixed list
+    low, high = min((r["low"] for r in fixed), default=0.0), max((r["high"] for r in fixed), default=-1.0)
+    held = phrases(fixed, threshold)
+    fit = units(docs, held).withColumn("d", F.expr("size(words) - 1"))
+    fit = fit.where(F.expr(f"level = 4 or d between {low!r}D and {high!r}D")).where(holds(held))
+    each = fit.select("doc_id", "text_hash", "level", "place", "d", F.posexplode(F.expr(_BIGRAMS)).alias("at", "bigram"))
+    unit = ["doc_id", "text_hash", "level", "place", "d"]
+    own = [*unit, "template", "license", "t"]
+    shared = each.join(F.broadcast(index), (each["bigram"] == index["bigram"]) & ((F.col("level") == 4) | F.col("d").between(F.col("low"), F.col("high"))))
+    hits = shared.groupBy(*own, "low").agg(F.array_sort(F.collect_set(F.struct("at", each["bigram"], "t_count"))).alias("h"))
+    hits = hits.withColumn("low", F.expr("cast(ceil(low - 1e-4) as int)")).where("size(h) >= low")
+    # a unit is compared whole; windows go from each hit on, over the hits within t places; as many as the lemma asks for
+    near = hits.select(*own, F.inline(F.expr(
+        "if(level < 4, array(struct(0 as begin, h as w)), "
         "transform(filter(sequence(1, size(h)), i -> try_element_at(h, i + low - 1).at - h[i - 1].at < t), "
-        "i -> struct(h[i - 1].at as begin, slice(h, i, t) as w))")))
-    near = near.select(*own, "begin", F.inline("w")).where("at < begin + t")
+        "i -> struct(h[i - 1].at as begin, slice(h, i, t) as w)))")))
+    near = near.select(*own, "begin", F.inline("w")).where("level < 4 or at < begin + t")
     per = near.groupBy(*own, "begin", "bigram", "t_count").agg(F.count("*").alias("n"), F.max("at").alias("last"))
     per = per.groupBy(*own, "begin").agg(F.sum(F.least("n", "t_count")).alias("s"), F.max("last").alias("stop"))
-    found = per.withColumn("dice", F.expr("round(2 * s / (stop - begin + 1 + t), 6)")).where(F.col("dice") >= threshold)
-    best = found.groupBy(*text).agg(F.array_sort(F.collect_list(F.expr(
-        "struct(-dice as cost, -s as s, template, begin, stop, license, dice)"))).alias("w"))
+    found = per.withColumn("dice", F.expr("round(2 * s / (if(level < 4, d, stop - begin + 1) + t), 6)")).where(F.col("dice") >= threshold)
+    # all templates of a unit overlap from its first word on, so one of them stays
+    best = found.groupBy(*unit).agg(F.array_sort(F.collect_list(F.expr(
+        "struct(-dice as cost, if(level < 4, 0, -s) as s, template, begin, stop, license, dice)"))).alias("w"))
     picked = F.expr("aggregate(w, slice(w, 1, 0), (a, x) -> if(exists(a, y -> y.begin <= x.stop + 1 and x.begin <= y.stop + 1), a, concat(a, array(x))))")
-    return best.select(*text, F.inline(picked)).select(*text, "license", "dice")
-
-
-def scan(docs: DataFrame, templates=TEMPLATES + WORDINGS, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document and licence: doc_id, license, dice (the best unit's, to six places), level (of the best
-    unit, the smallest one among equals; 4 for windows) and n_units (units that match; if none does, windows)."""
-    spark = docs.sparkSession
-    index = template_bigrams(spark, templates, threshold)
-    bounds = index.agg(F.min("low").alias("low"), F.max("high").alias("high")).first()  # over the fixed list
-    low, high = (0.0, -1.0) if bounds["low"] is None else (bounds["low"], bounds["high"])
-    fit = units(docs).where(F.expr(f"size(words) - 1 between {low!r}D and {high!r}D"))
-    each = fit.select("doc_id", "text_hash", "level", "place", F.expr("size(words) - 1").alias("d"), F.posexplode(F.expr(_BIGRAMS)).alias("at", "bigram"))
-    shared = each.join(F.broadcast(index), (each["bigram"] == index["bigram"]) & F.col("d").between(F.col("low"), F.col("high"))).select(
-        "doc_id", "text_hash", "level", "place", "template", "license", "d", "t", "t_count", each["bigram"], "at").distinct()
-    unit = ["doc_id", "text_hash", "level", "place", "template", "license", "d", "t"]
-    per = shared.groupBy(*unit, "bigram", "t_count").agg(F.count("*").alias("n"))
-    per = per.groupBy(*unit).agg(F.sum(F.least("n", "t_count")).alias("s"))
-    found = per.withColumn("dice", F.round(2 * F.col("s") / (F.col("d") + F.col("t")), 6)).where(F.col("dice") >= threshold)
-    first = F.max(F.struct("dice", (-F.col("template")).alias("order"), "license"))
-    per_unit = found.groupBy("doc_id", "text_hash", "level", "place").agg(first.alias("first")).select("doc_id", "level", "first.license", "first.dice")
-    slid = windows(docs, templates, index, threshold).select("doc_id", F.lit(4).alias("level"), "license", "dice")
-    best = per_unit.unionByName(slid).groupBy("doc_id", "license", (F.col("level") < 4).alias("unit"), "dice").agg(
+    marked = best.select("doc_id", "level", F.inline(picked)).select("doc_id", "level", "license", "dice")
+    best = marked.groupBy("doc_id", "license", (F.col("level") < 4).alias("unit"), "dice").agg(
         F.min("level").alias("level"), F.count("*").alias("n"))
     both = best.groupBy("doc_id", "license", "unit").agg(F.max("dice").alias("dice"), F.max_by("level", "dice").alias("level"), F.sum("n").alias("n_units"))
     return both.groupBy("doc_id", "license").agg(F.max(F.struct("unit", "dice", "level", "n_units")).alias("x")).select("doc_id", "license", "x.dice", "x.level", "x.n_units")

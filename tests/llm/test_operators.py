@@ -207,6 +207,44 @@ def test_anchors_are_in_every_window():
         assert 2 * free / (free + t) < licenses.THRESHOLD
 
 
+def test_phrases_are_in_every_match(spark):
+    index = licenses.template_bigrams(spark, licenses.TEMPLATES + licenses.WORDINGS).collect()
+    held = licenses.phrases(index)
+    for k in {r["template"] for r in index}:
+        t, free = next(r["t"] for r in index if r["template"] == k), sum(r["t_count"] for r in index if r["template"] == k and r["bigram"] not in held)
+        assert 2 * free / (free + t) < licenses.THRESHOLD
+    assert licenses.phrases([]) == []
+
+
+def test_texts_are_read_once_and_cut_only_with_a_phrase(spark):
+    plan = QUERIES["op4_licenses"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    rows = [(1, "a file\nlicensed by us, UNDER license"), (2, "so Licensed -- under\nit"), (3, "all rights are reserved"), (4, "x. All Rights\n# Reserved"), (5, None), (6, "")]
+    cut = licenses.units(spark.createDataFrame(rows, "doc_id long, text string"), ["licensed under", "rights reserved"]).collect()
+    assert sorted({r["doc_id"] for r in cut}) == [2, 4]
+    assert [r["words"] for r in cut if r["doc_id"] == 4 and r["level"] > 2] == [["x", "all", "rights", "reserved"]] * 2
+
+
+def test_phrases_lose_no_notice(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(160):
+        parts = []
+        for _ in range(rng.integers(1, 4)):
+            _, text = (licenses.TEMPLATES + licenses.WORDINGS)[rng.integers(len(licenses.TEMPLATES + licenses.WORDINGS))]
+            words = text.split()
+            for _ in range(rng.integers(0, 1 + len(words) // 6)):  # words lost, changed or added
+                j = rng.integers(len(words))
+                words[j:j + 1] = [[], ["other"], [words[j], "of the"]][rng.integers(3)]
+            parts += ["word " * rng.integers(0, 9), [" ", "\n# "][rng.integers(2)].join(words), ["", "\n", ". Then\n\n", " and "][rng.integers(4)]]
+        rows.append((None if i % 23 == 0 else i, "".join(parts)))
+    docs = spark.createDataFrame(rows + rows[::9], "doc_id long, text string")
+    result = lambda: sorted((tuple(r) for r in licenses.scan(docs).collect()), key=str)
+    got = result()
+    monkeypatch.setattr(licenses, "phrases", lambda index, threshold: sorted({r["bigram"] for r in index}))
+    assert got == result() and len(got) > 100 and {r[3] for r in got} >= {1, 2, 4}
+
+
 # ---- 5 decontamination
 
 def sellers(pattern: bytes, text: bytes) -> int:
