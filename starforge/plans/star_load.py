@@ -10,6 +10,9 @@ The three dimension stages do not depend on each other, nor do the two fact
 stages; with ``concurrent=True`` each group is submitted as concurrent Spark
 jobs (one driver thread per stage), so small dimension jobs do not leave the
 cluster idle. The facts start only after every dimension stage has ended.
+
+A large fact is loaded in parts by the hash of its id, so that the shuffles of
+one part at a time lie on disk; its snapshot is complete with the last part.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from starforge import schemas
 from starforge.functions.calendar import DEFAULT_SPINE
 from starforge.operators import calendar, dims, facts, foreign_keys, scd2
 from starforge.schemas import conform
+from starforge.session import load_settings
 from starforge.sources import snapshots as snap
 from starforge.sources.table_state import drop_unnamed, publish, read_state
 from starforge.streaming import incremental as inc
@@ -34,6 +38,9 @@ from starforge.streaming import incremental as inc
 #: Name of the state that says which run is published as a whole.
 PUBLISHED = "star_runs"
 STAGES = ["dim_date", "dim_plan", "dim_member", "fact_payments", "fact_lottery"]
+#: A fact's rows are loaded in parts of about so many rows, by the hash of the id, at most so many parts: only the shuffles
+#: of one part lie on disk at a time. Each part reads the staging table again.
+PART_ROWS, MOST_PARTS = 1_000_000, 4
 
 
 @dataclass
@@ -58,6 +65,15 @@ def by_date(fact: DataFrame) -> DataFrame:
     return fact.sortWithinPartitions("date_key")
 
 
+def parts_for(rows: int) -> int:
+    return max(1, min(MOST_PARTS, -(-rows // PART_ROWS)))
+
+
+def part_of(key: str, parts: int):
+    """Part of a row; all rows of an id share one, so a part's first rows per id are those of the whole."""
+    return F.pmod(F.xxhash64(key), F.lit(parts))
+
+
 def _succeeded(spark: SparkSession, base: str, run_id: str) -> dict[str, int]:
     """Stages of a run whose newest audit row says success, with their rows (five rows for each call of the run)."""
     if not snap.list_names(spark, f"{base.rstrip('/')}/stage_runs"):
@@ -151,52 +167,61 @@ def run_star_load(spark: SparkSession, staging, base: str, as_of: dt.date,
         return dm, dp, dd
 
     def held(rows, date, parents, table, **columns):
-        """The rows held against their parents in one pass, stored for the fact and the rejects; dropped at the end."""
+        """The rows held against their parents in one pass, stored for the fact and the rejects; dropped with them."""
         dm, dp, dd = parents
         path = snap.write_snapshot(foreign_keys.held_against(rows, date, dm, dp, dd, **columns), base, f"{table}_held", run_id)
         return spark.read.parquet(path)
 
-    def write_rejects(held_rows, columns, table):
-        """The rows that the fact can't take, with the reason; read back for their number."""
-        return spark.read.parquet(snap.write_snapshot(foreign_keys.rejected(held_rows, columns), base, table, run_id))
+    def load_by_parts(rows, key, date, parents, table, rejects, schema, fact_of, **columns):
+        """Hold the rows against their parents and write the fact and the rows that it can't take, with the reason, part by
+        part. Returns the joined rows before the calendar check and de-duplication, as the source reports them."""
+        joined, n = 0, parts_for(rows.count())
+        for i in range(n):
+            part = held(rows if n == 1 else rows.where(part_of(key, n) == i), date, parents, table, **columns)
+            joined += part.where(foreign_keys.joined() & F.col(key).isNotNull()).count()
+            snap.append_part(by_date(conform(fact_of(foreign_keys.taken(part)), schema)), base, table, run_id, first=i == 0)
+            snap.append_part(foreign_keys.rejected(part, rows.columns), base, rejects, run_id, first=i == 0)
+            drop_aside(f"{table}_held")
+        for t in (table, rejects):
+            snap.complete(spark, base, t, run_id)
+        return joined
+
+    def drop_aside(table):
+        snap.remove(spark, f"{base.rstrip('/')}/{table}/run_id={run_id}")
 
     def load_fact_payments():
         dims_now = dims_for_facts()
         state = read_state(spark, base, inc.FACT)
         known = tuple(snap.runs_upto(spark, base, t, run_id)[-1] for t in ("dim_member", "dim_plan"))
-        rows = held(staging.payments, F.coalesce("paid_date", "due_date"), dims_now, inc.FACT)
-        joined = rows.where(foreign_keys.joined() & F.col("payment_id").isNotNull()).count()
-        fact = facts.first_payments(foreign_keys.taken(rows))
-        snap.write_snapshot(by_date(conform(fact, schemas.FACT_PAYMENTS)), base, inc.FACT, run_id)
-        rejected = write_rejects(rows, staging.payments.columns, inc.REJECTS)
+        joined = load_by_parts(staging.payments, "payment_id", F.coalesce("paid_date", "due_date"), dims_now, inc.FACT, inc.REJECTS,
+                               schemas.FACT_PAYMENTS, facts.first_payments)
+        rejected = spark.read.parquet(f"{base.rstrip('/')}/{inc.REJECTS}/run_id={run_id}")
         snap.write_snapshot(inc.waiting_rows(rejected), base, inc.PENDING, run_id)
         # a full load replaces the fact and its batches; a replay of an older day changes only that day's folder
         if state.base is None or snap.run_order(state.base) < snap.run_order(run_id):
             publish(spark, base, inc.FACT, state.with_base(run_id, (run_id,), known))
-        snap.remove(spark, f"{base.rstrip('/')}/{inc.FACT}_held/run_id={run_id}")
-        return joined, rejected.count()  # rows before the calendar check and de-duplication, as the source reports
+        return joined, rejected.count()
 
     def load_fact_lottery():
         table = "fact_lottery"
-        rows = held(staging.lottery, F.col("lottery_date"), dims_for_facts(), table, member_columns=("member_key", "signup_date"))
-        joined = rows.where(foreign_keys.joined() & F.col("lottery_id").isNotNull()).count()
-        entries = facts.lottery_columns(foreign_keys.taken(rows))
-        fact = facts.with_ratio(entries, staging.payments, asks=entries)
-        snap.write_snapshot(by_date(conform(fact, schemas.FACT_LOTTERY)), base, table, run_id)
-        rejected = write_rejects(rows, staging.lottery.columns, f"{table}_rejects")
-        snap.remove(spark, f"{base.rstrip('/')}/{table}_held/run_id={run_id}")
-        return joined, rejected.count()  # rows before the calendar check and de-duplication, as the source reports
+        dims_now = dims_for_facts()
+        counts = spark.read.parquet(snap.write_snapshot(facts.paid_counts(staging.payments, staging.lottery), base, f"{table}_counts", run_id))
+        joined = load_by_parts(staging.lottery, "lottery_id", F.col("lottery_date"), dims_now, table, f"{table}_rejects", schemas.FACT_LOTTERY,
+                               lambda taken: facts.with_ratio_of(facts.lottery_columns(taken), counts), member_columns=("member_key", "signup_date"))
+        drop_aside(f"{table}_counts")
+        return joined, spark.read.parquet(f"{base.rstrip('/')}/{table}_rejects/run_id={run_id}").count()
 
     fns = dict(zip(STAGES, [load_dim_date, load_dim_plan, load_dim_member,
                             load_fact_payments, load_fact_lottery]))
     waves = [STAGES[:3], STAGES[3:]]
-    for wave in waves:
-        if concurrent:
-            with ThreadPoolExecutor(max_workers=len(wave)) as pool:
-                list(pool.map(lambda n: stage(n, fns[n]), wave))
-        else:
-            for n in wave:
-                stage(n, fns[n])
+    with load_settings(spark):
+        for wave in waves:
+            if concurrent:
+                with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+                    list(pool.map(lambda n: stage(n, fns[n]), wave))
+            else:
+                for n in wave:
+                    stage(n, fns[n])
     report.stages.sort(key=lambda r: STAGES.index(r.stage))
     if unaudited:
         raise RuntimeError(f"{len(unaudited)} stages of run {run_id} were not audited") from unaudited[0]

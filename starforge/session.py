@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,6 +85,31 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             pass
 
 
+# Shuffle files of a write or action are deleted when it ends, not when the driver next collects garbage; a join whose
+# smaller side has at most this size in every shuffle partition (measured) hashes it instead of sorting both.
+LOAD_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+}
+
+
+@contextmanager
+def load_settings(spark: SparkSession):
+    """Settings of a load that stores what it uses again: under them an action repeated on the same DataFrame object has
+    to shuffle again. Those of before are restored."""
+    before = {k: spark.conf.get(k, None) for k in LOAD_CONF}
+    for k, v in LOAD_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -47,6 +47,21 @@ def write_snapshot(df: DataFrame, base: str, table: str, run_id: str,
     return path
 
 
+def append_part(df: DataFrame, base: str, table: str, run_id: str, first: bool) -> str:
+    """Write ``df`` as the ``first`` or a further part of the snapshot ``run_id``: it is complete, and seen by readers, once
+    :func:`complete` has marked it. A first part replaces what the run had."""
+    path = f"{base.rstrip('/')}/{table}/run_id={run_id}"
+    w = df.write.mode("overwrite" if first else "append").option("compression", "zstd")
+    w.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    return path
+
+
+def complete(spark: SparkSession, base: str, table: str, run_id: str) -> None:
+    """Mark a snapshot of :func:`append_part` as complete."""
+    fs, done, _ = _fs(spark, f"{base.rstrip('/')}/{table}/run_id={run_id}/_SUCCESS")
+    fs.create(done, True).close()
+
+
 def run_order(run_id: str) -> tuple:
     """Sort key of run ids: runs of digits compare as numbers, so that d9 comes before d10."""
     return tuple((1, int(x), "") if x.isdigit() else (0, 0, x) for x in re.split(r"(\d+)", run_id) if x)
